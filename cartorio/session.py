@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 #: ANSI casts raise, so the engine uses try_* functions; partition values stay text ("01", not 1).
@@ -32,3 +37,16 @@ def checkpoint_folder(spark: SparkSession, own: str | None = None) -> str:
     """The shared folder the cluster names; `own` (or a folder in the warehouse) only where none is set."""
     return (spark.conf.get("spark.checkpoint.dir", None) or own
             or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make this package importable on the executors, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_cartorio_shipped", False):
+        return spark
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp()  # the driver serves the archive from here as long as it runs
+    atexit.register(shutil.rmtree, folder, True)
+    context.addPyFile(shutil.make_archive(str(Path(folder) / package.name), "zip", package.parent, package.name))
+    context._cartorio_shipped = True
+    return spark
