@@ -6,8 +6,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartorio.llm import decontam, media, secrets, tokens
+from cartorio.llm import decontam, line_dedup, media, ngram_join, packing, quality, secrets, tokens, toxicity
 from cartorio.llm.frames import load
+from cartorio.llm.labelled import fold
+
+#: A document is taken for label 1 from this score on.
+LEAST_SCORE = 0.3
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(load(spark, sf_dir, "documents"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP3_SQL = r"""
+with line as (select doc_id, text, string_split(text, chr(10)) as l from documents),
+win as (
+  select doc_id, pos, array_to_string(l[pos + 1 : pos + 3], chr(10)) as content
+  from (select doc_id, l, unnest(range(0, len(l) - 2)) as pos from line where len(l) >= 3)),
+later as (
+  select doc_id, pos from (
+    select doc_id, pos, row_number() over (partition by content order by doc_id, pos) as n from win where length(trim(translate(content, chr(10) || chr(13) || chr(9), ''))) > 0)
+  where n > 1),
+gone as (select distinct doc_id, unnest(range(pos, pos + 3)) as k from later),
+one as (select doc_id, unnest(l) as content, unnest(range(0, len(l))) as k from line),
+kept as (
+  select o.doc_id, count(*) filter (g.k is not null) as n_removed, coalesce(string_agg(o.content, chr(10) order by o.k) filter (g.k is null), '') as kept
+  from one o left join gone g on o.doc_id = g.doc_id and o.k = g.k group by o.doc_id)
+select line.doc_id, cast(coalesce(len(l), 0) as bigint) as n_lines, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  case when text is null then null else sha256(coalesce(kept, '')) end as kept_sha256
+from line left join kept using (doc_id)
+"""
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    out = quality.score(docs, quality.train(docs, labels))
+    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +79,12 @@ from doc d left join covered using (doc_id) left join named using (doc_id)
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    out = toxicity.score(docs, toxicity.train(docs, labels))
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = media.read_back(media.store(load(spark, sf_dir, "documents")))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
@@ -49,5 +98,15 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(load(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op5_decontamination": op5_decontamination, "op8_media": op8_media, "op9_tokens": op9_tokens, "op10_secrets": op10_secrets}
-ORACLE_SQL = {"op5_decontamination": OP5_SQL}
+QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
+    "op2_packing": op2_packing,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
+    "op5_decontamination": op5_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_media": op8_media,
+    "op9_tokens": op9_tokens,
+    "op10_secrets": op10_secrets,
+}
+ORACLE_SQL = {"op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL}

@@ -1,13 +1,69 @@
-"""The corpus pipeline: each stage calls one operator of the llm subpackage."""
+"""The corpus pipeline: each stage calls one operator of the llm subpackage on all that the stage before kept.
+
+Toxic documents go; repeated line windows go from the texts; of each near-duplicate class the least id stays;
+contaminated documents go; what is left is packed into bins.
+"""
+
+from __future__ import annotations
+
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cartorio.llm import decontam, line_dedup, ngram_join, packing, toxicity
+from cartorio.llm.frames import load
+from cartorio.session import checkpoint_folder, ship
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.3 or more by a model of the labelled ones."""
+    return toxicity.drop_toxic(docs, toxicity.train(docs, load(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; n_chars follows the text."""
+    out = line_dedup.dedup_lines(docs)
+    return out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class, that of the least id."""
+    kept = ngram_join.join(docs).filter("class_id = doc_id").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth of the words stands in benchmark windows."""
+    gone = decontam.decontaminate(docs, load(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack_bins),
+]
 
-STAGES = []
+#: The classifier and the class search aren't SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages on documents; each result is written to the shared folder and read again."""
+    ship(spark)
+    docs = load(spark, sf_dir, "documents")
+    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return out
+        out.write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
     return docs
