@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartorio.llm import decontam, line_dedup, media, ngram_join, packing, quality, secrets, tokens, toxicity
+from cartorio.llm import decontam, line_dedup, media, ngram_join, packing, quality, secrets, suffix_dedup, tokens, toxicity
 from cartorio.llm.frames import load
 from cartorio.llm.labelled import fold
 
@@ -79,6 +79,11 @@ from doc d left join covered using (doc_id) left join named using (doc_id)
 """
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     out = toxicity.score(docs, toxicity.train(docs, labels))
@@ -104,6 +109,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_media": op8_media,
     "op9_tokens": op9_tokens,
