@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartorio.functions.codes import thousands
 
@@ -109,4 +108,4 @@ def observed(df: DataFrame, name: str, reason: Column) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows_read"), F.count_if(reason.isNotNull()).alias("rejected"))
 
 
-INVENTORY = T.StructType.fromDDL("dataset string, unit_key string, variant_rank int, exists boolean, size_bytes bigint, etag string, last_modified string, error string")
+INVENTORY = "dataset string, unit_key string, variant_rank int, exists boolean, size_bytes bigint, etag string, last_modified string, error string"

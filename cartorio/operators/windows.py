@@ -22,7 +22,7 @@ def enter_leave(df: DataFrame, code: str, year: str) -> DataFrame:
 
 def presence(df: DataFrame, code: str, year: str, years: list) -> DataFrame:
     """One row a code, one column a year: X where the code occurs, else a dot."""
-    marked = df.groupBy(code).pivot(year, years).agg(F.lit("X"))
+    marked = df.groupBy(code).pivot(year, years).agg(F.when(F.count(F.lit(1)) > 0, "X"))
     return marked.select(code, *(F.coalesce(F.col(f"`{y}`"), F.lit(".")).alias(f"y{y}") for y in years))
 
 

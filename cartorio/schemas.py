@@ -31,10 +31,10 @@ def all_string(names: list[str] | tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-LEDGER = T.StructType.fromDDL(
+LEDGER = (
     "unit string, etag string, size_bytes bigint, digest string, n_rows bigint, n_columns int, processed_at timestamp")
 OUTPUT_FILE = "struct<path:string,size_bytes:bigint,sha256:string,record_count:bigint>"
 PARTITION = (f"struct<source_url:string,source_size_bytes:bigint,source_etag:string,source_last_modified:string,processing_timestamp:string,"
              f"output_files:array<{OUTPUT_FILE}>,total_records:bigint,total_size_bytes:bigint>")
-MANIFEST = T.StructType.fromDDL(f"manifest_version string, dataset string, last_updated string, pipeline_version string, partitions map<string,{PARTITION}>")
-BASELINE = T.StructType.fromDDL("generated_at string, source string, endpoint string, total bigint, counts map<string,bigint>")
+MANIFEST = f"manifest_version string, dataset string, last_updated string, pipeline_version string, partitions map<string,{PARTITION}>"
+BASELINE = "generated_at string, source string, endpoint string, total bigint, counts map<string,bigint>"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    text = F.decode(F.col("content"), F.lit(encoding))
+    text = F.decode(F.col("content"), encoding)
     return (spark.read.format("binaryFile").load(path).select("path", F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line"))
             .filter(F.trim("line") != ""))
 

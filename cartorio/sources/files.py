@@ -94,7 +94,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_ledger(spark: SparkSession, path: str, schema: T.StructType = LEDGER) -> DataFrame:
+def read_ledger(spark: SparkSession, path: str, schema: str = LEDGER) -> DataFrame:
     """The ledger, or no rows of the same schema where there is none yet."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
