@@ -51,8 +51,8 @@ class DbfReader(DataSourceReader):
         return [Range(self.path, lo, min(lo + RECORDS, n)) for lo in range(0, max(n, 1), RECORDS)]
 
     def read(self, part: Range) -> Iterator[tuple]:
-        with open(part.path, "rb") as f:
-            shape = _layout(part.path)
+        shape = _layout(part.path)
+        with _open(part.path) as f:
             f.seek(shape.start + part.first * shape.width)
             for _ in range(part.last - part.first):
                 record = f.read(shape.width)
@@ -63,21 +63,29 @@ class DbfReader(DataSourceReader):
                 yield tuple(record[at : at + size].decode(self.encoding).strip() or None for _, at, size in shape.fields)
 
 
+def _open(path: str):
+    """The file, local or by any URI that Arrow knows."""
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
+    return system.open_input_file(name)
+
+
 def _layout(path: str) -> Layout:
-    with open(path, "rb") as f:
+    with _open(path) as f:
         head = f.read(32)
         return layout(head + f.read(struct.unpack_from("<H", head, 8)[0] - 32))
 
 
 class Dbf(DataSource):
-    """format("dbf").load(path): all columns text; blanks are null. The path must be open to driver and executors alike."""
+    """format("dbf").load(path): all columns text; blanks are null. The path, local or a URI, must be open to driver and executors alike."""
 
     @classmethod
     def name(cls) -> str:
         return "dbf"
 
     def _path(self) -> str:
-        return self.options["path"].removeprefix("file://").removeprefix("file:")
+        return self.options["path"]
 
     def schema(self) -> StructType:
         return StructType([StructField(n, StringType()) for n, _, _ in _layout(self._path()).fields])

@@ -32,7 +32,7 @@ def read_csv_strings(spark: SparkSession, path: str, names: list[str], sep: str
     whose empty last column goes."""
     fields = [*all_string(names).fields, *([T.StructField("_artefact", T.StringType())] if trailing else []), T.StructField(CORRUPT, T.StringType())]
     df = (spark.read.schema(T.StructType(fields)).option("sep", sep).option("quote", quote).option("encoding", encoding).option("header", header)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path))
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
     return df.drop("_artefact")
 
 
