@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from cartorio.llm.suffix_order import suffix_order
 from cartorio.llm.text import BASE, BASE_INVERSE, mix, powers, utf8
 
 GRAM = 16
+#: The upper 48 bits of an anchor's hash are its key.
+KEY_BITS = np.uint64(~0xFFFF & (1 << 64) - 1)
 #: Documents in a bucket, about; anchors that a map task gathers before it passes them on; letters sorted at once.
 BUCKET_DOCS, GATHERED, SORTED_AT_ONCE = 2000, 1_500_000, 200_000
 #: Anchors in more documents than this go window by window: at most (all anchors / HOT) are told to every task.
@@ -65,7 +68,7 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[n
     place, row = place[valid], row[valid]
     first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (row[1:] != row[:-1])])
     windows = np.diff(np.r_[first, len(valid)])
-    return row[first], valid[first] - offsets[row[first]], windows, gram[place[first]]
+    return row[first], valid[first] - offsets[row[first]], windows, gram[place[first]] & KEY_BITS
 
 
 def pieces(offsets: np.ndarray, length: int, most: int = 1 << 20) -> Iterator[tuple[list[int], list[int], list[int]]]:
@@ -94,8 +97,31 @@ _RUNS = ["part", "known", "key", "doc", "start", "windows"]
 _RUNS_SCHEMA = "part int, known boolean, key binary, doc binary, start binary, windows binary"
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in the fewest of 1, 2, 4 or 8 bytes each, which the first byte tells; 8 signed, the others not."""
+    low, high = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    width = 8 if low < 0 else next(w for w in (1, 2, 4, 8) if high < 1 << (8 * w))
+    return bytes([width]) + x.astype(_WIDTHS[width] if low < 0 or width < 8 else np.uint64).tobytes()
+
+
+def widen(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, _WIDTHS[raw[0]], offset=1).astype(np.int64)
+
+
+_WIDTHS = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}
+
+
 def _packed(part: int, known: bool, key: np.ndarray, doc: np.ndarray, start: np.ndarray, windows: np.ndarray) -> tuple:
-    return (part, known, key.astype(np.uint64).tobytes(), doc.astype(np.int64).tobytes(), start.astype(np.int32).tobytes(), windows.astype(np.uint8).tobytes())
+    """Of a key, 48 bits: a clash of two anchors only costs a look at them."""
+    parts = key.astype(np.uint64)[:, None].view(np.uint8)[:, 2:] if len(key) else np.zeros(0, np.uint8)
+    return (part, known, parts.tobytes(), narrow(doc), narrow(start), narrow(windows))
+
+
+def _keys(table: pa.Table) -> np.ndarray:
+    raw = np.frombuffer(b"".join(table.column("key").to_pylist()), np.uint8).reshape(-1, 6)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, 2:] = raw
+    return out.view(np.uint64).ravel()
 
 
 def _split(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
@@ -112,8 +138,8 @@ def _runs_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], _RUNS)
 
 
-def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
+def _joined(table: pa.Table, column: str) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(widen(x) for x in table.column(column).to_pylist())])
 
 
 def shared_runs(docs: DataFrame, length: int, buckets: int, hot: int) -> DataFrame:
@@ -135,9 +161,9 @@ def shared_runs(docs: DataFrame, length: int, buckets: int, hot: int) -> DataFra
             # Shared in this task already: on to their documents; one row tells the anchor's bucket.
             out = [_packed(buckets + p, False, *c) for p, *c in _split(doc[local] % buckets, key[local], doc[local], start[local], windows[local])]
             k = key[first][several]
-            out += [_packed(p, True, a, b, np.zeros(0), np.zeros(0)) for p, a, b in _split((k % np.uint64(buckets)).astype(np.int64), k, met[several])]
+            out += [_packed(p, True, a, b, np.zeros(0), np.zeros(0)) for p, a, b in _split(((k >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64), k, met[several])]
             one = ~local
-            out += [_packed(p, False, *c) for p, *c in _split((key[one] % np.uint64(buckets)).astype(np.int64), key[one], doc[one], start[one], windows[one])]
+            out += [_packed(p, False, *c) for p, *c in _split(((key[one] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64), key[one], doc[one], start[one], windows[one])]
             held.clear()
             yield _runs_batch(out)
 
@@ -160,12 +186,12 @@ def shared_runs(docs: DataFrame, length: int, buckets: int, hot: int) -> DataFra
     def resolve(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         if part >= buckets:
-            out = [(part - buckets, False, *(b"".join(table.column(c).to_pylist()) for c in _RUNS[2:]))]
+            out = [_packed(part - buckets, False, _keys(table), *(_joined(table, c) for c in _RUNS[3:]))]
             return pa.Table.from_batches([_runs_batch(out)])
         known = table.filter(table.column("known"))
         single = table.filter(pa.compute.invert(table.column("known")))
-        k, met = _joined(known, "key", np.uint64), _joined(known, "doc", np.int64)
-        key, doc, start, windows = (_joined(single, c, t) for c, t in (("key", np.uint64), ("doc", np.int64), ("start", np.int32), ("windows", np.uint8)))
+        k, met = _keys(known), _joined(known, "doc")
+        key, (doc, start, windows) = _keys(single), (_joined(single, c) for c in _RUNS[3:])
         every, who = np.concatenate([key, k]), np.concatenate([doc, np.full(len(k), -1)])
         number = np.concatenate([np.zeros(len(key), np.int64), met])
         order = np.lexsort((who, every))
@@ -189,8 +215,32 @@ def shared_runs(docs: DataFrame, length: int, buckets: int, hot: int) -> DataFra
     return docs.select("id", "text").mapInArrow(gather, _RUNS_SCHEMA).groupBy("part").applyInArrow(resolve, _RUNS_SCHEMA)
 
 
-_STRINGS = ["part", "key", "size", "content", "owners", "doc", "start"]
-_STRINGS_SCHEMA = "part int, key binary, size binary, content binary, owners binary, doc binary, start binary"
+_STRINGS = ["part", "size", "content", "owners", "doc", "start"]
+_STRINGS_SCHEMA = "part int, size binary, content binary, owners binary, doc binary, start binary"
+_TEXTS_SCHEMA = "part int, id binary, size binary, content binary"
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """Texts (id, text, part) as compressed blocks by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = utf8(b.column(1))
+            raw = data.tobytes()
+            ids, part = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), b.column(2).to_numpy()
+            pack = zstandard.ZstdCompressor(level=1).compress
+            out = [(p, narrow(ids[rows]), narrow(np.diff(offsets)[rows]), pack(b"".join(raw[offsets[r] : offsets[r + 1]] for r in rows)))
+                   for p, rows in _split(part, np.arange(b.num_rows))]
+            cols = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 3], strict=True)], ["part", "id", "size", "content"])
+
+    return docs.select("id", "text", "part").mapInArrow(run, _TEXTS_SCHEMA)
+
+
+def _texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, bytes, offsets) of a bucket's texts."""
+    body = b"".join(zstandard.decompress(x) for x in table.column("content").to_pylist())
+    return _joined(table, "id"), np.frombuffer(body, np.uint8), np.r_[0, np.cumsum(_joined(table, "size"))]
 
 
 def strings(runs: DataFrame, texts: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
@@ -200,17 +250,18 @@ def strings(runs: DataFrame, texts: DataFrame, length: int, buckets: int, hot: n
     def cut(table: pa.Table, text: pa.Table) -> pa.Table:
         out = []
         if table.num_rows and text.num_rows:
-            data, offsets = utf8(text.column("text"))
-            ids = text.column("id").to_numpy().astype(np.int64)
+            ids, data, offsets = _texts(text)
             by_id = np.argsort(ids, kind="stable")
-            key, doc, start, windows = (_joined(table, c, t) for c, t in (("key", np.uint64), ("doc", np.int64), ("start", np.int32), ("windows", np.uint8)))
+            key, (doc, start, windows) = _keys(table), (_joined(table, c) for c in _RUNS[3:])
+            order = np.argsort(key, kind="stable")  # strings of one anchor side by side
+            key, doc, start, windows = key[order], doc[order], start[order], windows[order]
             at = by_id[np.minimum(np.searchsorted(ids[by_id], doc), len(ids) - 1)]
             begin = offsets[at] + start
-            end = begin + windows.astype(np.int64) + length - 1
+            end = begin + windows + length - 1
             ok = (ids[at] == doc) & (end <= offsets[at + 1])
             if len(hot):
                 wide = np.isin(key, hot) & ok
-                many = windows[wide].astype(np.int64)
+                many = windows[wide]
                 inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 b2 = np.repeat(begin[wide], many) + inner
                 k2 = np.array([int.from_bytes(hashlib.blake2b(data[x : x + length].tobytes(), digest_size=8).digest(), "little") for x in b2], np.uint64)
@@ -230,18 +281,54 @@ def strings(runs: DataFrame, texts: DataFrame, length: int, buckets: int, hot: n
             contents = list(folded)
             lists = list(folded.values())
             lead = np.array([x[0] for x in lists], np.int64)
-            parts = (key[lead] % np.uint64(buckets)).astype(np.int64) if len(lead) else lead
+            parts = ((key[lead] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64) if len(lead) else lead
+            pack = zstandard.ZstdCompressor(level=1).compress
             for p, some in _split(parts, np.arange(len(lead))):
                 whose = [lists[x] for x in some]
                 flat = np.concatenate(whose).astype(np.int64)
-                out.append((p, key[lead[some]].tobytes(), np.array([len(contents[x]) for x in some], np.uint8).tobytes(), b"".join(contents[x] for x in some),
-                            np.array([len(w) for w in whose], np.int32).tobytes(), doc[flat].astype(np.int64).tobytes(), start[flat].astype(np.int32).tobytes()))
-        cols = list(zip(*out, strict=True)) or [[]] * 7
-        return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 6], strict=True)], names=_STRINGS)
+                out.append((p, narrow(np.array([len(contents[x]) for x in some])), pack(b"".join(contents[x] for x in some)),
+                            narrow(np.array([len(w) for w in whose])), narrow(doc[flat]), narrow(start[flat])))
+        cols = list(zip(*out, strict=True)) or [[]] * 6
+        return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 5], strict=True)], names=_STRINGS)
 
     return runs.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(cut, _STRINGS_SCHEMA)
 
 
+def shared_stretches(contents: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first window, windows): stretches of windows that another string may hold.
+
+    A window of another string with the same anchor has equal grams at both its ends, at the same places from the
+    anchor; windows of whose end grams only one string has any are left out, and with them most of what differs from
+    copy to copy.
+    """
+    n = len(contents)
+    sizes = np.array([len(c) for c in contents])
+    width = 2 * length
+    body = np.zeros((n, width), np.uint8)
+    body[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(contents), np.uint8)
+    grams = width - GRAM + 1
+    h = np.zeros((n, grams), np.uint64)
+    for j in reversed(range(GRAM)):
+        h = h * BASE + (body[:, j : j + grams].astype(np.uint64) + np.uint64(1))
+    h = mix(h)
+    # The anchor, as anchored_runs() has it: all windows of a string share the first one's.
+    anchor = (h[:, : length - GRAM + 1] & ~np.uint64(0xFFFFFF)).argmin(1)
+    own = mix(h[np.arange(n), anchor])
+    place = np.arange(grams)[None, :] - anchor[:, None] + width
+    token = mix(h ^ own[:, None] ^ mix(place.astype(np.uint64)))
+    inside = np.arange(grams)[None, :] <= (sizes - GRAM)[:, None]
+    _, back, times = np.unique(token[inside], return_inverse=True, return_counts=True)
+    often = np.zeros((n, grams), bool)
+    often[inside] = times[back] > 1
+    windows = sizes - length + 1
+    w = np.arange(length + 1)
+    good = often[:, : len(w)] & often[:, length - GRAM : length - GRAM + len(w)] & (w[None, :] < windows[:, None])
+    edge = np.diff(np.pad(good, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    string, first = np.nonzero(edge == 1)
+    _, stop = np.nonzero(edge == -1)
+    return string, first, stop - first
+
+
 def least_owners(contents: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
     """For each string (different from the others), and each window in it, the least document of any string that
     holds the window; `least` are the strings' own. Equal windows are found in the order of all suffixes."""
@@ -266,68 +353,82 @@ def least_owners(contents: list[bytes], least: np.ndarray, length: int) -> list[
     return [per[b : b + s - length + 1] for b, s in zip(begin, sizes, strict=True)]
 
 
+def all_owners(contents: list[bytes], least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, window, owner) wherever a window's least document may be another than its own string's least one."""
+    string, first, windows = shared_stretches(contents, length)
+    at: dict[bytes, int] = {}
+    which = np.zeros(len(string), np.int64)
+    for k, (x, lo, w) in enumerate(zip(string.tolist(), first.tolist(), windows.tolist(), strict=True)):
+        which[k] = at.setdefault(contents[x][lo : lo + w + length - 1], len(at))
+    stretches = list(at)
+    low = np.full(len(stretches), np.iinfo(np.int64).max)
+    np.minimum.at(low, which, least[string])
+    owners: list[np.ndarray] = [np.zeros(0, np.int64)] * len(stretches)
+    # Stretches with one anchor are sorted together; blocks of some hundred thousand letters.
+    anchor = np.zeros(len(stretches), np.uint64)
+    anchor[which] = _anchors(contents, length)[string] if len(string) else 0
+    order = np.argsort(anchor, kind="stable")
+    block: list[int] = []
+    size = 0
+    groups = np.split(order, np.flatnonzero(anchor[order][1:] != anchor[order][:-1]) + 1) if len(order) else []
+    for k, some in enumerate(groups):
+        if len(some) > 1:
+            block += some.tolist()
+            size += sum(len(stretches[x]) + 1 for x in some)
+        else:
+            owners[some[0]] = np.full(len(stretches[some[0]]) - length + 1, low[some[0]])
+        if block and (size >= SORTED_AT_ONCE or k == len(groups) - 1):
+            for x, o in zip(block, least_owners([stretches[x] for x in block], low[block], length), strict=True):
+                owners[x] = o
+            block, size = [], 0
+    inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    owner = np.concatenate([np.zeros(0, np.int64), *(owners[k] for k in which)])
+    return np.repeat(string, windows), np.repeat(first, windows) + inner, owner
+
+
+def _anchors(contents: list[bytes], length: int) -> np.ndarray:
+    """The key of each string's anchor, as anchored_runs() has it."""
+    sizes = np.array([len(c) for c in contents])
+    row, _, _, key = anchored_runs(np.frombuffer(b"".join(contents), np.uint8), np.r_[0, np.cumsum(sizes)], length)
+    out = np.zeros(len(contents), np.uint64)
+    out[row[::-1]] = key[::-1]
+    return out
+
+
 def covered(folded: DataFrame, length: int, buckets: int) -> DataFrame:
     """(part, doc, start, mask), packed by the id's bucket: bit w of the mask is a window start + w that goes."""
 
     def judge(table: pa.Table) -> pa.Table:
         at: dict[bytes, int] = {}
-        contents: list[bytes] = []
-        keys: list[int] = []
         string, docs, starts = [], [], []
         for row in table.select(_STRINGS[1:]).to_pylist():
-            key, size = np.frombuffer(row["key"], np.uint64), np.frombuffer(row["size"], np.uint8).astype(np.int64)
-            ends, body, local = np.cumsum(size).tolist(), row["content"], []
-            for k, lo, hi in zip(key.tolist(), [0, *ends[:-1]], ends, strict=True):
-                s = body[lo:hi]
-                if s not in at:
-                    at[s] = len(contents)
-                    contents.append(s)
-                    keys.append(k)
-                local.append(at[s])
-            string.append(np.repeat(local, np.frombuffer(row["owners"], np.int32)))
-            docs.append(np.frombuffer(row["doc"], np.int64))
-            starts.append(np.frombuffer(row["start"], np.int32))
+            ends, body, local = np.cumsum(widen(row["size"])).tolist(), zstandard.decompress(row["content"]), []
+            for lo, hi in zip([0, *ends[:-1]], ends, strict=True):
+                local.append(at.setdefault(body[lo:hi], len(at)))
+            string.append(np.repeat(local, widen(row["owners"])))
+            docs.append(widen(row["doc"]))
+            starts.append(widen(row["start"]))
         out = []
+        contents = list(at)
         if contents:
             string, docs, starts = np.concatenate(string), np.concatenate(docs), np.concatenate(starts)
             least = np.full(len(contents), np.iinfo(np.int64).max)
             np.minimum.at(least, string, docs)
             # Anchors with one string left have nothing to sort: its windows belong to its least document.
-            order = np.argsort(np.array(keys, np.uint64), kind="stable")
-            ordered = np.array(keys, np.uint64)[order]
-            low: dict[int, np.ndarray] = {}
-            block: list[int] = []
-            size = 0
-
-            def sort_block() -> None:
-                for x, owners in zip(block, least_owners([contents[x] for x in block], least[block], length), strict=True):
-                    low[x] = owners
-
-            for some in np.split(order, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1):
-                if len(some) > 1:
-                    block += some.tolist()
-                    size += sum(len(contents[x]) + 1 for x in some)
-                    if size >= SORTED_AT_ONCE:
-                        sort_block()
-                        block.clear()
-                        size = 0
-            if block:
-                sort_block()
-            masks = np.zeros(len(string), np.uint64)
-            plain = np.ones(len(contents), bool)
-            plain[list(low)] = False
-            whole = np.array([(1 << (len(c) - length + 1)) - 1 for c in contents], np.uint64)
-            go = plain[string] & (docs > least[string])
-            masks[go] = whole[string[go]]
-            by_string = np.argsort(string, kind="stable")
-            bounds = np.searchsorted(string[by_string], np.arange(len(contents) + 1))
-            for x, owners in low.items():
-                own = by_string[bounds[x] : bounds[x + 1]]
-                bits = (docs[own][:, None] > owners[None, :]).astype(np.uint64) << np.arange(len(owners), dtype=np.uint64)
-                masks[own] = bits.sum(1, dtype=np.uint64)
+            anchor = _anchors(contents, length)
+            _, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
+            several = np.flatnonzero(times[back] > 1)
+            owner = np.repeat(least[:, None], length, 1)
+            if len(several):
+                several = several[np.argsort(anchor[several], kind="stable")]
+                x, w, o = all_owners([contents[k] for k in several], least[several], length)
+                owner[several[x], w] = o
+            windows = np.array([len(c) for c in contents]) - length + 1
+            bits = (docs[:, None] > owner[string]) & (np.arange(length)[None, :] < windows[string][:, None])
+            masks = (bits.astype(np.uint64) << np.arange(length, dtype=np.uint64)).sum(1, dtype=np.uint64)
             hit = masks > 0
             for p, d, s, m in _split(docs[hit] % buckets, docs[hit], starts[hit], masks[hit]):
-                out.append((p, d.astype(np.int64).tobytes(), s.astype(np.int32).tobytes(), m.tobytes()))
+                out.append((p, narrow(d), narrow(s), m.astype(np.uint64).tobytes()))
         cols = list(zip(*out, strict=True)) or [[]] * 4
         return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 3], strict=True)], names=["part", "doc", "start", "mask"])
 
@@ -363,13 +464,14 @@ def dedup(docs: DataFrame, length: int = 50, hot: int = HOT, id_col: str = "doc_
     given = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
     texts = given.filter("id is not null").withColumn("part", F.pmod("id", F.lit(buckets)).cast("int"))
     runs = reliable(shared_runs(texts, length, buckets, hot))
-    over = [np.frombuffer(r[0], np.uint64) for r in runs.filter("part = -1").select("key").collect()]
-    folded = strings(runs.filter("part >= 0"), texts, length, buckets, np.sort(np.concatenate(over)) if over else np.zeros(0, np.uint64))
+    over = _keys(runs.filter("part = -1").select("key").toArrow())
+    blocks = packed_texts(texts)
+    folded = strings(runs.filter("part >= 0"), blocks, length, buckets, np.sort(over))
 
     def finish(found: pa.Table, text: pa.Table) -> pa.Table:
-        data, offsets = utf8(text.column("text"))
-        ids = text.column("id").to_numpy().astype(np.int64)
-        doc, start, mask = (_joined(found, c, t) for c, t in (("doc", np.int64), ("start", np.int32), ("mask", np.uint64)))
+        ids, data, offsets = _texts(text)
+        doc, start = _joined(found, "doc"), _joined(found, "start")
+        mask = np.frombuffer(b"".join(found.column("mask").to_pylist()), np.uint64)
         order = np.argsort(doc, kind="stable")
         doc, start, mask = doc[order], start[order], mask[order]
         out = []
@@ -384,7 +486,7 @@ def dedup(docs: DataFrame, length: int = 50, hot: int = HOT, id_col: str = "doc_
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "spans", "kept_sha256"])
 
     schema = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
-    done = covered(folded, length, buckets).groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(finish, schema)
+    done = covered(folded, length, buckets).groupBy("part").cogroup(blocks.groupBy("part")).applyInArrow(finish, schema)
     loose = given.filter("id is null").selectExpr("id", "cast(octet_length(text) as long) n_bytes", "0L n_removed",
                                                   "cast(array() as array<struct<start:long,end:long>>) spans", "sha2(text, 256) kept_sha256")
     return done.unionByName(loose).withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
