@@ -7,14 +7,20 @@ search for the next larger room passes whole ranges of bins that conflict, until
 
 from __future__ import annotations
 
+import hashlib
 from bisect import insort
 from collections import Counter
+from collections.abc import Iterator
+from itertools import pairwise
 from math import ceil
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.text import utf8
+
 
 class Bins:
     """Open bins of one shard. `place` returns the number of the bin that takes a piece."""
@@ -66,7 +72,7 @@ class Bins:
 
 
 def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
-    """Best fit in decreasing size; ties by id and piece."""
+    """Best fit in decreasing size; ties by id as text and piece."""
     pieces = pieces.sort_values(["n_words", "id", "piece"], ascending=[False, True, True], kind="stable")
     sources = {s: ((1 << per_source) - 1) << (i * per_source) for i, s in enumerate(pieces["source"].drop_duplicates())}
     several = [c for c, n in Counter(pieces["cluster"]).items() if n > 1]
@@ -80,22 +86,31 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows:
          text_col: str = "text", source_col: str = "source", cluster_col: str | None = None) -> DataFrame:
     """(id, piece, first_word, n_words, bin_id, bin_words): where each piece of every text goes.
 
-    Sizes are words between white space. A text longer than the capacity is cut into pieces of it and a rest. No
-    bin holds two pieces of one duplicate cluster (by default texts that are equal but for case and white space),
+    Sizes are words between ASCII white space. A text longer than the capacity is cut into pieces of it and a rest. No
+    bin holds two pieces of one duplicate cluster (by default texts that are equal but for A-Z's case and white space),
     or over `per_source` pieces of one source. Null and empty texts have one row of no words and no bin. A null
-    source is a source of its own. Shards of about `shard_rows` pieces, dealt by a hash of id and piece, are packed
+    source is a source of its own; a null id is an id like others. Shards of about `shard_rows` pieces, dealt by a hash of id and piece, are packed
     independently, so no source or cluster meets in one task, and each shard leaves less than a bin more of waste.
     """
-    text = F.trim(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\s+", " "))
-    cluster = F.col(cluster_col).cast("string") if cluster_col else F.md5(F.lower("_t"))
-    sized = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
-                        *([F.col(cluster_col)] if cluster_col else []), text.alias("_t"))
-    sized = sized.select("id", "source", cluster.alias("cluster"),
-                         F.when(F.col("_t") == "", 0).otherwise(F.length("_t") - F.length(F.translate("_t", " ", "")) + 1).alias("words"))
+    given = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+                        F.col(text_col).cast("string").alias("text"), (F.col(cluster_col).cast("string") if cluster_col else F.lit(None).cast("string")).alias("cluster"))
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = utf8(b.column(2))
+            words, clusters = [], []
+            for lo, hi in pairwise(offsets.tolist()):
+                split = data[lo:hi].tobytes().lower().split()
+                words.append(len(split))
+                clusters.append(hashlib.blake2b(b" ".join(split), digest_size=16).hexdigest())
+            own = b.column(3) if cluster_col else pa.array(clusters)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), own, pa.array(words, pa.int64())], ["id", "source", "cluster", "words"])
+
+    sized = given.mapInArrow(measure, "id string, source string, cluster string, words long")
     pieces = (sized.filter("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("words") - 1) / capacity).cast("int"))))
               .select("id", "source", "cluster", "piece", F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("int").alias("n_words")))
     shards = max(1, ceil(docs.count() / shard_rows))
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = pack_shard(group, capacity, per_source)
@@ -105,6 +120,6 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows:
         return out[["id", "piece", "first_word", "n_words", "bin_id", "bin_words"]]
 
     packed = (pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)).cast("long")).groupBy("shard")
-              .applyInPandas(run, f"id {kind}, piece int, first_word long, n_words int, bin_id long, bin_words long"))
+              .applyInPandas(run, "id string, piece int, first_word long, n_words int, bin_id long, bin_words long"))
     empty = sized.filter("words = 0").selectExpr("id", "0 piece", "0L first_word", "0 n_words", "cast(null as long) bin_id", "cast(null as long) bin_words")
-    return packed.unionByName(empty).withColumnRenamed("id", id_col)
+    return packed.unionByName(empty).withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
