@@ -21,7 +21,7 @@ from cartorio.llm.labelled import fold, sample
 from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
 #: Labelled texts that a fit uses at most.
-MOST_ROWS = 12_000
+MOST_ROWS = 8_000
 BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (3, 4, 5), 3
 
 
@@ -91,48 +91,40 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(pooled + self.bias, -60, 60)))
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
-    """Train on whole texts. Without both classes every score is the share of label 1."""
+def fit(texts: list[str], labels: np.ndarray, epochs: int = 7, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
+    """Train on whole texts, a batch of them in numpy at a time. Without both classes every score is the share of label 1."""
     labels = np.asarray(labels, float)
     share = labels.mean() if len(labels) else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), -60.0 if share == 0 else 60.0)
-    data, offsets = utf8(pa.array(texts, pa.string()))
-    words = Words(data, offsets)
-    _, one, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-    bucket, owner = gram_buckets(words, one)
-    order = np.argsort(owner, kind="stable")
-    bucket, owner = bucket[order], owner[order]
-    grams = np.bincount(owner, minlength=len(one))
-    first_gram = np.r_[0, np.cumsum(grams)]
+    column = pa.array(texts, pa.string())
+    typical = max(sum(map(len, texts)) / len(texts) / 6, 2.0)
 
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     softmax = rng.normal(0, 0.3, (DIMENSIONS, 2)).astype(np.float32)
-    bias = np.array([0.0, -np.log(max(words.counts.mean(), 2.0)) + np.log(share / (1 - share))])
+    bias = np.array([0.0, -np.log(typical) + np.log(share / (1 - share))])
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, softmax, bias)]
     step = 0
     for _ in range(epochs):
         shuffled = rng.permutation(len(texts))
         for lo in range(0, len(shuffled), batch):
             rows = shuffled[lo : lo + batch]
-            counts = words.counts[rows]
-            first = np.r_[0, np.cumsum(counts)]
-            place = np.repeat(words.first[rows] - first[:-1], counts) + np.arange(first[-1])
-            used, local = np.unique(inverse[place], return_inverse=True)
-            n = grams[used]
-            at = np.r_[0, np.cumsum(n)]
-            mine = bucket[np.repeat(first_gram[used] - at[:-1], n) + np.arange(at[-1])]
-            mean = (np.add.reduceat(np.vstack([vectors[mine], np.zeros((1, DIMENSIONS), np.float32)]), at[:-1], axis=0) / n[:, None]) if len(used) else np.zeros((0, DIMENSIONS))
+            words = Words(*utf8(column.take(pa.array(rows))))
+            counts, first = words.counts, words.first
+            _, one, local = np.unique(words.hash, return_index=True, return_inverse=True)
+            mine, owner = gram_buckets(words, one)
+            n = np.bincount(owner, minlength=len(one))
+            mean = np.stack([np.bincount(owner, vectors[mine, d], len(one)) for d in range(DIMENSIONS)], 1) / np.maximum(n, 1)[:, None]
             odds = softmax[:, 1] - softmax[:, 0]
-            z, begin, width = run_means((mean @ odds)[local] if len(used) else np.zeros(0), first)
+            z, begin, width = run_means((mean @ odds)[local] if len(one) else np.zeros(0), first)
             runs = np.where(counts > 0, np.maximum(counts - RUN + 1, 1), 0)
             pooled, part = log_sums(z, runs)
             error = (1 / (1 + np.exp(-np.clip(pooled + bias[1] - bias[0], -60, 60))) - labels[rows]) / len(rows)
             by_run = np.repeat(error, runs) * part / width
             change = np.bincount(begin, by_run, first[-1] + 1) - np.bincount(begin + width, by_run, first[-1] + 1)
-            by_word = np.bincount(local, np.cumsum(change)[:-1], len(used))
-            by_bucket = np.bincount(mine, np.repeat(by_word / n, n), BUCKETS)
+            by_word = np.bincount(local, np.cumsum(change)[:-1], len(one))
+            by_bucket = np.bincount(mine, (by_word / np.maximum(n, 1))[owner], BUCKETS)
             toward = mean.T @ by_word
             grads = (by_bucket[:, None] * odds + decay * vectors, np.stack([-toward, toward], 1), np.array([-error.sum(), error.sum()]))
             step += 1
