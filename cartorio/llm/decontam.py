@@ -92,7 +92,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
 
     n_hit counts the words inside any occurrence of a window; items are the ids, as sorted strings, whose
     windows occur; contaminated means n_hit > 0 and share * n_hit >= n_words. Null and empty texts and items
-    have no words. An empty benchmark contaminates nothing. Ids are expected to be unique.
+    have no words. An empty benchmark contaminates nothing. Ids are unique; rows that repeat one in full
+    get equal results, and rows with a null id count as clean.
     """
     spark = docs.sparkSession
     placed = windows(benchmark, size, item_col, item_text_col).persist()

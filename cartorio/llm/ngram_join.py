@@ -208,7 +208,7 @@ def verified(members: DataFrame, kind: str, threshold: Fraction) -> DataFrame:
         shingles = table.column("shingles")
         out: list[tuple] = []
         for rows in _by_group(table.column("root_hash").to_numpy()):
-            rows = rows[np.argsort([reps[r] for r in rows], kind="stable")] if len(rows) > 1 else rows
+            rows = rows[np.unique(reps[rows], return_index=True)[1]]  # by id; rows that repeat an id count once
             n = len(rows)
             own = signature[rows]
             maybe = np.zeros((n, n), bool)
@@ -270,7 +270,7 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "
     text. Two texts are linked when the Jaccard similarity of their shingle sets is at least the threshold. class_id
     is the least id that links and equal word sequences connect; n_links counts the different texts linked to the
     document's (equal texts count once, and not for each other). Texts without words, null ones too, are alone in
-    their class. Ids are unique and not null.
+    their class. Ids are unique; rows that repeat one in full get equal results, and a null id has a null class.
     """
     threshold = Fraction(str(threshold))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -298,7 +298,7 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     judged = (reps.select("key", "rep", "n_texts").join(links, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
               .select("key", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n_texts") - 1).alias("n_links")))
-    with_words = marked.select("id", "key").join(judged, "key").select("id", "class_id", "n_links")
+    with_words = marked.select("id", "key").join(judged, "key").groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
     ids = docs.select(F.col(id_col).alias("id"))
     return (ids.join(with_words, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
             .withColumnRenamed("id", id_col))

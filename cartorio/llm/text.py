@@ -104,9 +104,9 @@ class Words:
             rows = np.flatnonzero((self.counts > 0) & (self.counts < k))
             if len(rows):
                 extra = np.zeros(len(rows), np.uint64)
-                for i, r in enumerate(rows):
-                    for x in h[self.first[r] : self.first[r + 1]]:
-                        extra[i] = extra[i] * BASE + x
+                for j in range(k - 1):
+                    more = np.flatnonzero(self.counts[rows] > j)
+                    extra[more] = extra[more] * BASE + h[self.first[rows[more]] + j]
                 value = np.concatenate([value, mix(extra + np.uint64(k))])
                 place = np.concatenate([place, self.first[rows]])
         return value, place

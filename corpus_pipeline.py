@@ -28,9 +28,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class, that of the least id."""
-    kept = ngram_join.join(docs).filter("class_id = doc_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One document of each class, that of the least id; rows without an id stay."""
+    gone = ngram_join.join(docs).filter("class_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
