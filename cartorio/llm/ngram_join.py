@@ -30,7 +30,7 @@ HASHES = BANDS * ROWS
 STEPS = (16, 32, 64, 96, 128, HASHES)
 TOLERANCE = 1e-5
 #: Blocks of a bucket (signatures), and of a candidate group (shingle sets: rows and words).
-BUCKET_BLOCK, GROUP_BLOCK, GROUP_WORDS = 4096, 1024, 500_000
+BUCKET_BLOCK, GROUP_BLOCK, GROUP_WORDS = 4096, 512, 500_000
 
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
