@@ -22,7 +22,7 @@ from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
 #: Labelled texts that a fit uses at most.
 MOST_ROWS = 8_000
-BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (3, 4, 5), 3
+BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (4, 5, 6, 7), 2
 
 
 def gram_buckets(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +91,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(pooled + self.bias, -60, 60)))
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 7, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, steps: int = 500, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
     """Train on whole texts, a batch of them in numpy at a time. Without both classes every score is the share of label 1."""
     labels = np.asarray(labels, float)
     share = labels.mean() if len(labels) else 0.0
@@ -106,7 +106,7 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 7, batch: int = 96,
     bias = np.array([0.0, -np.log(typical) + np.log(share / (1 - share))])
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, softmax, bias)]
     step = 0
-    for _ in range(epochs):
+    for _ in range(-(-steps // -(-len(texts) // batch))):  # rounds over all texts, for about so many steps
         shuffled = rng.permutation(len(texts))
         for lo in range(0, len(shuffled), batch):
             rows = shuffled[lo : lo + batch]
