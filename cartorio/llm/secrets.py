@@ -27,7 +27,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same as [0-9a-f]+ and then 32 or more
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
-PERCENT = re.compile(r"[^\s%\"'<>]*(?:%[0-9A-Fa-f]{2}[^\s%\"'<>]*)+")
+PERCENT = re.compile(r"%[0-9A-Fa-f]{2}(?:[^\s%\"'<>]|%[0-9A-Fa-f]{2})*")
+BOUNDS = frozenset("%\"'<>")
 ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4})(?:\\u[0-9A-Fa-f]{4}|[^\s\\\"'<>])*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 PERCENT_BYTE = re.compile(rb"%([0-9A-Fa-f]{2})")
@@ -79,9 +80,14 @@ def _base64(run: str) -> str | None:
 def decoded(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, content) of each run of the layer that one decoding turns into other text."""
     if "%" in text:
+        last = 0
         for m in PERCENT.finditer(text):
-            out = PERCENT_BYTE.sub(lambda x: bytes([int(x[1], 16)]), m[0].encode(errors="surrogatepass")).decode(errors="replace")
-            yield m.start(), m.end(), out
+            start = m.start()  # with what stands before the first escape, in one step back over each letter
+            while start > last and not (text[start - 1] in BOUNDS or text[start - 1].isspace()):
+                start -= 1
+            last = m.end()
+            out = PERCENT_BYTE.sub(lambda x: bytes([int(x[1], 16)]), text[start:last].encode(errors="surrogatepass")).decode(errors="replace")
+            yield start, last, out
     if "\\u" in text:
         for m in ESCAPED.finditer(text):
             out = ESCAPE_UNIT.sub(lambda x: chr(int(x[1], 16)), m[0])
