@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartorio import rules
 from cartorio.operators import joins as J
 from cartorio.operators import sets
 from cartorio.plans.q_aggregates import LINES_SQL, _lines
@@ -50,9 +51,35 @@ def denominator_lookup(spark: SparkSession, sf: str) -> DataFrame:
     births = o.groupBy(F.year("o_orderdate").cast("bigint").alias("year"), F.col("c_nationkey").alias("uf")).agg(F.count("*").alias("births"))
     wanted = births.select("year", "uf", F.explode(F.array(F.lit("<1"), F.lit("1"))).alias("age_group"), F.lit("B").alias("state_group"))
     years = births.select("year").distinct()
-    rules = years.select("year", F.explode(F.array(F.lit("<1"), F.lit("1"))).alias("age_group"), F.lit("B").alias("state_group"), F.lit("SINASC").alias("source"))
-    rules = rules.withColumn("source_year", F.when(F.col("age_group") == "<1", F.col("year")).otherwise(F.col("year") - 1))
-    return J.lookup_year(wanted, rules, births).select("year", "uf", "age_group", "source_year", "births")
+    by_age = years.select("year", F.explode(F.array(F.lit("<1"), F.lit("1"))).alias("age_group"), F.lit("B").alias("state_group"), F.lit("SINASC").alias("source"))
+    by_age = by_age.withColumn("source_year", F.when(F.col("age_group") == "<1", F.col("year")).otherwise(F.col("year") - 1))
+    return J.lookup_year(wanted, by_age, births).select("year", "uf", "age_group", "source_year", "births")
+
+
+@query("""
+with births as (select year(o_orderdate) as y, c_nationkey as uf, count(*) as births from orders join customer on o_custkey = c_custkey group by 1, 2),
+w as (select y, uf, case when uf % 2 = 0 then 'A' else 'B' end as state_group, unnest(['<1', '1']) as age_group from births),
+s as (select *, case when y >= 2006 or (y >= 2000 and state_group = 'B') then case when age_group = '<1' then y else greatest(y - 1, 2000) end else y end as source_year,
+  case when y >= 2006 or (y >= 2000 and state_group = 'B') then 'SINASC' else 'IBGE' end as source from w)
+select s.y::bigint as year, s.uf, age_group, state_group, source, source_year::bigint as source_year, b.births from s left join births b on b.y = s.source_year and b.uf = s.uf
+""")
+def denominator_eras(spark: SparkSession, sf: str) -> DataFrame:
+    """The published rules by year, age and state group."""
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    births = o.groupBy(F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("uf")).agg(F.count("*").alias("births"))
+    wanted = births.select("year", "uf", F.when(F.col("uf") % 2 == 0, "A").otherwise("B").alias("state_group"), F.explode(F.array(F.lit("<1"), F.lit("1"))).alias("age_group"))
+    out = J.lookup_year(wanted, rules.denominators(spark), births)
+    return out.select(F.col("year").cast("bigint").alias("year"), "uf", "age_group", "state_group", "source", F.col("source_year").cast("bigint").alias("source_year"), "births")
+
+
+@query("""
+select year(o_orderdate)::bigint as year, o_orderpriority from orders where year(o_orderdate) = 1996 and o_orderpriority = '1-URGENT' group by 1, 2
+""")
+def known_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """E5: of the missing years and states, those without any published data; MG lacks 1996 only from then on."""
+    o = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'").select(F.year("o_orderdate").alias("year"), "o_orderpriority", F.lit("MG").alias("uf")).distinct()
+    gaps = rules.no_data(spark).filter("year = 1996")
+    return o.join(gaps, ["year", "uf"], "left_semi").select(F.col("year").cast("bigint").alias("year"), "o_orderpriority")
 
 
 #: Fixed values of the documents: indicators with their target share and period.
@@ -67,8 +94,8 @@ join rules on y >= a and (b is null or y <= b)
 def rule_validity(spark: SparkSession, sf: str) -> DataFrame:
     """Every year with the rules in force."""
     years = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").alias("n"))
-    rules = spark.createDataFrame(RULES, "indicator string, target double, a int, b int")
-    return J.valid_rules(years, rules, "year", "a", "b").select(F.col("year").cast("bigint").alias("year"), "indicator", "target", "n")
+    in_force = spark.createDataFrame(RULES, "indicator string, target double, a int, b int")
+    return J.valid_rules(years, in_force, "year", "a", "b").select(F.col("year").cast("bigint").alias("year"), "indicator", "target", "n")
 
 
 @query("""

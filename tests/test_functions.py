@@ -74,3 +74,14 @@ def test_every_row_is_valid_or_rejected(spark, texts):
 
     df = C.derive_keys(spark.createDataFrame([(t, "SP") for t in texts], "d string, uf string"), "d", "uf")
     assert sum(r["n"] for r in account(df, C.key_reject()).collect()) == len(texts)
+
+
+def test_rule_tables(spark):
+    from cartorio import rules
+
+    d = {(r["year"], r["age_group"], r["state_group"]): (r["source"], r["source_year"]) for r in rules.denominators(spark).collect()}
+    assert d[1999, "1", "B"] == ("IBGE", 1999) and d[2000, "1", "B"] == ("SINASC", 2000) and d[2003, "1", "B"] == ("SINASC", 2002) and d[2003, "<1", "A"] == ("IBGE", 2003)
+    assert d[2006, "1", "A"] == ("SINASC", 2005) and d[2010, "<1", "A"] == ("SINASC", 2009) and d[2010, "1", "A"] == ("SINASC", 2009) and d[2012, "1", "B"] == ("SINASC", 2009)
+    assert rules.no_data(spark).groupBy("year").count().orderBy("year").collect()[0]["count"] == 12
+    assert rules.state_groups(spark).filter("state_group = 'A'").count() == 12
+    assert rules.indicators(spark).filter("year_to < year_from").count() == 0 and rules.dropout_rules(spark).count() == 9
