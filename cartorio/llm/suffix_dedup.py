@@ -437,13 +437,10 @@ def covered(folded: DataFrame, length: int, buckets: int) -> DataFrame:
 
 def kept(data: np.ndarray, starts: np.ndarray, masks: np.ndarray, length: int) -> tuple[list[tuple[int, int]], bytes]:
     """(spans that go, remaining bytes) of one text."""
-    change = np.zeros(len(data) + 1, np.int64)
-    for w in range(64):
-        at = starts[(masks >> np.uint64(w)) & np.uint64(1) > 0] + w
-        at = at[at + length <= len(data)]
-        if len(at):
-            np.add.at(change, at, 1)
-            np.add.at(change, at + length, -1)
+    row, w = np.nonzero(np.unpackbits(np.ascontiguousarray(masks).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+    at = starts[row] + w
+    at = at[at + length <= len(data)]
+    change = np.bincount(at, minlength=len(data) + 1)[: len(data) + 1] - np.bincount(at + length, minlength=len(data) + 1)[: len(data) + 1]
     gone = np.cumsum(change[:-1]) > 0
     edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)), data[~gone].tobytes()
