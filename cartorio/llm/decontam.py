@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from cartorio.llm.text import Words, chunks, utf8
 
-#: A benchmark with at most so many placed shingles is sent to the tasks; a larger one is refused by name.
-MOST_SHINGLES = 4_000_000
+#: So many placed shingles are sent to the tasks at once; a larger benchmark is taken in blocks of items.
+MOST_SHINGLES = 1_000_000
 SHINGLE = 3
 
 
@@ -88,19 +88,35 @@ class Lookup:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_hit, items, contaminated) of every document.
+    """(id, n_words, n_hit, spans, items, contaminated) of every document.
 
-    n_hit counts the words inside any occurrence of a window; items are the ids, as sorted strings, whose
-    windows occur; contaminated means n_hit > 0 and share * n_hit >= n_words. Null and empty texts and items
-    have no words. An empty benchmark contaminates nothing. Ids are unique; rows that repeat one in full
-    get equal results, and rows with a null id count as clean.
+    n_hit counts the words inside any occurrence of a window, and spans (start and end, in words) are where they stand;
+    items are the ids, as sorted strings, whose windows occur; contaminated means n_hit > 0 and share * n_hit >= n_words.
+    Null and empty texts and items have no words. An empty benchmark contaminates nothing. Ids are unique; rows that repeat
+    one in full get equal results, and rows with a null id count as clean.
     """
-    spark = docs.sparkSession
+    # The shingles go to every task, so their number is counted first; it depends on the benchmark alone.
     placed = windows(benchmark, size, item_col, item_text_col).persist()
-    # The distinct shingles go to every task, so their number is checked first; it depends on the benchmark alone.
-    n = placed.count()
-    if n > MOST_SHINGLES:
-        raise ValueError(f"{n} placed shingles in the benchmark: split it into runs of at most {MOST_SHINGLES}")
+    blocks = max(1, -(-placed.count() // MOST_SHINGLES))
+    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    parts = [_one_block(docs, placed.filter(block == k) if blocks > 1 else placed, id_col, text_col) for k in range(blocks)]
+    out = parts[0]
+    if blocks > 1:
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out = out.groupBy("id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+                                    F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # Spans are sorted by start; of each only what lies beyond those before is counted.
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+    step = lambda t, x: F.struct((t["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(t["end"], x["start"]))).alias("n"), F.greatest(t["end"], x["end"]).alias("end"))
+    out = out.withColumn("n_hit", F.aggregate("spans", start, step)["n"].cast("long"))
+    return (out.withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words"))
+            .select(F.col("id").alias(id_col), "n_words", "n_hit", "spans", "items", "contaminated"))
+
+
+def _one_block(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n_words, spans, items) for the windows whose shingles are placed."""
+    spark = docs.sparkSession
     shingles = sorted(r[0] for r in placed.select("shingle").distinct().collect())
     shared = spark.sparkContext.broadcast(shingles)
     lookups: dict[int, Lookup] = {}
@@ -154,11 +170,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
                     if all((start + k, int(x)) in held_at for k, x in enumerate(c["needed"])):
                         hit[start : start + int(c["window_words"])] = True
                         items.add(c["item"])
-                rows.append((doc, int(n), int(hit.sum()), sorted(items)))
-            yield pd.DataFrame(rows, columns=["id", "n_words", "n_hit", "items"])
+                edge = np.flatnonzero(np.diff(np.r_[False, hit, False]))
+                spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2], strict=True)]
+                rows.append((doc, int(n), spans, sorted(items)))
+            yield pd.DataFrame(rows, columns=["id", "n_words", "spans", "items"])
 
-    judged = held.filter(F.size("numbers") > 0).join(per_doc, "id").mapInPandas(verify, f"id {kind}, n_words long, n_hit long, items array<string>")
+    span = "array<struct<start:int,end:int>>"
+    judged = held.filter(F.size("numbers") > 0).join(per_doc, "id").mapInPandas(verify, f"id {kind}, n_words long, spans {span}, items array<string>")
     clean = (held.select("id", "n_words").join(judged.select("id"), "id", "left_anti")
-             .select("id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")))
-    out = judged.unionByName(clean)
-    return out.withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words")).withColumnRenamed("id", id_col)
+             .select("id", "n_words", F.array().cast(span).alias("spans"), F.array().cast("array<string>").alias("items")))
+    return judged.unionByName(clean)

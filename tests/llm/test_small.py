@@ -170,7 +170,10 @@ def plain_contamination(docs, items, size=13):
     return out
 
 
-def test_contamination_as_the_plain_version(spark, corpus):
+@pytest.mark.parametrize("most", [None, 130])
+def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, most):
+    if most:  # a benchmark that comes in blocks
+        monkeypatch.setattr(decontam, "MOST_SHINGLES", most)
     long = next(t for t in corpus if t and len(t.split()) == 4000).split()
     items = [(10, " ".join(long[100:140])), (9, " ".join(long[120:126])), (2, "x"), (3, None), (4, "--"), (11, "ab. CD"), (12, corpus[6]), (13, " ".join(long[500:513]))]
     docs = [*corpus, " ".join(long[100:113]), " ".join(long[100:112]), "ç " + " ".join(long[110:130]).upper(), "ab cd ab cd x"]
