@@ -22,7 +22,7 @@ from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
 #: Labelled texts that a fit uses at most.
 MOST_ROWS = 8_000
-BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (4, 5, 6, 7), 2
+BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (3, 4, 5, 6), 2
 
 
 def gram_buckets(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
