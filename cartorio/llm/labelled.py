@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +11,6 @@ def fold(id_col: str, n: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n))
 
 
-def fold_of(ids: pd.Series, n: int) -> np.ndarray:
-    return np.array([zlib.crc32(str(i).encode()) % n for i in ids])
-
-
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, keep: Column, most: int, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(text, label) of at most `most` labelled rows that `keep` admits, those of the least id hashes.

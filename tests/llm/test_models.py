@@ -78,6 +78,17 @@ def test_stages_against_plain_versions(spark):
     assert kept == {r["doc_id"] for i, r in enumerate(rows) if not bad[i][3]}
 
 
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (None, "a b c", None, "s", 5), (1, "", "en", None, 0), (2, "w " * 30_000, None, "s", 60_000),
+                                       (3, "x y z", None, "s", 5), (3, "x y z", None, "s", 5)]])
+def test_stages_on_nulls_empty_long_and_repeated_rows(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("score", F.lit("clash")).withColumn("class_id", F.lit("clash"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.count() == len(rows), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
+    assert packed.groupBy().agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0] == sum(len((r[1] or "").split()) for r in rows)
+
+
 def test_pipeline_runs_all_stages(spark):
     out = corpus_pipeline.run(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
