@@ -18,6 +18,21 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(load(spark, sf_dir, "documents"))
 
 
+OP1_SQL = r"""
+with recursive doc as (
+  select doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+shingle as (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from doc where len(w) > 0)),
+size as (select doc_id, count(*) as n from shingle group by doc_id),
+pair as (select a.doc_id as x, b.doc_id as y, count(*) as k from shingle a join shingle b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+link as (select x, y from pair join size p on p.doc_id = x join size q on q.doc_id = y where 9 * k >= 4 * (p.n + q.n)),
+reach(doc_id, root) as (select doc_id, doc_id from doc union select l.y, r.root from reach r join link l on r.doc_id = l.x),
+class as (select doc_id, min(root) as class_id from reach group by doc_id),
+degree as (select x as doc_id, count(distinct b.text) as n_links from link join doc a on a.doc_id = x join doc b on b.doc_id = y where a.text <> b.text group by x)
+select doc_id, class_id, coalesce(n_links, 0) as n_links from class left join degree using (doc_id)
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -84,6 +99,23 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+OP6_SQL = """
+with doc as (select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+piece as (select doc_id, n, base, substr(h, 2 * base + 1, 2 * 177) as p from (select doc_id, h, n, unnest(range(0, n - 49, 128)) as base from doc where n >= 50)),
+win as (select doc_id, base + j as i, substr(p, 2 * j + 1, 100) as s from (select doc_id, base, p, unnest(range(0, least(128, n - 49 - base))) as j from piece)),
+first as (select s, min(doc_id) as least from win group by s),
+hit as (select doc_id, i from win join first using (s) where least < doc_id),
+mark as (select doc_id, i, case when i <= 50 + lag(i) over (partition by doc_id order by i) then 0 else 1 end as fresh from hit),
+part as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as span from mark),
+span as (select doc_id, min(i) as a, max(i) + 50 as z from part group by doc_id, span),
+gap as (select doc_id, a, z, coalesce(lag(z) over (partition by doc_id order by a), 0) as since from span),
+cut as (select doc_id, sum(z - a) as n_removed, count(*) as n_spans, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' order by a) || substr(any_value(h), 2 * max(z) + 1) as rest
+  from gap join doc using (doc_id) group by doc_id)
+select d.doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(rest, h))) as kept_sha256
+from doc d left join cut using (doc_id)
+"""
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     out = toxicity.score(docs, toxicity.train(docs, labels))
@@ -115,4 +147,4 @@ QUERIES = {
     "op9_tokens": op9_tokens,
     "op10_secrets": op10_secrets,
 }
-ORACLE_SQL = {"op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL}
+ORACLE_SQL = {"op1_ngram_join": OP1_SQL, "op6_suffix_dedup": OP6_SQL, "op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL}
