@@ -52,6 +52,7 @@ def drop_header_row(df: DataFrame, column: str) -> DataFrame:
 
 def scan(spark: SparkSession, root: str, where: Column | str | None = None, superset: bool = False) -> DataFrame:
     """Hive-partitioned Parquet below root; other files there (readme, manifest) are passed over. Key filters prune."""
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # keys are text: 01, not 1
     df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", superset).parquet(root)
     return df.filter(where) if where is not None else df
 
