@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartorio.llm.frames import lean
 from cartorio.llm.text import Words, chunks, utf8
 
 #: So many placed shingles are sent to the tasks at once; a larger benchmark is taken in blocks of items.
@@ -96,7 +97,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     one in full get equal results, and rows with a null id count as clean.
     """
     # The shingles go to every task, so their number is counted first; it depends on the benchmark alone.
-    placed = windows(benchmark, size, item_col, item_text_col).persist()
+    placed = windows(lean(benchmark), size, item_col, item_text_col).persist()
     blocks = max(1, -(-placed.count() // MOST_SHINGLES))
     block = F.pmod(F.xxhash64("item"), F.lit(blocks))
     parts = [_one_block(docs, placed.filter(block == k) if blocks > 1 else placed, id_col, text_col) for k in range(blocks)]

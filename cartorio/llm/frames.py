@@ -9,8 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from cartorio.session import checkpoint_folder, ship
 
 
+#: Rows in an Arrow batch at most: whole texts vary from a few bytes to megabytes, and Python holds a batch at a time.
+BATCH_ROWS = 1000
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """df, whose session from now on hands texts to Python in small batches."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return lean(ship(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def reliable(df: DataFrame) -> DataFrame:

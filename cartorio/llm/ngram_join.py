@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.llm.components import components
-from cartorio.llm.frames import reliable
+from cartorio.llm.frames import lean, reliable
 from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
 #: 32 bands of 5 values: a pair at similarity 0.8 shares none of them once in 300,000 pairs.
@@ -274,7 +274,7 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "
     """
     threshold = Fraction(str(threshold))
     kind = docs.schema[id_col].dataType.simpleString()
-    marked = reliable(marks(docs, size, id_col, text_col))
+    marked = reliable(marks(lean(docs), size, id_col, text_col))
     by_text = marked.groupBy("key", "text_key").agg(F.min("id").alias("rep"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
     reps = reliable(by_text.groupBy("key").agg(F.min("rep").alias("rep"), F.count("*").alias("n_texts"), F.first("n_words").alias("n_words"),
                                                F.first("bands").alias("bands"), F.first("signature").alias("signature")))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.frames import lean
 from cartorio.llm.text import utf8
 
 
@@ -92,7 +93,7 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows:
     source is a source of its own; a null id is an id like others. Shards of about `shard_rows` pieces, dealt by a hash of id and piece, are packed
     independently, so no source or cluster meets in one task, and each shard leaves less than a bin more of waste.
     """
-    given = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+    given = lean(docs).select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
                         F.col(text_col).cast("string").alias("text"), (F.col(cluster_col).cast("string") if cluster_col else F.lit(None).cast("string")).alias("cluster"))
     kind = docs.schema[id_col].dataType.simpleString()
 

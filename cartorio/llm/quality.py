@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.frames import lean
 from cartorio.llm.labelled import fold, sample
 from cartorio.llm.text import Words, chunks, mix, utf8
 
@@ -191,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", held_o
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every whole text; null and empty texts are scored by their zero features."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.intercept, model.edges, model.tables, model.pairs))
+    shared = lean(docs).sparkSession.sparkContext.broadcast((model.intercept, model.edges, model.tables, model.pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.frames import lean
 from cartorio.llm.labelled import fold, sample
 from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
@@ -145,13 +146,13 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", held_out
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score) of every whole text; null and empty texts have no runs and score 0."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
+    shared = lean(docs).sparkSession.sparkContext.broadcast((model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for b in batches:
             data, offsets = utf8(b.column(1))
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, 1 << 20):
                 s = model.scores(Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1]))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(s)], ["id", "score"])
 
@@ -162,13 +163,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows of docs, whole and as they are, whose text scores under `least`."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
+    shared = lean(docs).sparkSession.sparkContext.broadcast((model.weight, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value)
         for b in batches:
             data, offsets = utf8(b.column(b.schema.get_field_index(text_col)))
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, 1 << 20):
                 s = model.scores(Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1]))
                 yield b.slice(lo, hi - lo).filter(pa.array(s < least))
 
