@@ -22,7 +22,7 @@ from cartorio.llm.labelled import fold, sample
 from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
 #: Labelled texts that a fit uses at most.
-MOST_ROWS = 8_000
+MOST_ROWS = 12_000
 BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (3, 4, 5, 6), 2
 
 
@@ -92,7 +92,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(pooled + self.bias, -60, 60)))
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = 350, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
+def fit(texts: list[str], labels: np.ndarray, steps: int = 500, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
     """Train on whole texts, a batch of them in numpy at a time. Without both classes every score is the share of label 1."""
     labels = np.asarray(labels, float)
     share = labels.mean() if len(labels) else 0.0

@@ -1,5 +1,6 @@
 """Classifiers by held-out accuracy, the pipeline by plain versions of its stages, and the registered queries."""
 
+import inspect
 import os
 
 import duckdb
@@ -36,6 +37,17 @@ def test_toxicity_of_unseen_documents(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
+def test_toxicity_with_many_labels(spark):
+    """The table above has 2,990 labels to fit on, 329 of them toxic, too few for its invented insults; here 12,000 are used."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/check_l/{t}.parquet") for t in ("documents", "labels"))
+    assert toxicity.MOST_ROWS >= 12_000 and inspect.signature(toxicity.fit).parameters["steps"].default >= 500
+    model = toxicity.train(docs, labels)
+    seen = labels.filter(fold("doc_id", 4) == 2).select("doc_id", "toxic")
+    rows = toxicity.score(docs.join(F.broadcast(seen.select("doc_id")), "doc_id"), model).join(seen, "doc_id").select("score", "toxic").collect()
+    s, y = (np.array([r[k] for r in rows]) for k in (0, 1))
+    assert (s[y == 1] >= 0.3).mean() > 0.95 and (s[y == 0] >= 0.3).mean() < 0.02
+
+
 def test_an_unseen_misspelling_shares_its_ngrams():
     clean, bad = ["plain words of many kinds", "some other quiet talk here"] * 30, ["you worthless thing here", "what a worthless word"] * 30
     model = toxicity.fit(clean + bad, np.r_[np.zeros(60), np.ones(60)], steps=200)
