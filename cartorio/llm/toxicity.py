@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +22,8 @@ from cartorio.llm.frames import lean
 from cartorio.llm.labelled import fold, sample
 from cartorio.llm.text import BASE, Words, chunks, mix, utf8
 
-#: Labelled texts that a fit uses at most.
-MOST_ROWS = 12_000
+#: Labelled texts that a fit uses at most, and bytes of text that the driver is sent for it.
+MOST_ROWS, MOST_BYTES = 12_000, 64 << 20
 BUCKETS, DIMENSIONS, GRAMS, RUN = 1 << 17, 8, (3, 4, 5, 6), 2
 
 
@@ -92,14 +93,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(pooled + self.bias, -60, 60)))
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = 500, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
+def fit(texts: list[str | None] | pa.Array, labels: np.ndarray, steps: int = 500, batch: int = 96, rate: float = 0.02, decay: float = 1e-6, seed: int = 7) -> Model:
     """Train on whole texts, a batch of them in numpy at a time. Without both classes every score is the share of label 1."""
     labels = np.asarray(labels, float)
     share = labels.mean() if len(labels) else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(BUCKETS, np.float32), -60.0 if share == 0 else 60.0)
-    column = pa.array(texts, pa.string())
-    typical = max(sum(map(len, texts)) / len(texts) / 6, 2.0)
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    typical = max((pc.sum(pc.utf8_length(column)).as_py() or 0) / len(column) / 6, 2.0)
 
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -138,10 +139,10 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = 500, batch: int = 96,
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", held_out: int = 2, folds: int = 4, most: int = MOST_ROWS,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most `most` labelled documents whose id's fold isn't held out."""
-    rows = sample(docs, labels, label_col, fold("_id", folds) != held_out, most, id_col, text_col).toPandas()
-    rows = rows.sort_values(["text", "label"], kind="stable")
-    return fit(rows["text"].tolist(), rows["label"].to_numpy())
+    """Fit on at most `most` labelled documents, of at most MOST_BYTES together, whose id's fold isn't held out."""
+    rows = sample(docs, labels, label_col, fold("_id", folds) != held_out, most, id_col, text_col, MOST_BYTES).toArrow()
+    rows = rows.sort_by([("text", "ascending"), ("label", "ascending")])
+    return fit(pa.concat_arrays(rows["text"].chunks) if rows.num_rows else [], rows["label"].to_numpy())
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

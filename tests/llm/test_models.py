@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartorio.llm import quality, queries, toxicity
-from cartorio.llm.labelled import fold
+from cartorio.llm.labelled import fold, sample
 from tests.llm.test_small import SCHEMA, plain_contamination, plain_lines, plain_links
 
 LARGE, SMALL = "/root/testdata/sf0.1", "/root/testdata/sf0.001"
@@ -68,6 +68,25 @@ def test_one_class_or_none(spark, texts):
         assert len(out) == len(texts) + 2 and all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_labelled_null_texts_with_both_classes(spark):
+    texts = [None, "plain words", "worthless thing", "", None, "more words", "worthless", "quiet talk"] * 4
+    docs = spark.createDataFrame([(i, t, None, None, 1) for i, t in enumerate(texts)], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int("worthless" in (t or ""))) for i, t in enumerate(texts)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert len(got) == len(texts) and all(got[i] < 0.3 for i, t in enumerate(texts) if not t)
+    assert toxicity.drop_toxic(docs, model).count() <= len(texts)
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "é" * 500 if i == 3 else None if i == 4 else "ab" * 5) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    for most in (0, 10, 95, 1380, 1390):
+        rows = sample(docs, labels, "toxic", F.lit(True), 100, most_bytes=most).collect()
+        sizes = [len(r["text"].encode()) for r in rows]
+        assert sum(sizes) <= most and set(sizes) <= {0, 10, 1000} and (len(rows) == 40) == (most >= 1380)
+
+
 def test_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     stage = dict(corpus_pipeline.STAGES)
