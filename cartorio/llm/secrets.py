@@ -1,21 +1,23 @@
 """Secret scans: base kinds on the text itself, and the same kinds on every layer that decoding unwraps.
 
-A worklist starts with the text. Each layer is scanned; then every encoded run in it (percent escapes,
-\\u escapes, base64, and zlib or gzip data inside base64) is decoded to a new layer, unless that layer's
-content was seen for this text already (which ends cycles). A finding in a decoded layer is reported at the
-place of the encoded run in the text itself. Base findings always stay.
+A worklist starts with the text. Each layer is scanned; then it is decoded to new layers, unless a layer of that content
+at that place was seen for this text already (which ends cycles). All percent escapes, or all \\u escapes, are decoded
+at once over the whole layer; base64 runs, over line breaks and at each of the four alignments, are layers of their own, as
+is zlib or gzip data in decoded bytes. Each letter of a layer keeps its place in the text itself: exact for escapes and base64,
+the whole run for compressed data. A finding that touches nothing decoded by its layer's step is its parent's and not repeated.
+Base findings always stay.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
-import hashlib
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,15 +29,18 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, so the same as [0-9a-f]+ and then 32 or more
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 
-PERCENT = re.compile(r"%[0-9A-Fa-f]{2}(?:[^\s%\"'<>]|%[0-9A-Fa-f]{2})*")
-BOUNDS = frozenset("%\"'<>")
-ESCAPED = re.compile(r"(?:\\u[0-9A-Fa-f]{4})(?:\\u[0-9A-Fa-f]{4}|[^\s\\\"'<>])*")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+PERCENT_RUN = re.compile(r"[^\s%\"'<>]?%[0-9A-Fa-f]{2}(?:[^\s%\"'<>]|%[0-9A-Fa-f]{2})*")  # one letter before: zlib data starts with x
+ESCAPED = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+NO_BASE64 = re.compile(r"[^A-Za-z0-9+/_-]")
 PERCENT_BYTE = re.compile(rb"%([0-9A-Fa-f]{2})")
-ESCAPE_UNIT = re.compile(r"\\u([0-9A-Fa-f]{4})")
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+LONE = re.compile("[\ud800-\udfff]")
 MARKS = re.compile("pass|secret|token|api", re.I | re.A)
 
 Span = tuple[str, int, int]
+NAMES = ("kind", "start", "end", "path", "inner_start", "inner_end")
 
 
 def scan(text: str) -> list[Span]:
@@ -49,70 +54,151 @@ def scan(text: str) -> list[Span]:
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
-def _text(raw: bytes) -> str | None:
-    """Bytes as text, through any compression; None for what is no text."""
-    seen = set()
-    while raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        if raw in seen:
-            return None
-        seen.add(raw)
-        try:
-            raw = zlib.decompressobj(47).decompress(raw)
-        except zlib.error:
-            break
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text) else None
+@dataclass
+class Layer:
+    """A text whose letter i comes from start[i]:end[i] of the text itself; fresh[i]: by this layer's own step."""
 
+    text: str
+    start: np.ndarray
+    end: np.ndarray
+    fresh: np.ndarray
+    path: str = ""
+    exact: bool = True
 
-def _base64(run: str) -> str | None:
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        body = body[:-1]
-    try:
-        return _text(base64.b64decode(body + "=" * (-len(body) % 4)))
-    except binascii.Error:
-        return None
+    def touched(self, lo: int, hi: int) -> bool:
+        return bool(self.fresh[lo:hi].any())
 
+    def place(self, lo: int, hi: int) -> tuple[int, int]:
+        return int(self.start[lo:hi].min()), int(self.end[lo:hi].max())
 
-def decoded(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, content) of each run of the layer that one decoding turns into other text."""
-    if "%" in text:
-        last = 0
-        for m in PERCENT.finditer(text):
-            start = m.start()  # with what stands before the first escape, in one step back over each letter
-            while start > last and not (text[start - 1] in BOUNDS or text[start - 1].isspace()):
-                start -= 1
-            last = m.end()
-            out = PERCENT_BYTE.sub(lambda x: bytes([int(x[1], 16)]), text[start:last].encode(errors="surrogatepass")).decode(errors="replace")
-            yield start, last, out
-    if "\\u" in text:
-        for m in ESCAPED.finditer(text):
-            out = ESCAPE_UNIT.sub(lambda x: chr(int(x[1], 16)), m[0])
-            yield m.start(), m.end(), out.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-    for m in BASE64.finditer(text):
-        out = _base64(m[0])
-        if out is not None:
-            yield m.start(), m.end(), out
 
+def _letters(raw: bytes) -> tuple[str, np.ndarray]:
+    """Bytes as UTF-8, each that doesn't fit as U+FFFD, and how many bytes each letter takes."""
+    text = raw.decode(errors="surrogateescape")
+    return LONE.sub("\ufffd", text), np.array([1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text], np.int64)
 
-def find(text: str | None) -> tuple[list[Span], list[Span]]:
-    """(base findings, all findings) in code points of the text; decoded ones have their encoded run's place."""
+
+def _spliced(layer: Layer, name: str, pattern: re.Pattern, decode: Callable[[str], tuple[str, np.ndarray]]) -> Layer | None:
+    """The whole layer with each match decoded, to letters that take so many of the match's letters each."""
+    out, start, end, fresh, last = [], [], [], [], 0
+    for m in pattern.finditer(layer.text):
+        new, widths = decode(m[0])
+        edge = m.start() + np.r_[0, np.cumsum(widths)]
+        out += [layer.text[last : m.start()], new]
+        start += [layer.start[last : m.start()], layer.start[edge[:-1]]]
+        end += [layer.end[last : m.start()], layer.end[edge[1:] - 1]]
+        fresh += [np.zeros(m.start() - last, bool), np.ones(len(new), bool)]
+        last = m.end()
+    if not out:
+        return None
+    rest = len(layer.text) - last
+    return Layer("".join([*out, layer.text[last:]]), np.concatenate([*start, layer.start[last:]]), np.concatenate([*end, layer.end[last:]]),
+                 np.concatenate([*fresh, np.zeros(rest, bool)]), f"{layer.path}/{name}", layer.exact)
+
+
+def _percent(run: str) -> tuple[str, np.ndarray]:
+    text, widths = _letters(bytes.fromhex(run.replace("%", "")))
+    return text, 3 * widths
+
+
+def _unit(run: str) -> tuple[str, np.ndarray]:
+    out = b"".join(int(u, 16).to_bytes(2, "little") for u in run.split("\\u")[1:]).decode("utf-16-le", "replace")
+    return out[:1], np.array([len(run)])
+
+
+def _unpacked(raw: bytes) -> Iterator[bytes]:
+    """What each zlib or gzip stream in the bytes holds; gzip members that follow each other are put together."""
+    at = 0
+    while m := PACKED.search(raw, at):
+        at, rest, out = m.start() + 1, raw[m.start() :], []
+        while PACKED.match(rest):
+            stream = zlib.decompressobj(47)
+            try:
+                out.append(stream.decompress(rest))
+            except zlib.error:
+                break
+            if not stream.eof:
+                rest = b""
+                break
+            rest = stream.unused_data
+        if any(out):
+            yield b"".join(out)
+            at = max(at, len(raw) - len(rest))
+
+
+def _layers(raw: bytes, start: np.ndarray, end: np.ndarray, path: str, exact: bool) -> Iterator[Layer]:
+    """The texts that decoded bytes may be: UTF-8, UTF-16 and what compressed data in them holds."""
+    text, widths = _letters(raw)
+    edge = np.r_[0, np.cumsum(widths)]
+    yield Layer(text, start[edge[:-1]], end[edge[1:] - 1], np.ones(len(text), bool), path, exact)
+    if 4 * raw.count(0) >= len(raw) > 1:
+        for odd in (0, 1):
+            n = (len(raw) - odd) // 2
+            units = np.frombuffer(raw, "<u2", n, odd)
+            yield Layer(LONE.sub("\ufffd", "".join(map(chr, units.tolist()))), start[odd::2][:n], end[odd + 1 :: 2][:n], np.ones(n, bool), f"{path}/utf16", exact)
+    if len(raw):
+        for inner in _unpacked(raw):
+            n = len(inner)
+            yield from _layers(inner, np.full(n, start.min()), np.full(n, end.max()), f"{path}/packed", False)
+
+
+def decoded(layer: Layer) -> Iterator[Layer]:
+    """The layers that one decoding turns this one into."""
+    text = layer.text
+    if "%" in text:
+        if (out := _spliced(layer, "percent", PERCENT, _percent)) is not None:
+            yield out
+        for m in PERCENT_RUN.finditer(text):
+            if layer.touched(*m.span()):
+                raw = PERCENT_BYTE.sub(lambda x: bytes([int(x[1], 16)]), m[0].encode(errors="replace"))
+                lo, hi = layer.place(*m.span())
+                for inner in _unpacked(raw):
+                    n = len(inner)
+                    yield from _layers(inner, np.full(n, lo), np.full(n, hi), f"{layer.path}/percent/packed", False)
+    if "\\u" in text and (out := _spliced(layer, "u", ESCAPED, _unit)) is not None:
+        yield out
+    for m in BASE64.finditer(text):
+        if not layer.touched(*m.span()):
+            continue
+        at = np.array([m.start() + i for i, c in enumerate(m[0]) if not NO_BASE64.match(c)])
+        body = NO_BASE64.sub("", m[0]).replace("-", "+").replace("_", "/")
+        for k in range(4):
+            own = body[k:]
+            own = own[: len(own) - (len(own) % 4 == 1)]
+            raw = base64.b64decode(own + "=" * (-len(own) % 4))
+            bit = 8 * np.arange(len(raw))
+            if len(raw):
+                yield from _layers(raw, layer.start[at[k + bit // 6]], layer.end[at[k + (bit + 7) // 6]], f"{layer.path}/base64", layer.exact)
+
+
+def findings(text: str | None) -> tuple[list[Span], list[tuple]]:
+    """(base findings, all as (kind, start, end, path, inner start, inner end)) in code points of the text, one for each
+    secret; path names the decodings of its layer, and the inner ones are its place there."""
     text = text or ""
     base = scan(text)
-    every, seen = set(base), {text}
-    work = deque((s, e, layer) for s, e, layer in decoded(text))
+    found = {f: (*f, "", f[1], f[2]) for f in base}
+    if not ("%" in text or "\\u" in text or BASE64.search(text)):
+        return base, list(found.values())
+    every = np.arange(len(text) + 1)
+    work = deque(decoded(Layer(text, every[:-1], every[1:], np.ones(len(text), bool))))
+    seen = {(text, 0)}
     while work:
-        start, end, layer = work.popleft()
-        if (start, end, layer) in seen:
+        layer = work.popleft()
+        if not layer.text or (key := (layer.text, int(layer.start[0]))) in seen:
             continue
-        seen.add((start, end, layer))
-        every.update((kind, start, end) for kind, _, _ in scan(layer))
-        if layer not in seen:
-            work.extend((start, end, inner) for _, _, inner in decoded(layer) if inner != layer)
-    return base, sorted(every, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
+        seen.add(key)
+        for kind, lo, hi in scan(layer.text):
+            if layer.touched(lo, hi):
+                place = (kind, *layer.place(lo, hi))
+                found.setdefault(place if layer.exact else (*place, layer.path, lo, hi), (*place, layer.path, lo, hi))
+        work.extend(decoded(layer))
+    return base, sorted(found.values(), key=lambda f: (f[1], KINDS.index(f[0]), *f[2:]))
+
+
+def find(text: str | None) -> tuple[list[Span], list[Span]]:
+    """(base findings, all findings) by place alone."""
+    base, every = findings(text)
+    return base, [f[:3] for f in every]
 
 
 def joined(spans: list[Span]) -> str:
@@ -120,18 +206,20 @@ def joined(spans: list[Span]) -> str:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, base, spans): arrays of (kind, start, end) for every whole text; null is empty and has none."""
+    """(id, base, spans): base has (kind, start, end), and spans also (path, inner_start, inner_end), for every whole text;
+    null is empty and has none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [find(t) for t in b["text"]]
-            dicts = [[[{"kind": k, "start": s, "end": e} for k, s, e in part[i]] for part in found] for i in (0, 1)]
+            found = [findings(t) for t in b["text"]]
+            dicts = [[[dict(zip(names, f, strict=True)) for f in part[i]] for part in found] for i, names in enumerate((NAMES[:3], NAMES))]
             yield pd.DataFrame({"id": b["id"], "base": dicts[0], "spans": dicts[1]})
 
     kind = docs.schema[id_col].dataType.simpleString()
     one = "array<struct<kind:string,start:int,end:int>>"
+    more = "array<struct<kind:string,start:int,end:int,path:string,inner_start:int,inner_end:int>>"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        run, f"id {kind}, base {one}, spans {one}").withColumnRenamed("id", id_col)
+        run, f"id {kind}, base {one}, spans {more}").withColumnRenamed("id", id_col)
 
 
 def digest(found: DataFrame) -> DataFrame:

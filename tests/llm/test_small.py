@@ -143,6 +143,32 @@ def test_layers_are_unwrapped_and_placed(k):
     assert all(text[s:e] in run and s >= 9 for _, s, e in set(every) - set(base))
 
 
+@pytest.mark.parametrize("text,want", [
+    ("é p\\u0061ssword=longvalue1 x", "p\\u0061ssword=longvalue1"), ('{"\\u0070assword": "hunter2hunter2"}', '\\u0070assword": "hunter2hunter2'),
+    ("\\u0070assword = hunter2hunter2", "\\u0070assword = hunter2hunter2"), ("see pass%77ord = hunter2hunter2;", "pass%77ord = hunter2hunter2")])
+def test_partly_escaped(text, want):
+    assert [text[s:e] for _, s, e in secrets.find(text)[1]] == [want]
+
+
+TEN = "".join(f"password_{i}: x\npassword={chr(97 + i) * 9}\n" for i in range(10))
+
+
+@pytest.mark.parametrize("raw", [TEN.encode(), TEN.encode("utf-16"), TEN.encode("utf-16-be"), b"\xff\x00\xfe" + TEN.encode() + b"\x80", gzip.compress(TEN[:60].encode()) + gzip.compress(TEN[60:].encode()),
+                                 zlib.compress(TEN.encode())])
+@pytest.mark.parametrize("before", ["", "/path/", "x_", "x-", "ab/"])
+def test_base64_in_its_common_forms(raw, before):
+    whole = base64.b64encode(raw).decode()
+    for body in (whole, base64.encodebytes(raw).decode(), "\r\n".join(whole[i : i + 64] for i in range(0, len(whole), 64))):
+        found = secrets.findings("see " + before + body + " end")[1]
+        assert [f[0] for f in found] == ["assign"] * 10 and len({f[3:] for f in found}) == 10
+        assert len({f[1:3] for f in found}) == (1 if "packed" in found[0][3] else 10)
+
+
+def test_percent_coded_compressed_data():
+    found = secrets.findings("q=1 " + "".join(f"%{b:02x}" for b in gzip.compress(TEN.encode())))[1]
+    assert len(found) == 10 and {f[3] for f in found} == {"/percent/packed"}
+
+
 def test_cycles_end():
     assert secrets.find("%25" * 200)[1] == [] and secrets.find("%2525252525")[1] == []
 
