@@ -258,8 +258,9 @@ def format_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""select 'text' as column_name, count(*) filter (doc_id % 4 = 0) as misdecoded from documents""")
 def encoding_check(spark: SparkSession, sf: str) -> DataFrame:
-    """UTF-8 read as Latin-1 shows."""
-    d = table(spark, sf, "documents").select(F.concat(F.lit("x"), F.when(F.col("doc_id") % 4 == 0, F.decode(F.encode(F.lit("é"), "UTF-8"), "ISO-8859-1")).otherwise("e")).alias("text"))
+    """UTF-8 read as Latin-1 shows, in the whole texts as they are; each fourth document also gets a planted case."""
+    planted = F.when(F.col("doc_id") % 4 == 0, F.decode(F.encode(F.lit("é"), "UTF-8"), "ISO-8859-1")).otherwise("")
+    d = table(spark, sf, "documents").select(F.concat(F.coalesce("text", F.lit("")), planted).alias("text"))
     return P.misdecoded(d, ["text"])
 
 

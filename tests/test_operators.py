@@ -133,3 +133,11 @@ def test_the_rest_imports_without_the_optional_subpackage(tmp_path):
     shutil.copytree(REPO, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') or n == 'pipeline' for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "r", check=True, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_encoding_check_reads_the_texts(spark, tmp_path):
+    from cartorio.plans.q_aggregates import encoding_check
+
+    texts = ["plain", "caf\u00c3\u00a9", "caf\u00e9", None, None, "lost \ufffd"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in encoding_check(spark, str(tmp_path)).collect()] == [("text", 4)]  # 1 and 5, and planted in 0 and 4
