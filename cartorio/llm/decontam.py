@@ -105,8 +105,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     if blocks > 1:
         for p in parts[1:]:
             out = out.unionByName(p)
-        out = out.groupBy("id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
-                                    F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        # Results are put together by id, and joined back to every row of the documents: repeated and null ids stay.
+        hit = (out.filter("id is not null and size(items) > 0").groupBy("id")
+               .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
+        none = {c: F.coalesce(c, F.array().cast(hit.schema[c].dataType)) for c in ("spans", "items")}
+        out = parts[0].select("id", "n_words").join(hit, "id", "left").withColumns(none)
     # Spans are sorted by start; of each only what lies beyond those before is counted.
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     step = lambda t, x: F.struct((t["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(t["end"], x["start"]))).alias("n"), F.greatest(t["end"], x["end"]).alias("end"))

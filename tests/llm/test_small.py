@@ -209,6 +209,15 @@ def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, most):
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"], got[i]["contaminated"]) == (n, hit, who, bad), (i, docs[i])
 
 
+def test_blocks_keep_null_and_repeated_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, None), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, ""), (3, "x y z w")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "a b c"), (2, "x y z"), (3, "b c"), (4, "q")], "item_id int, text string")
+    rows = lambda: sorted(map(str, decontam.decontaminate(docs, benchmark).select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()))
+    one = rows()
+    monkeypatch.setattr(decontam, "MOST_SHINGLES", 1)
+    assert len(one) == 6 and rows() == one
+
+
 def test_no_benchmark(spark, corpus):
     none = spark.createDataFrame([], "item_id int, text string")
     got = decontam.decontaminate(frame(spark, corpus), none).collect()
