@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from cartorio.session import checkpoint_folder, ship
 
 
-#: Rows in an Arrow batch at most: whole texts vary from a few bytes to megabytes, and Python holds a batch at a time.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch at most (a longer single row still comes whole): Python holds a batch at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def lean(df: DataFrame) -> DataFrame:
-    """df, whose session from now on hands texts to Python in small batches."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """df, whose session from now on hands texts to Python in small batches; smaller bounds that are set already stay."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(key)
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            conf.set(key, str(most))
     return df
 
 
