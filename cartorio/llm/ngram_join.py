@@ -1,16 +1,16 @@
 """N-gram Jaccard join: all pairs of texts whose sets of word shingles are similar, as classes and link counts.
 
 Equal word sequences fold to one representative first. Representatives that share a band of MinHash values are
-candidates. Their values are compared in steps; a pair goes as soon as the posterior probability of reaching the
-threshold (uniform prior, binomial matches) falls below a tolerance. What is left connects representatives into
-candidate groups; in each group all pairs are pruned the same way and the rest verified exactly on shingle sets.
-Groups of any size are dealt in pairs of blocks, so no task holds more than two blocks, no pair becomes a row, and
-every representative's links are counted once.
+candidates, each pair in the first band that it shares, so that no pair is looked at twice. Their values are compared in
+steps; a pair goes as soon as the posterior probability of reaching the threshold (uniform prior, binomial matches) falls
+below a tolerance. Representatives with a pair left get their shingle sets sent to that band's bucket, and the pairs left
+are verified exactly there. Buckets of any size are dealt in pairs of blocks, so no task holds more than two blocks, no pair
+becomes a row, and every representative's links are counted once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 from functools import cache
 from math import ceil, comb
@@ -29,8 +29,8 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEPS = (16, 32, 64, 96, 128, HASHES)
 TOLERANCE = 1e-5
-#: Blocks of a bucket (signatures), and of a candidate group (shingle sets: rows and words).
-BUCKET_BLOCK, GROUP_BLOCK, GROUP_WORDS = 4096, 512, 500_000
+#: Blocks of a bucket: signatures, and shingle sets (rows and words); pairs compared at once; children in a class's tree.
+BUCKET_BLOCK, GROUP_BLOCK, GROUP_WORDS, AT_ONCE, CHILDREN = 4096, 512, 500_000, 200_000, 8
 
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -46,20 +46,52 @@ def least_matches(threshold: Fraction) -> tuple[int, ...]:
     return tuple(out)
 
 
-def survivors(one: np.ndarray, others: np.ndarray, threshold: Fraction) -> np.ndarray:
-    """Rows of `others` whose signature still may reach the threshold with `one`, compared step by step."""
-    left, matches, lo = np.arange(len(others)), np.zeros(len(others), np.int32), 0
-    for hi, least in zip(STEPS, least_matches(threshold), strict=True):
-        matches = matches + (others[left, lo:hi] == one[lo:hi]).sum(1, dtype=np.int32)
-        stay = matches >= least
-        left, matches, lo = left[stay], matches[stay], hi
-        if not len(left):
-            break
-    return left
+class Rows:
+    """Rows of some buckets (group) of one band each (at), with the bands and signature of their representatives."""
+
+    def __init__(self, table: pa.Table):
+        self.order = np.argsort(table.column("band").to_numpy(), kind="stable")
+        self.group = table.column("band").to_numpy()[self.order]
+        self.at = table.column("at").to_numpy()[self.order]
+        self.block = table.column("block").to_numpy()[self.order]
+        self.cross = bool(len(table)) and table.column("i")[0] != table.column("j")[0]
+        column = lambda name, kind, n: np.frombuffer(b"".join(table.column(name).to_pylist()), kind).reshape(-1, n)[self.order]
+        self.bands, self.signature = column("bands", np.int64, BANDS), column("signature", np.uint8, HASHES)
+
+    def pairs(self, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray], threshold: Fraction) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Wanted pairs (a < b, in one group) whose first common band is the group's and whose signatures still may reach the
+        threshold, compared step by step. In a pair of blocks, those across."""
+        n = len(self.group)
+        if not n:
+            return
+        last = np.r_[np.flatnonzero(self.group[1:] != self.group[:-1]), n - 1]
+        later = np.repeat(last, np.diff(np.r_[-1, last])) - np.arange(n)
+        total, lo = np.cumsum(later), 0
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + AT_ONCE, "right")))
+            c = later[lo:hi]
+            a = np.repeat(np.arange(lo, hi), c)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c)
+            lo = hi
+            keep = wanted(a, b)
+            if self.cross:
+                keep &= self.block[a] != self.block[b]
+            a, b = a[keep], b[keep]
+            for k in range(BANDS):  # out where an earlier band is common
+                if not (self.at[a] > k).any():
+                    break
+                keep = (self.at[a] <= k) | (self.bands[a, k] != self.bands[b, k])
+                a, b = a[keep], b[keep]
+            matches, done = np.zeros(len(a), np.int32), 0
+            for step, least in zip(STEPS, least_matches(threshold), strict=True):
+                matches += (self.signature[a, done:step] == self.signature[b, done:step]).sum(1, dtype=np.int32)
+                keep = matches >= least
+                a, b, matches, done = a[keep], b[keep], matches[keep], step
+            yield a, b
 
 
 def marks(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, text_key, n_words, bands, signature); texts without words are left out."""
+    """(id, key, text_key, n_words, packed_bands, bands, signature); texts without words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -90,8 +122,8 @@ def marks(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
                 ids = b.column(0).slice(lo, hi - lo).take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([key[i : i + 16] for i in range(0, len(key), 16)], pa.binary()), pa.array(text), pa.array(words.counts[rows].astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel())),
-                    pa.array([s.tobytes() for s in signature], pa.binary())], ["id", "key", "text_key", "n_words", "bands", "signature"])
+                    pa.array([x.tobytes() for x in bands], pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel())),
+                    pa.array([s.tobytes() for s in signature], pa.binary())], ["id", "key", "text_key", "n_words", "packed_bands", "bands", "signature"])
 
     def hash_bytes(words: Words, offsets: np.ndarray, data: np.ndarray, lo: int, row: int) -> int:
         import xxhash
@@ -100,67 +132,31 @@ def marks(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, key binary, text_key long, n_words long, bands array<long>, signature binary")
+        run, f"id {kind}, key binary, text_key long, n_words long, packed_bands binary, bands array<long>, signature binary")
 
 
-def dealt(df: DataFrame, group: str, rows: F.Column, packs: int) -> DataFrame:
-    """df with (pack, i, j): a group of one block goes whole into a pack; of a larger one each row goes, with its
-    block, to every pair of blocks that has it. `rows` is the number of blocks."""
+def dealt(df: DataFrame, rows: F.Column, packs: int) -> DataFrame:
+    """df (band, rep) with (pack, i, j): a bucket of one block goes whole into a pack; of a larger one each row goes, with
+    its block, to every pair of blocks that has it. `rows` is the number of blocks."""
     df = df.withColumn("blocks", rows).withColumn("block", F.pmod(F.xxhash64("rep", F.lit(17)), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-    df = df.withColumn("other", other)
+    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
     small = F.col("blocks") == 1
-    return (df.withColumn("pack", F.when(small, F.pmod(F.xxhash64(group), F.lit(packs))).otherwise(F.xxhash64(group, F.lit(5))))
+    return (df.withColumn("pack", F.when(small, F.pmod(F.xxhash64("band"), F.lit(packs))).otherwise(F.xxhash64("band", F.lit(5))))
             .withColumn("i", F.when(small, -1).otherwise(F.least("block", "other"))).withColumn("j", F.when(small, -1).otherwise(F.greatest("block", "other")))
             .drop("other", "blocks"))
 
 
-def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_py(), np.uint8) for x in column]
-
-
-def _by_group(groups: np.ndarray) -> Iterator[np.ndarray]:
-    order = np.argsort(groups, kind="stable")
-    yield from np.split(order, np.flatnonzero(np.diff(groups[order])) + 1)
-
-
-def _roots(n: int) -> tuple[list[int], callable]:
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    return parent, root
-
-
-def candidate_edges(hits: DataFrame, kind: str, threshold: Fraction) -> DataFrame:
-    """(a, b): in every bucket, a star for each set of representatives that surviving pairs connect."""
+def with_pairs(hits: DataFrame, kind: str, threshold: Fraction) -> DataFrame:
+    """(band, at, rep) of each row of a bucket that a pair left there has."""
 
     def run(table: pa.Table) -> pa.Table:
-        reps = table.column("rep").to_pylist()
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        a, b = [], []
-        for rows in _by_group(table.column("band").to_numpy()):
-            label = np.arange(len(rows))
-            own = signature[rows]
-            for p in range(len(rows) - 1):
-                # Pairs that are connected already need no look; labels are least rows.
-                others = np.flatnonzero(label[p + 1 :] != label[p]) + p + 1
-                if len(others):
-                    near = others[survivors(own[p], own[others], threshold)]
-                    if len(near):
-                        met = np.unique(np.r_[label[near], label[p]])
-                        label[np.isin(label, met)] = met[0]
-            for x in np.flatnonzero(label != np.arange(len(rows))):
-                a.append(reps[rows[label[x]]])
-                b.append(reps[rows[x]])
-        id_type = table.schema.field("rep").type
-        return pa.table({"a": pa.array(a, id_type), "b": pa.array(b, id_type)})
-
-    return hits.groupBy("pack", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
+        rows = Rows(table)
+        live = np.zeros(len(rows.group), bool)
+        for a, b in rows.pairs(lambda a, b: ~(live[a] & live[b]), threshold):
+            live[a] = live[b] = True
+        return table.select(["band", "at", "rep"]).take(pa.array(rows.order[live]))
+
+    return hits.groupBy("pack", "i", "j").applyInArrow(run, f"band long, at int, rep {kind}")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -195,49 +191,66 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of pairs of sets."""
+    if len(a) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
+    return intersections(sets)[a, b]
+
+
+def _tree(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n rows a row that the links (a, b) connect it to, the least itself: a tree with few children a row for each
+    class, so that no row gets many edges."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new[label]]
+        if (new == label).all():
+            break
+        label = new
+    order = np.argsort(label, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(label[order]) != 0])[: n]
+    start = np.repeat(first, np.diff(np.r_[first, n])) if n else order
+    up = np.empty(n, np.int64)
+    up[order] = order[start + np.maximum(np.arange(n) - start - 1, 0) // CHILDREN]
+    return up
+
+
 def verified(members: DataFrame, kind: str, threshold: Fraction) -> DataFrame:
-    """(rep, links, root): a representative's verified links in a pair of blocks, each weighed by the texts of the
-    other side, and the least representative that verified links connect it to there."""
-    up, down = threshold.numerator, threshold.denominator
+    """(rep, links, up): a representative's verified links in a bucket or a pair of its blocks, each weighed by the texts
+    of the other side, and another representative that verified links connect it to there."""
+    top, down = threshold.numerator, threshold.denominator
 
     def run(table: pa.Table) -> pa.Table:
-        reps = np.array(table.column("rep").to_pylist(), dtype=object)
-        texts = table.column("n_texts").to_numpy()
-        block, i, j = (table.column(c).to_numpy() for c in ("block", "i", "j"))
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        shingles = table.column("shingles")
-        out: list[tuple] = []
-        for rows in _by_group(table.column("root_hash").to_numpy()):
-            rows = rows[np.unique(reps[rows], return_index=True)[1]]  # by id; rows that repeat an id count once
-            n = len(rows)
-            own = signature[rows]
-            maybe = np.zeros((n, n), bool)
-            for p in range(n - 1):
-                maybe[p, p + 1 + survivors(own[p], own[p + 1 :], threshold)] = True
-            if i[rows[0]] != j[rows[0]]:
-                maybe &= block[rows][:, None] != block[rows][None, :]
-            sets = [np.frombuffer(shingles[int(r)].as_py(), np.uint64) for r in rows]
+        # Rows that repeat an id count once.
+        band, code = table.column("band").to_numpy(), table.column("rep").combine_chunks().dictionary_encode().indices.to_numpy()
+        order = np.lexsort((code, band))
+        fresh = np.r_[True, (np.diff(band[order]) != 0) | (np.diff(code[order]) != 0)] if len(order) else order
+        table = table.take(pa.array(order[fresh.astype(bool)]))
+        rows = Rows(table)
+        reps = table.column("rep").take(pa.array(rows.order))
+        texts, shingles = table.column("n_texts").to_numpy()[rows.order], table.column("shingles").take(pa.array(rows.order))
+        left = [np.stack(p) for p in rows.pairs(lambda a, b: np.ones(len(a), bool), threshold)]
+        a, b = np.concatenate([np.zeros((2, 0), np.int64), *left], axis=1)
+        linked = np.zeros(len(a), bool)
+        # Pairs come in the order of their groups; the sets of a group at a time are compared.
+        for some in np.split(np.arange(len(a)), np.flatnonzero(np.diff(rows.group[a])) + 1) if len(a) else ():
+            who, local = np.unique(np.r_[a[some], b[some]], return_inverse=True)
+            sets = [np.frombuffer(shingles[int(x)].as_py(), np.uint64) for x in who]
             size = np.array([len(s) for s in sets])
-            if n == 2:
-                shared = np.zeros((2, 2), np.int64)
-                shared[0, 1] = len(np.intersect1d(*sets, assume_unique=True)) if maybe[0, 1] else 0
-            else:
-                shared = intersections(sets)
-            linked = maybe & (shared * (down + up) >= up * (size[:, None] + size[None, :]))
-            both = linked | linked.T
-            links = both @ texts[rows]
-            label = np.arange(n)
-            for p in range(n):
-                near = np.flatnonzero(linked[p])
-                if len(near) and (label[near] != label[p]).any():
-                    met = np.unique(np.r_[label[near], label[p]])
-                    label[np.isin(label, met)] = met[0]
-            out += [(reps[rows[x]], int(links[x]), reps[rows[label[x]]]) for x in range(n) if links[x]]
-        id_type = table.schema.field("rep").type
-        cols = list(zip(*out, strict=True)) or [[]] * 3
-        return pa.table({"rep": pa.array(cols[0], id_type), "links": pa.array(cols[1], pa.int64()), "root": pa.array(cols[2], id_type)})
-
-    return members.groupBy("pack", "i", "j").applyInArrow(run, f"rep {kind}, links long, root {kind}")
+            x, y = local[: len(some)], local[len(some) :]
+            linked[some] = _shared(sets, x, y) * (down + top) >= top * (size[x] + size[y])
+        a, b = a[linked], b[linked]
+        n = len(rows.group)
+        links = np.bincount(a, texts[b], n) + np.bincount(b, texts[a], n)
+        up = _tree(n, a, b)
+        own = np.flatnonzero(links > 0)
+        return pa.table({"rep": reps.take(pa.array(own)), "links": pa.array(links[own].astype(np.int64)), "up": reps.take(pa.array(up[own]))})
+
+    return members.groupBy("pack", "i", "j").applyInArrow(run, f"rep {kind}, links long, up {kind}")
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -275,25 +288,25 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "
     threshold = Fraction(str(threshold))
     kind = docs.schema[id_col].dataType.simpleString()
     marked = reliable(marks(lean(docs), size, id_col, text_col))
-    by_text = marked.groupBy("key", "text_key").agg(F.min("id").alias("rep"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
-    reps = reliable(by_text.groupBy("key").agg(F.min("rep").alias("rep"), F.count("*").alias("n_texts"), F.first("n_words").alias("n_words"),
-                                               F.first("bands").alias("bands"), F.first("signature").alias("signature")))
+    firsts = [F.first(c).alias(c) for c in ("n_words", "packed_bands", "bands", "signature")]
+    by_text = marked.groupBy("key", "text_key").agg(F.min("id").alias("rep"), *firsts)
+    reps = reliable(by_text.groupBy("key").agg(F.min("rep").alias("rep"), F.count("*").alias("n_texts"), *firsts).filter("rep is not null"))
     packs = max(1, ceil(reps.count() / 1000))
 
-    bands = reps.select("rep", F.explode("bands").alias("band"))
-    full = bands.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1")
-    hits = bands.join(full, "band").join(reps.select("rep", "signature"), "rep")
-    edges = candidate_edges(dealt(hits, "band", F.ceil(F.col("m") / BUCKET_BLOCK), packs), kind, threshold)
-    groups = components(edges.distinct())
+    bands = reps.select("rep", F.posexplode("bands").alias("at", "band"))
+    full = bands.groupBy("at", "band").agg(F.count("*").alias("m")).filter("m > 1")
+    hits = bands.join(full, ["at", "band"]).join(reps.select("rep", F.col("packed_bands").alias("bands"), "signature"), "rep")
+    live = reliable(with_pairs(dealt(hits, F.ceil(F.col("m") / BUCKET_BLOCK), packs), kind, threshold).distinct())
 
-    sized = groups.join(reps.select("rep", "n_words"), F.col("node") == F.col("rep")).groupBy("root").agg(F.count("*").alias("m"), F.sum("n_words").alias("w"))
+    words = reps.select("rep", "n_words", "n_texts", F.col("packed_bands").alias("bands"), "signature").join(live.select("rep").distinct(), "rep")
+    sized = live.join(reps.select("rep", "n_words"), "rep").groupBy("at", "band").agg(F.count("*").alias("m"), F.sum("n_words").alias("w"))
     blocks = F.greatest(F.ceil(F.col("m") / GROUP_BLOCK), F.ceil(F.col("w") / GROUP_WORDS))
-    members = (groups.join(sized, "root").join(reps.select("rep", "n_texts", "signature"), F.col("node") == F.col("rep"))
-               .select("rep", "n_texts", "signature", F.xxhash64("root").alias("root_hash"), blocks.alias("nb")))
+    packs = max(1, ceil((sized.agg(F.sum("w")).first()[0] or 0) / GROUP_WORDS))
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
-    sets = shingle_sets(text.join(members, "rep"), size)
-    found = reliable(verified(dealt(sets, "root_hash", F.col("nb"), packs).drop("nb"), kind, threshold))
-    classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    sets = shingle_sets(text.join(words.drop("n_words"), "rep"), size)
+    members = live.join(sized.select("at", "band", blocks.alias("nb")), ["at", "band"]).join(sets, "rep")
+    found = reliable(verified(dealt(members, F.col("nb"), packs).drop("nb"), kind, threshold))
+    classes = components(found.select(F.col("rep").alias("a"), F.col("up").alias("b")))
 
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     judged = (reps.select("key", "rep", "n_texts").join(links, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
