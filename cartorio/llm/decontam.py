@@ -1,9 +1,11 @@
 """Benchmark decontamination: a prefix-filtered set join of item windows with documents.
 
-A window is a set of placed shingles (three consecutive words each, fewer in shorter windows). To hold a
-window whole, a document must hold all its shingles, so its rarest one is prefix enough: shingles are
-ordered by how many documents hold them, each window joins on its rarest, candidates must fit the document's
-length and the shingle's position, and the rest is verified exactly: every shingle at its place.
+A window is a set of placed shingles (three consecutive words each, fewer in shorter windows). To hold a window whole, a
+document must hold all its shingles, so one of them is prefix enough: shingles are ordered by how many documents hold them,
+and each different window joins on its rarest. The scan of the documents looks for prefix shingles only and passes them
+on with the words around them; each place there at which a window with that prefix would begin must fit the document's length,
+and the words there are compared with the windows' whole. Items come in last, by the windows found, so that a window
+of very many items is looked for once.
 """
 
 from __future__ import annotations
@@ -12,17 +14,19 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartorio.llm.frames import lean
+from cartorio.llm.frames import lean, reliable
 from cartorio.llm.text import Words, chunks, utf8
 
-#: So many placed shingles are sent to the tasks at once; a larger benchmark is taken in blocks of items.
-MOST_SHINGLES = 1_000_000
 SHINGLE = 3
+#: Bits of the map by which tasks know the shingles they look for, two for each: the same 8 MB for any benchmark. A false hit
+#: costs a look, never a result.
+MAP_BITS = 1 << 26
+#: Rows that are broadcast at most; beyond it Spark joins by shuffles.
+FEW = 50_000
 
 
 def _rows(words: Words) -> Iterator[list[bytes]]:
@@ -32,155 +36,163 @@ def _rows(words: Words) -> Iterator[list[bytes]]:
 
 
 def windows(benchmark: DataFrame, size: int = 13, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, window, n_words, at, shingle): the placed shingles of each distinct window of each item. An item
-    of fewer than `size` words, but not none, is one window. `window` is its words, joined by blanks."""
+    """(item, window): the different windows of each item, as their words joined by blanks. An item of fewer than
+    `size` words, but not none, is one window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = utf8(b.column(1))
-            out: list[tuple] = []
-            for item, words in zip(b.column(0).to_pylist(), _rows(Words(data, offsets)), strict=True):
-                n = min(size, len(words))
-                q = min(SHINGLE, n)
-                for w in {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else ():
-                    out += [(item, b" ".join(w).decode(errors="replace"), n, k, b" ".join(w[k : k + q]).decode(errors="replace")) for k in range(n - q + 1)]
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["item", "window", "n_words", "at", "shingle"])
-
-    return benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "item string, window string, n_words int, at int, shingle string")
-
-
-class Lookup:
-    """The benchmark's distinct shingles: hashes for the vectorised look, words for the exact one."""
-
-    def __init__(self, shingles: list[str]):
-        joined = np.frombuffer("".join(s + "\n" for s in shingles).encode(), np.uint8)
-        offsets = np.r_[0, np.flatnonzero(joined == 10) + 1]
-        w = Words(joined, offsets)
-        self.shingles = [s.encode() for s in shingles]
-        self.tables = {}
-        for q in range(1, SHINGLE + 1):
-            rows = np.flatnonzero(w.counts == q)
-            h, place = w.shingles(q)
-            row = w.doc[place]
-            own = np.isin(row, rows)
-            order = np.argsort(h[own])
-            self.tables[q] = (h[own][order], row[own][order])
-
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(place, shingle number) wherever a shingle of the benchmark stands among the words."""
-        places, numbers = [], []
-        for q, (keys, rows) in self.tables.items():
-            if not len(keys):
-                continue
-            h, place = words.shingles(q)
-            at = np.searchsorted(keys, h)
-            at[at == len(keys)] = 0
-            same = np.flatnonzero(keys[at] == h)
-            raw = words.data
-            for p, n in zip(place[same].tolist(), rows[at[same]].tolist(), strict=True):
-                if b" ".join(raw[words.start[p + j] : words.end[p + j]].tobytes() for j in range(q)) == self.shingles[n]:
-                    places.append(p)
-                    numbers.append(n)
-        return np.array(places, np.int64), np.array(numbers, np.int64)
+            for lo, hi in chunks(offsets, 1 << 18):
+                at, out = [], []
+                for k, words in enumerate(_rows(Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1]))):
+                    n = min(size, len(words))
+                    own = list({b" ".join(words[i : i + n]).decode(errors="replace") for i in range(len(words) - n + 1)}) if n else []
+                    at += [lo + k] * len(own)
+                    out += own
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], ["item", "window"])
 
+    return benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "item string, window string")
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id",
-                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_hit, spans, items, contaminated) of every document.
 
-    n_hit counts the words inside any occurrence of a window, and spans (start and end, in words) are where they stand;
-    items are the ids, as sorted strings, whose windows occur; contaminated means n_hit > 0 and share * n_hit >= n_words.
-    Null and empty texts and items have no words. An empty benchmark contaminates nothing. Ids are unique; rows that repeat
-    one in full get equal results, and rows with a null id count as clean.
-    """
-    # The shingles go to every task, so their number is counted first; it depends on the benchmark alone.
-    placed = windows(lean(benchmark), size, item_col, item_text_col).persist()
-    blocks = max(1, -(-placed.count() // MOST_SHINGLES))
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    parts = [_one_block(docs, placed.filter(block == k) if blocks > 1 else placed, id_col, text_col) for k in range(blocks)]
-    out = parts[0]
-    if blocks > 1:
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        # Results are put together by id, and joined back to every row of the documents: repeated and null ids stay.
-        hit = (out.filter("id is not null and size(items) > 0").groupBy("id")
-               .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
-        none = {c: F.coalesce(c, F.array().cast(hit.schema[c].dataType)) for c in ("spans", "items")}
-        out = parts[0].select("id", "n_words").join(hit, "id", "left").withColumns(none)
-    # Spans are sorted by start; of each only what lies beyond those before is counted.
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
-    step = lambda t, x: F.struct((t["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(t["end"], x["start"]))).alias("n"), F.greatest(t["end"], x["end"]).alias("end"))
-    out = out.withColumn("n_hit", F.aggregate("spans", start, step)["n"].cast("long"))
-    return (out.withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words"))
-            .select(F.col("id").alias(id_col), "n_words", "n_hit", "spans", "items", "contaminated"))
+def placed_shingles(distinct: DataFrame) -> DataFrame:
+    """(window, size, at, shingle): the hashed shingles of each window by their place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = Words(*utf8(b.column(0)))
+            counts = words.counts
+            found = []
+            for q in range(1, SHINGLE + 1):
+                value, place = words.shingles(q)
+                doc = words.doc[place]
+                own = np.minimum(counts[doc], SHINGLE) == q
+                found.append((value[own], place[own], doc[own]))
+            value, place, doc = (np.concatenate(c) for c in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(doc)), pa.array(counts[doc].astype(np.int32)), pa.array((place - words.first[doc]).astype(np.int32)),
+                                              pa.array(value.view(np.int64))], ["window", "size", "at", "shingle"])
+
+    return distinct.mapInArrow(run, "window string, size int, at int, shingle long")
+
+
+class Map:
+    """A bitmap of hashes, gathered by Spark; the driver gets its non-zero words, at most MAP_BITS / 64 of them."""
+
+    def __init__(self, hashes: DataFrame):
+        place = F.explode(F.array(*(F.shiftrightunsigned("shingle", by).bitwiseAND(MAP_BITS - 1) for by in (0, 32)))).alias("p")
+        words = hashes.select(place).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
+        self.words = np.zeros(MAP_BITS // 64, np.uint64)
+        self.words[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may be among those of the map."""
+        left = np.arange(len(h))
+        for by in (0, 32):
+            p = (h[left] >> np.uint64(by)) & np.uint64(64 * len(self.words) - 1)
+            left = left[(self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        return left
+
+
+def _found(words: Words, known: Map, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of each shingle of the words that the map has."""
+    values, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for q in sizes:
+        value, place = words.shingles(q)
+        at = known.has(value)
+        values.append(value[at])
+        places.append(place[at])
+    return np.concatenate(values), np.concatenate(places)
+
+
+def frequencies(texts: DataFrame, known: Map, sizes: tuple[int, ...]) -> DataFrame:
+    """(shingle, documents): how many texts hold each shingle of the map."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = utf8(b.column(0))
+            for lo, hi in chunks(offsets):
+                words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
+                value, place = _found(words, shared.value, sizes)
+                doc = words.doc[place]
+                order = np.lexsort((doc, value))
+                value, doc = value[order], doc[order]
+                once = np.r_[True, (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])][: len(value)]
+                one, n = np.unique(value[once], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(n)], ["shingle", "n"])
+
+    return texts.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("documents"))
 
 
-def _one_block(docs: DataFrame, placed: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_words, spans, items) for the windows whose shingles are placed."""
-    spark = docs.sparkSession
-    shingles = sorted(r[0] for r in placed.select("shingle").distinct().collect())
-    shared = spark.sparkContext.broadcast(shingles)
-    lookups: dict[int, Lookup] = {}
+def prefix_hits(texts: DataFrame, known: Map, sizes: tuple[int, ...], size: int) -> DataFrame:
+    """(id, n_words, hits) of every text; a hit is a shingle of the map, its place, and the words around it from `begin` on."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not lookups:
-            lookups[0] = Lookup(shared.value)
-        table = lookups[0]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = utf8(b.column(1))
             for lo, hi in chunks(offsets):
                 words = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1])
-                place, number = table.hits(words)
+                value, place = _found(words, shared.value, sizes)
                 order = np.argsort(place, kind="stable")
-                place, number = place[order], number[order]
-                doc = words.doc[place] if len(place) else place
+                value, place = value[order], place[order]
+                doc = words.doc[place]
+                first, last = words.first[doc], words.first[doc + 1]
+                begin, end = np.maximum(first, place - size + 1), np.minimum(last, place + size)
+                raw = words.data.tobytes()
+                s, e = words.start, words.end
+                around = [b" ".join([raw[s[k] : e[k]] for k in range(x, y)]).decode(errors="replace") for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+                hits = pa.StructArray.from_arrays([pa.array(value.view(np.int64)), pa.array((place - first).astype(np.int32)), pa.array((begin - first).astype(np.int32)),
+                                                   pa.array(around, pa.string())], ["shingle", "place", "begin", "around"])
                 bounds = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
-                inner = place - words.first[doc] if len(place) else place
-                lists = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(x.astype(np.int32))) for x in (inner, number)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(words.counts.astype(np.int64)), *lists], ["id", "n_words", "places", "numbers"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    held = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        look, f"id {kind}, n_words long, places array<int>, numbers array<int>").persist()
-    frequency = (held.select(F.explode(F.array_distinct("numbers")).alias("number")).groupBy("number").agg(F.count("*").alias("documents")))
-    numbered = placed.join(spark.createDataFrame(list(enumerate(shingles)), "number int, shingle string"), "shingle")
-    # Windows with a shingle that no document holds can't occur; the others' prefix is their rarest shingle.
-    whole = Window.partitionBy("item", "window")
-    ranked = (numbered.join(frequency, "number", "left")
-              .withColumn("least", F.min(F.coalesce("documents", F.lit(0))).over(whole))
-              .withColumn("rank", F.row_number().over(whole.orderBy("documents", "number", "at")))
-              .withColumn("needed", F.sort_array(F.collect_list(F.struct("at", "number")).over(whole)))
-              .filter("least > 0 and rank = 1"))
-    prefixes = ranked.select("number", "item", F.col("at").alias("prefix_at"), F.col("n_words").alias("window_words"), F.col("needed.number").alias("needed"))
-    found = (held.filter(F.size("numbers") > 0)
-             .select("id", "n_words", F.explode(F.arrays_zip("places", "numbers")).alias("hit"))
-             .select("id", "n_words", (F.col("hit.places")).alias("place"), F.col("hit.numbers").alias("number"))
-             .join(F.broadcast(prefixes), "number")
-             .withColumn("start", F.col("place") - F.col("prefix_at"))
-             .filter("start >= 0 and start + window_words <= n_words"))
-    per_doc = found.groupBy("id").agg(F.collect_list(F.struct("item", "start", "window_words", "needed")).alias("candidates"))
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for doc, n, places, numbers, candidates in zip(b["id"], b["n_words"], b["places"], b["numbers"], b["candidates"], strict=True):
-                held_at = set(zip(map(int, places), map(int, numbers), strict=True))
-                hit, items = np.zeros(int(n), bool), set()
-                for c in candidates if candidates is not None else ():
-                    start = int(c["start"])
-                    if all((start + k, int(x)) in held_at for k, x in enumerate(c["needed"])):
-                        hit[start : start + int(c["window_words"])] = True
-                        items.add(c["item"])
-                edge = np.flatnonzero(np.diff(np.r_[False, hit, False]))
-                spans = [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2], strict=True)]
-                rows.append((doc, int(n), spans, sorted(items)))
-            yield pd.DataFrame(rows, columns=["id", "n_words", "spans", "items"])
-
-    span = "array<struct<start:int,end:int>>"
-    judged = held.filter(F.size("numbers") > 0).join(per_doc, "id").mapInPandas(verify, f"id {kind}, n_words long, spans {span}, items array<string>")
-    clean = (held.select("id", "n_words").join(judged.select("id"), "id", "left_anti")
-             .select("id", "n_words", F.array().cast(span).alias("spans"), F.array().cast("array<string>").alias("items")))
-    return judged.unionByName(clean)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(words.counts.astype(np.int64)), pa.ListArray.from_arrays(pa.array(bounds), hits)],
+                                                 ["id", "n_words", "hits"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.mapInArrow(run, f"id {kind}, n_words long, hits array<struct<shingle:long,place:int,begin:int,around:string>>")
+
+
+def _light(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if a count shows few rows."""
+    return F.broadcast(df) if df.count() <= FEW else df
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id",
+                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(id, n_words, n_hit, spans, items, contaminated) of every document, in any order.
+
+    n_hit counts the words inside any occurrence of a window, and spans (start and end, in words) are where they stand;
+    items are the ids, as sorted strings, whose windows occur; contaminated means n_hit > 0 and share * n_hit >= n_words.
+    Null and empty texts and items have no words; items with a null id count as hits but aren't listed. An empty benchmark
+    contaminates nothing, and no documents give no rows. Texts and items of any length are taken whole. Equal items are both
+    listed. Ids are unique; rows that repeat one in full get equal results, and rows with a null id count as clean. Only the
+    named columns are read, so others may have any name.
+    """
+    texts = lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    owners = reliable(windows(benchmark, size, item_col, item_text_col))
+    placed = reliable(placed_shingles(owners.select("window").distinct()))
+    sizes = tuple(sorted(r[0] for r in placed.select(F.least("size", F.lit(SHINGLE))).distinct().collect()))
+    frequency = frequencies(texts, Map(placed.select("shingle").distinct()), sizes)
+    # A window with a shingle that no document holds can't occur; the others' prefix is their rarest shingle.
+    prefixes = reliable(placed.join(frequency, "shingle", "left").groupBy("window", "size")
+                        .agg(F.min(F.struct(F.coalesce("documents", F.lit(0)).alias("documents"), "shingle", "at")).alias("least"))
+                        .filter("least.documents > 0").select("window", "size", "least.shingle", "least.at"))
+    held = reliable(prefix_hits(texts, Map(prefixes.select("shingle").distinct()), sizes, size))
+    shapes = prefixes.select("shingle", "at", "size").distinct()
+    found = (held.filter("id is not null").select("id", "n_words", F.explode("hits").alias("hit")).select("id", "n_words", "hit.*").join(_light(shapes), "shingle")
+             .withColumn("start", F.col("place") - F.col("at")).filter("start >= 0 and start + size <= n_words")
+             .withColumn("window", F.array_join(F.slice(F.split("around", " "), F.col("start") - F.col("begin") + 1, F.col("size")), " "))
+             .join(_light(prefixes.select("window")), "window").select("id", "start", (F.col("start") + F.col("size")).alias("end"), "window").distinct())
+    found = reliable(found)
+
+    by_start = Window.partitionBy("id").orderBy("start", "end")
+    before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    merged = (found.select("id", "start", "end").distinct().withColumn("fresh", (F.coalesce(before, F.lit(-1)) < F.col("start")).cast("int"))
+              .withColumn("span", F.sum("fresh").over(by_start)).groupBy("id", "span").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    spans = merged.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"), F.sum(F.col("end") - F.col("start")).alias("n_hit"))
+    items = (found.select("id", "window").distinct().join(owners, "window").select("id", "item").distinct()
+             .groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items")))
+    out = held.select("id", "n_words").join(spans, "id", "left").join(items, "id", "left")
+    out = out.select("id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+                     F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return (out.withColumn("contaminated", F.expr(f"n_hit > 0 and {share} * n_hit >= n_words"))
+            .select(F.col("id").alias(id_col), "n_words", "n_hit", "spans", "items", "contaminated"))

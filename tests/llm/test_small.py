@@ -196,10 +196,11 @@ def plain_contamination(docs, items, size=13):
     return out
 
 
-@pytest.mark.parametrize("most", [None, 130])
-def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, most):
-    if most:  # a benchmark that comes in blocks
-        monkeypatch.setattr(decontam, "MOST_SHINGLES", most)
+@pytest.mark.parametrize("few,bits", [(50_000, 1 << 26), (0, 64)])
+def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, few, bits):
+    """Also without broadcasts, and with a map so small that nearly every shingle is a false hit."""
+    monkeypatch.setattr(decontam, "FEW", few)
+    monkeypatch.setattr(decontam, "MAP_BITS", bits)
     long = next(t for t in corpus if t and len(t.split()) == 4000).split()
     items = [(10, " ".join(long[100:140])), (9, " ".join(long[120:126])), (2, "x"), (3, None), (4, "--"), (11, "ab. CD"), (12, corpus[6]), (13, " ".join(long[500:513]))]
     docs = [*corpus, " ".join(long[100:113]), " ".join(long[100:112]), "ç " + " ".join(long[110:130]).upper(), "ab cd ab cd x"]
@@ -209,13 +210,19 @@ def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, most):
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"], got[i]["contaminated"]) == (n, hit, who, bad), (i, docs[i])
 
 
-def test_blocks_keep_null_and_repeated_rows(spark, monkeypatch):
+def test_null_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, None), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, ""), (3, "x y z w")], "doc_id long, text string")
-    benchmark = spark.createDataFrame([(1, "a b c"), (2, "x y z"), (3, "b c"), (4, "q")], "item_id int, text string")
-    rows = lambda: sorted(map(str, decontam.decontaminate(docs, benchmark).select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()))
-    one = rows()
-    monkeypatch.setattr(decontam, "MOST_SHINGLES", 1)
-    assert len(one) == 6 and rows() == one
+    benchmark = spark.createDataFrame([(1, "a b c"), (2, "x y z"), (3, "b c"), (4, "q"), (None, "y")], "item_id int, text string")
+    rows = decontam.decontaminate(docs, benchmark).select("doc_id", "n_words", "n_hit", "items").collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, 3, 3, ["1", "3"]), (1, 3, 3, ["1", "3"]), (2, 0, 0, []), (3, 4, 3, ["2"]), (None, 0, 0, []), (None, 3, 0, [])]
+
+
+def test_a_window_of_very_many_items(spark):
+    shared = "this very common sentence of thirteen words stands in each of the items"
+    benchmark = spark.createDataFrame([(i, f"w{i} {shared} v{i}") for i in range(3000)], "item_id int, text string")
+    docs = spark.createDataFrame([(i, f"x{i} {shared} . " * 20) for i in range(200)], "doc_id long, text string").repartition(8)
+    rows = decontam.decontaminate(docs, benchmark).select("n_hit", F.size("items").alias("n")).distinct().collect()
+    assert [tuple(r) for r in rows] == [(260, 3000)]
 
 
 def test_no_benchmark(spark, corpus):
