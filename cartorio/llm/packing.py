@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartorio.llm.frames import lean
+from cartorio.llm.frames import lean, reliable
 from cartorio.llm.text import utf8
 
 
@@ -83,15 +83,17 @@ def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int) -> pd.DataF
     return pieces
 
 
-def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows: int = 2048, id_col: str = "doc_id",
+def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_pieces: int = 2048, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source", cluster_col: str | None = None) -> DataFrame:
     """(id, piece, first_word, n_words, bin_id, bin_words): where each piece of every text goes.
 
-    Sizes are words between ASCII white space. A text longer than the capacity is cut into pieces of it and a rest. No
-    bin holds two pieces of one duplicate cluster (by default texts that are equal but for A-Z's case and white space),
-    or over `per_source` pieces of one source. Null and empty texts have one row of no words and no bin. A null
-    source is a source of its own; a null id is an id like others. Shards of about `shard_rows` pieces, dealt by a hash of id and piece, are packed
-    independently, so no source or cluster meets in one task, and each shard leaves less than a bin more of waste.
+    Sizes are words between ASCII white space. A text longer than the capacity is cut into pieces of it and a rest, whatever its
+    length. No bin holds two pieces of one duplicate cluster (by default texts that are equal but for A-Z's case and white space),
+    or over `per_source` pieces of one source. Null and empty texts have one row of no words and no bin; no documents give no rows. A
+    null source is a source of its own; a null id is an id like others. Rows that repeat another in full are packed each. Pieces
+    of equal size are taken by id as text and then by piece. Shards of about `shard_pieces` pieces, dealt by a hash of id, piece and cluster
+    (rows without an id: of their place), are packed independently, so no source or cluster meets in one task, and each shard
+    leaves less than a bin more of waste. Only the named columns are read, so others may have any name.
     """
     given = lean(docs).select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
                         F.col(text_col).cast("string").alias("text"), (F.col(cluster_col).cast("string") if cluster_col else F.lit(None).cast("string")).alias("cluster"))
@@ -108,10 +110,13 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows:
             own = b.column(3) if cluster_col else pa.array(clusters)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), own, pa.array(words, pa.int64())], ["id", "source", "cluster", "words"])
 
-    sized = given.mapInArrow(measure, "id string, source string, cluster string, words long")
-    pieces = (sized.filter("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("words") - 1) / capacity).cast("int"))))
-              .select("id", "source", "cluster", "piece", F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("int").alias("n_words")))
-    shards = max(1, ceil(docs.count() / shard_rows))
+    # Sizes are written once: shards are as many as the pieces that they show ask for.
+    sized = reliable(given.mapInArrow(measure, "id string, source string, cluster string, words long")
+                     .withColumn("place", F.when(F.col("id").isNull(), F.monotonically_increasing_id())))
+    last = F.floor((F.col("words") - 1) / capacity).cast("int")
+    pieces = (sized.filter("words > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+              .select("id", "source", "cluster", "place", "piece", F.least(F.lit(capacity), F.col("words") - F.col("piece") * capacity).cast("int").alias("n_words")))
+    shards = max(1, ceil((sized.filter("words > 0").agg(F.sum(last + 1)).first()[0] or 0) / shard_pieces))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = pack_shard(group, capacity, per_source)
@@ -120,7 +125,7 @@ def pack(docs: DataFrame, capacity: int = 2048, per_source: int = 4, shard_rows:
         out["first_word"] = out["piece"].astype("int64") * capacity
         return out[["id", "piece", "first_word", "n_words", "bin_id", "bin_words"]]
 
-    packed = (pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)).cast("long")).groupBy("shard")
+    packed = (pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "cluster", "place"), F.lit(shards)).cast("long")).drop("place").groupBy("shard")
               .applyInPandas(run, "id string, piece int, first_word long, n_words int, bin_id long, bin_words long"))
     empty = sized.filter("words = 0").selectExpr("id", "0 piece", "0L first_word", "0 n_words", "cast(null as long) bin_id", "cast(null as long) bin_words")
     return packed.unionByName(empty).withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
