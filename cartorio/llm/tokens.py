@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +12,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.text import chunks, utf8
+
 # How byte-level vocabularies split a text, and the printable stand-ins of bytes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-#: Distinct pieces whose counts a worker keeps between batches: a bound on memory only.
-KEPT = 300_000
+#: Distinct pieces whose counts a worker keeps between batches, and letters of the longest one kept: a bound on memory only.
+KEPT, KEPT_LENGTH = 300_000, 64
+#: Bytes from which a piece is long: its pairs are held by rank, so that work grows with the merges and not with rounds times length.
+LONG = 128
 
 
 class ByteBpe:
@@ -35,11 +40,70 @@ class ByteBpe:
         keys = left * self.width + right
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
+        self.left, self.right = left, right
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.pieces = regex.compile(SPLIT)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.known: dict[str, int] = {}
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, or the number of ranks where it can't be merged."""
+        pair = left * self.width + right
+        at = np.searchsorted(self.keys, pair)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == pair, self.order[at], len(self.keys)) if len(self.keys) else np.zeros(len(pair), np.int64)
+
+    def count_long(self, pieces: list[bytes]) -> np.ndarray:
+        """As count_pieces, for long pieces. All pairs stand in lists by rank; the lowest rank is merged in all pieces at once,
+        which is each one's lowest that has it, and only pairs beside a merge are ranked anew."""
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        symbols = self.byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        n, none = len(symbols), len(self.keys)
+        owner = np.repeat(np.arange(len(pieces)), sizes)
+        after, before, gone = np.arange(1, n + 1), np.arange(-1, n), np.zeros(n, bool)
+        ends = np.cumsum(sizes)
+        after[ends - 1] = n  # a place of no letter
+        before[ends - sizes] = -1
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def put(at: np.ndarray) -> None:
+            at = at[after[at] < n]
+            rank = self.ranks(symbols[at], symbols[after[at]])
+            at, rank = at[rank < none], rank[rank < none]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            first = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]][: len(rank)])
+            for r, some in zip(rank[first].tolist(), np.split(at, first[1:]), strict=True) if len(first) else ():
+                if r in waiting:
+                    waiting[r].append(some)
+                else:
+                    waiting[r] = [some]
+                    heappush(heap, r)
+
+        put(np.arange(n))
+        heapify(heap)
+        while heap:
+            r = heappop(heap)
+            lists = waiting.pop(r)
+            at = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
+            at = at[~gone[at] & (symbols[at] == self.left[r]) & (after[at] < n)]
+            at = at[symbols[after[at]] == self.right[r]]
+            if not len(at):
+                continue
+            if self.left[r] == self.right[r] and len(at) > 1:  # of a run of overlapping equal pairs (aaa), every other one from the left
+                at = np.sort(at)
+                run = np.flatnonzero(np.r_[True, after[at[:-1]] != at[1:]])
+                at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0]
+            second = after[at]
+            gone[second] = True
+            symbols[at] = self.made[r]
+            after[at] = after[second]
+            before[after[at]] = at
+            left = before[at]
+            put(np.unique(np.concatenate([left[left >= 0], at])))
+        return np.bincount(owner[~gone], minlength=len(pieces))
+
     def count_pieces(self, pieces: list[bytes]) -> np.ndarray:
         """Symbols that survive in each piece once no pair can be merged; all pieces advance one rank together."""
         sizes = np.array([len(p) for p in pieces], np.int64)
@@ -48,11 +112,7 @@ class ByteBpe:
         counts = sizes.copy()
         none = len(self.keys)
         while len(symbols) > 1:
-            pair = symbols[:-1] * self.width + symbols[1:]
-            at = np.searchsorted(self.keys, pair)
-            at[at == none] = 0
-            ok = (self.keys[at] == pair) & (owner[:-1] == owner[1:])
-            rank = np.where(ok, self.order[at], none)
+            rank = np.where(owner[:-1] == owner[1:], self.ranks(symbols[:-1], symbols[1:]), none)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(np.r_[rank, none], starts)
             live = best < none
@@ -94,9 +154,15 @@ class ByteBpe:
         fresh = list(set().union(*lists).difference(known))
         for lo in range(0, len(fresh), 20_000):
             some = fresh[lo : lo + 20_000]
-            known.update(zip(some, self.count_pieces([p.encode() for p in some]).tolist(), strict=True))
+            raw = [p.encode() for p in some]
+            for count, own in ((self.count_pieces, [i for i, p in enumerate(raw) if len(p) < LONG]), (self.count_long, [i for i, p in enumerate(raw) if len(p) >= LONG])):
+                if own:
+                    known.update(zip([some[i] for i in own], count([raw[i] for i in own]).tolist(), strict=True))
         for i, found in enumerate(lists):
             totals[i] += sum(map(known.__getitem__, found))
+        for p in fresh:
+            if len(p) > KEPT_LENGTH:
+                del known[p]
         return totals
 
 
@@ -104,16 +170,17 @@ _loaded: dict[str, ByteBpe] = {}
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens, over_limit) of every whole text; null is empty, and empty has no tokens.
-    `tokenizer` is the path of a byte-level BPE file that executors can open."""
+    """(id, n_bytes, n_tokens, over_limit) of every whole text, however long; null is empty, and empty has no tokens.
+    `tokenizer` is the path of a byte-level BPE file that executors can open. Each row is counted by itself: repeated rows get equal
+    results, null ids stay, no rows give none. Only the two named columns are read, so others may have any name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _loaded:
             _loaded[tokenizer] = ByteBpe(tokenizer)
         bpe = _loaded[tokenizer]
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            for lo, hi in chunks(utf8(b.column(1))[1]):
+                part = b.slice(lo, hi - lo)
                 texts = part.column(1).to_pylist()
                 n = bpe.count(texts)
                 yield pa.RecordBatch.from_arrays(
