@@ -1,9 +1,10 @@
 """Media columns: payloads stored as MPEG transport streams and read back.
 
-A stream is 188-byte packets: a program association table, a program map table, then one elementary
-stream in packetised (PES) units with a presentation time stamp each and a random-access point at
-every unit's first packet. Reading parses both tables (with their CRC), checks sync bytes and
-continuity counters, reassembles the elementary packets and returns their time stamps.
+A stream is 188-byte packets: a program association table and a program map table, which come again every few units, and one
+elementary stream in packetised (PES) units with a presentation time stamp each; every unit's first packet is a random-access
+point and carries the program's clock reference. Reading takes any stream: tables may stand anywhere, repeat, span packets and
+name several programs; it checks their CRC, sync bytes and each PID's continuity counter (packets without payload, permitted
+duplicates and marked discontinuities allowed), reassembles the elementary packets and returns time stamps, clock and access points.
 """
 
 from __future__ import annotations
@@ -11,33 +12,48 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.llm.frames import lean
 from cartorio.llm.text import chunks, utf8
 
 # Fixed values of the transport stream format.
-SYNC, PACKET, BODY = 0x47, 188, 184
+SYNC, PACKET, BODY, NULL_PID = 0x47, 188, 184, 0x1FFF
 PMT_PID, STREAM_PID, PROGRAM, STREAM_TYPE, STREAM_ID = 0x100, 0x101, 1, 0x06, 0xBD
 CRC_POLYNOMIAL = 0x04C11DB7
 CLOCK = 90_000
+#: Stream ids whose elementary packets have no further header.
+BARE_IDS = {0xBC, 0xBE, 0xBF, 0xF0, 0xF1, 0xF2, 0xF8, 0xFF}
 
-#: A full unit: 64 packets, of which the first has two bytes of adaptation field, less 14 bytes of header.
-UNIT_PACKETS, PES_HEADER = 64, 14
-UNIT = UNIT_PACKETS * BODY - 2 - PES_HEADER
-TICKS = CLOCK // 25
+#: A full unit: 64 packets, of which the first has eight bytes of adaptation field, less 14 bytes of header. Tables come every few units.
+UNIT_PACKETS, FIELD, PES_HEADER, TABLES_EVERY = 64, 8, 14, 8
+UNIT = UNIT_PACKETS * BODY - FIELD - PES_HEADER
+#: Ticks from unit to unit, and by how much the clock runs ahead of presentation.
+TICKS, LEAD = CLOCK // 25, CLOCK // 10
 
 
-def section_crc(data: bytes) -> int:
-    crc = 0xFFFFFFFF
-    for byte in data:
-        crc ^= byte << 24
+@cache
+def _crc_table() -> list[int]:
+    out = []
+    for byte in range(256):
+        crc = byte << 24
         for _ in range(8):
             crc = ((crc << 1) ^ CRC_POLYNOMIAL if crc & 0x80000000 else crc << 1) & 0xFFFFFFFF
+        out.append(crc)
+    return out
+
+
+def section_crc(data: bytes) -> int:
+    """0 for a whole section with its CRC."""
+    crc, table = 0xFFFFFFFF, _crc_table()
+    for byte in data:
+        crc = (crc << 8) & 0xFFFFFFFF ^ table[crc >> 24 ^ byte]
     return crc
 
 
@@ -49,25 +65,29 @@ def _table(pid: int, table_id: int, extension: int, body: bytes) -> bytes:
 
 
 @cache
-def program_tables() -> bytes:
+def program_tables() -> np.ndarray:
     pat = PROGRAM.to_bytes(2, "big") + (0xE000 | PMT_PID).to_bytes(2, "big")
     pmt = (0xE000 | STREAM_PID).to_bytes(2, "big") + b"\xf0\x00" + bytes([STREAM_TYPE]) + (0xE000 | STREAM_PID).to_bytes(2, "big") + b"\xf0\x00"
-    return _table(0, 0, 1, pat) + _table(PMT_PID, 2, PROGRAM, pmt)
+    return np.frombuffer(_table(0, 0, 1, pat) + _table(PMT_PID, 2, PROGRAM, pmt), np.uint8).reshape(2, PACKET)
 
 
 def _stamp(pts: int) -> bytes:
     return bytes([0x21 | (pts >> 29) & 0x0E, (pts >> 22) & 255, 1 | (pts >> 14) & 0xFE, (pts >> 7) & 255, 1 | (pts << 1) & 0xFE])
 
 
+def _clock(base: int) -> bytes:
+    return (base << 15 | 0x3F << 9).to_bytes(6, "big")
+
+
 def pack(payload: bytes) -> bytes:
-    """A transport stream that carries the payload, one time stamp for each unit of it."""
+    """A transport stream that carries the payload, one time stamp and clock reference for each unit of it."""
     units = []
     for k, at in enumerate(range(0, max(len(payload), 1), UNIT)):
         data = payload[at : at + UNIT]
         length = len(data) + PES_HEADER - 6
-        units.append(b"\0\0\1" + bytes([STREAM_ID]) + length.to_bytes(2, "big") + b"\x84\x80\x05" + _stamp(k * TICKS) + data)
+        units.append(b"\0\0\1" + bytes([STREAM_ID]) + length.to_bytes(2, "big") + b"\x84\x80\x05" + _stamp(LEAD + k * TICKS) + data)
     sizes = np.array([len(u) for u in units])
-    packets = (sizes + 2 + BODY - 1) // BODY
+    packets = (sizes + FIELD + BODY - 1) // BODY
     total = int(packets.sum())
     out = np.full((total, PACKET), 0xFF, np.uint8)
     first = np.zeros(total, bool)
@@ -77,68 +97,150 @@ def pack(payload: bytes) -> bytes:
     out[:, 2] = STREAM_PID & 255
     counter = (np.arange(total) % 16).astype(np.uint8)
     # Stuffing is needed in the last unit's last packet only: all units before are full.
-    spare = int(packets[-1]) * BODY - 2 - int(sizes[-1])
-    field = np.where(first, 2, 0)
+    spare = int(packets[-1]) * BODY - FIELD - int(sizes[-1])
+    field = np.where(first, FIELD, 0)
     field[-1] += spare
     out[:, 3] = np.where(field > 0, 0x30, 0x10) | counter
     out[field > 0, 4] = field[field > 0] - 1
     flags = field > 1
-    out[flags, 5] = np.where(first[flags], 0x40, 0)
+    out[flags, 5] = np.where(first[flags], 0x50, 0)
+    out[first, 6:12] = np.frombuffer(b"".join(_clock(k * TICKS) for k in range(len(units))), np.uint8).reshape(-1, 6)
     body = np.arange(PACKET) >= (4 + field)[:, None]
     out[body] = np.frombuffer(b"".join(units), np.uint8)
-    return program_tables() + out.tobytes()
-
-
-def _section(packets: np.ndarray, pid: int, table_id: int) -> bytes:
-    for p in packets:
-        if (int(p[1]) & 0x1F) << 8 | int(p[2]) == pid and p[1] & 0x40:
-            raw = p[4:].tobytes()
-            raw = raw[1 + raw[0] :]
-            size = 3 + ((raw[1] & 0x0F) << 8 | raw[2])
-            if raw[0] != table_id or section_crc(raw[: size - 4]) != int.from_bytes(raw[size - 4 : size], "big"):
-                break
-            return raw[8 : size - 4]
-    raise ValueError(f"no valid section {table_id} on pid {pid}")
-
-
-@cache
-def _stream_pid(head: bytes) -> int:
-    packets = np.frombuffer(head, np.uint8).reshape(-1, PACKET)
-    pat = _section(packets, 0, 0)
-    pmt = _section(packets, (pat[2] & 0x1F) << 8 | pat[3], 2)
-    skip = 4 + ((pmt[2] & 0x0F) << 8 | pmt[3])
-    return (pmt[skip + 1] & 0x1F) << 8 | pmt[skip + 2]
-
-
-def unpack(media: bytes) -> tuple[bytes, list[int], list[int]]:
-    """(payload, time stamps, packet numbers of random-access points); ValueError if the stream is damaged."""
-    packets = np.frombuffer(media, np.uint8)
-    if len(packets) % PACKET:
-        raise ValueError("not whole packets")
-    packets = packets.reshape(-1, PACKET)
-    if (packets[:, 0] != SYNC).any():
-        raise ValueError("sync byte missing")
-    stream = _stream_pid(media[: 2 * PACKET])
-    pids = (packets[:, 1].astype(np.int32) & 0x1F) << 8 | packets[:, 2]
-    own = np.flatnonzero(pids == stream)
-    p = packets[own]
-    counter = p[:, 3] & 15
-    if (np.diff(counter.astype(np.int8)) % 16 != 1).any():
-        raise ValueError("continuity counter jumps")
-    adapted = (p[:, 3] & 0x20) > 0
-    offset = np.where(adapted, 5 + p[:, 4].astype(np.int32), 4)
-    points = own[adapted & (p[:, 4] > 0) & ((p[:, 5] & 0x40) > 0)]
-    body = np.arange(PACKET) >= offset[:, None]
-    data = p[body].tobytes()
-    begins = (np.cumsum(PACKET - offset) - (PACKET - offset))[(p[:, 1] & 0x40) > 0].tolist()
+    # Tables before the first unit and then every few.
+    often = -(-len(units) // TABLES_EVERY)
+    tables = np.tile(program_tables(), (often, 1))
+    tables[:, 3] |= (np.repeat(np.arange(often), 2) % 16).astype(np.uint8)
+    at = np.repeat((np.cumsum(packets) - packets)[::TABLES_EVERY], 2)
+    return np.insert(out, at, tables, axis=0).tobytes()
+
+
+class Stream(NamedTuple):
+    """An elementary stream: its payload, time stamps, packet numbers of random-access points, and clock references."""
+
+    payload: bytes
+    stamps: list[int]
+    points: list[int]
+    clocks: list[int]
+
+
+class Packets:
+    """The packets of a stream, checked: `bodies` start at `begin`, and `good` leaves out permitted duplicates."""
+
+    def __init__(self, media: bytes):
+        p = np.frombuffer(media, np.uint8)
+        if len(p) % PACKET:
+            raise ValueError("not whole packets")
+        self.data = p = p.reshape(-1, PACKET)
+        if (p[:, 0] != SYNC).any():
+            raise ValueError("sync byte missing")
+        control = p[:, 3] >> 4
+        if (p[:, 1] & 0x80).any() or (control & 12).any() or not control.all():
+            raise ValueError("packets marked as damaged, scrambled or reserved")
+        self.pid = (p[:, 1].astype(np.int32) & 0x1F) << 8 | p[:, 2]
+        self.starts, self.carries = (p[:, 1] & 0x40) > 0, (control & 1) > 0
+        field = np.where((control & 2) > 0, 1 + p[:, 4].astype(np.int32), 0)
+        if (field > BODY).any():
+            raise ValueError("adaptation field too long")
+        self.begin, self.flags = 4 + field, np.where(field > 1, p[:, 5], 0)
+        self.good = self.pid != NULL_PID
+        for pid in np.unique(self.pid[self.good]):
+            self._check(np.flatnonzero(self.pid == pid))
+
+    def _check(self, own: np.ndarray) -> None:
+        """Of one PID: with payload the counter goes up by one, without it stays; a packet may come twice."""
+        counter, carries = (self.data[own, 3] & 15).astype(np.int16), self.carries[own]
+        step = np.diff(counter) % 16
+        twice = np.flatnonzero((step == 0) & carries[1:] & carries[:-1])
+        same = self.data[own[twice]] == self.data[own[twice + 1]]
+        same[:, 6:12] |= ((self.flags[own[twice]] & 0x10) > 0)[:, None]
+        twice = twice[same.all(1)]
+        wrong = (step != carries[1:]) & ((self.flags[own[1:]] & 0x80) == 0)
+        wrong[twice] = False
+        if wrong.any() or (np.diff(twice) == 1).any():
+            raise ValueError("continuity counter jumps")
+        self.good[own[twice + 1]] = False
+
+    def of(self, pid: int) -> np.ndarray:
+        """Numbers of the packets with payload of a PID."""
+        return np.flatnonzero((self.pid == pid) & self.good & self.carries)
+
+    def sections(self, pid: int) -> Iterator[bytes]:
+        """Whole sections of a table PID, wherever they start and end."""
+        held, inside = b"", False
+        for k in self.of(pid):
+            body = self.data[k, self.begin[k] :].tobytes()
+            parts = [body]
+            if self.starts[k]:
+                skip = 1 + (body[0] if body else 0)
+                parts = [body[1:skip], body[skip:]]
+            for i, part in enumerate(parts):
+                if i == len(parts) - 1 and self.starts[k]:
+                    held, inside = b"", True
+                if not inside:
+                    continue
+                held += part
+                while len(held) >= 3 and held[0] != 0xFF and len(held) >= (size := 3 + ((held[1] & 15) << 8 | held[2])):
+                    yield held[:size]
+                    held = held[size:]
+
+
+@lru_cache(1024)
+def _checked(section: bytes) -> bytes:
+    """The body of a section whose CRC is right."""
+    if len(section) < 12 or section_crc(section):
+        raise ValueError("section damaged")
+    return section[8:-4]
+
+
+def programs(packets: Packets) -> dict[int, list[tuple[int, int]]]:
+    """(pid, stream type) of the elementary streams of each program, as the current tables have them."""
+    places: dict[int, int] = {}
+    for s in packets.sections(0):
+        body = _checked(s)
+        if s[0] == 0 and s[5] & 1:
+            places |= {n: (body[i + 2] & 0x1F) << 8 | body[i + 3] for i in range(0, len(body) - 3, 4) if (n := body[i] << 8 | body[i + 1])}
+    out: dict[int, list[tuple[int, int]]] = {}
+    for number, pid in places.items():
+        for s in packets.sections(pid):
+            body = _checked(s)
+            if s[0] == 2 and s[5] & 1 and s[3] << 8 | s[4] == number:
+                i, streams = 4 + ((body[2] & 15) << 8 | body[3]), []
+                while i + 5 <= len(body):
+                    streams.append(((body[i + 1] & 0x1F) << 8 | body[i + 2], body[i]))
+                    i += 5 + ((body[i + 3] & 15) << 8 | body[i + 4])
+                out[number] = streams
+    if not out:
+        raise ValueError("no program in the tables")
+    return out
+
+
+def unpack(media: bytes, program: int | None = None, pid: int | None = None) -> Stream:
+    """The elementary stream of a PID, by default the first one of a program (the lowest) that has private data like pack()'s, or
+    else its first; ValueError if the stream is damaged."""
+    packets = Packets(media)
+    known = programs(packets)
+    if pid is None:
+        streams = known[min(known) if program is None else program]
+        pid = next((p for p, kind in streams if kind == STREAM_TYPE), streams[0][0] if streams else -1)
+    own = packets.of(pid)
+    if not len(own) or not packets.starts[own[0]]:
+        raise ValueError("the elementary stream does not start")
+    p, begin, flags = packets.data[own], packets.begin[own], packets.flags[own]
+    data = p[np.arange(PACKET) >= begin[:, None]].tobytes()
+    begins = (np.cumsum(PACKET - begin) - (PACKET - begin))[packets.starts[own]].tolist()
     payload, stamps = [], []
     for at, to in zip(begins, [*begins[1:], len(data)], strict=True):
         h = data[at : at + PES_HEADER]
-        if h[:4] != b"\0\0\1" + bytes([STREAM_ID]) or 6 + (h[4] << 8 | h[5]) != to - at:
+        length = h[4] << 8 | h[5] if len(h) > 8 else 0
+        if h[:3] != b"\0\0\1" or length and 6 + length != to - at:
             raise ValueError("elementary packet damaged")
-        stamps.append((h[9] & 0x0E) << 29 | h[10] << 22 | (h[11] & 0xFE) << 14 | h[12] << 7 | h[13] >> 1)
-        payload.append(data[at + 9 + h[8] : to])
-    return b"".join(payload), stamps, points.tolist()
+        bare = h[3] in BARE_IDS
+        if not bare and h[7] & 0x80:
+            stamps.append((h[9] & 0x0E) << 29 | h[10] << 22 | (h[11] & 0xFE) << 14 | h[12] << 7 | h[13] >> 1)
+        payload.append(data[at + (6 if bare else 9 + h[8]) : to])
+    clock = p[(flags & 0x10) > 0, 6:12].astype(np.int64) @ (1 << np.arange(40, -1, -8)) >> 15
+    return Stream(b"".join(payload), stamps, own[(flags & 0x40) > 0].tolist(), clock.tolist())
 
 
 def padded(text: bytes) -> bytes:
@@ -147,7 +249,8 @@ def padded(text: bytes) -> bytes:
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, media): each whole text as a transport stream; null texts are empty ones."""
+    """(id, n_bytes, media): each whole text, however long, as a transport stream; null texts are empty ones, and equal texts have
+    equal streams. Null and repeated ids stay; no rows give none. Only the two named columns are read."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -158,27 +261,30 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     [b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets[lo : hi + 1])), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         write, f"id {kind}, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
-def features(payload: bytes, stamps: list[int], points: list[int]) -> str:
+def features(stream: Stream) -> str:
+    payload, stamps, points, clocks = stream
     counts = np.bincount(np.frombuffer(payload, np.uint8), minlength=256)
-    return (f"units={len(stamps)};last_pts={stamps[-1]};points={len(points)};distinct={int((counts > 0).sum())};"
+    return (f"units={len(stamps)};last_pts={stamps[-1]};points={len(points)};last_clock={clocks[-1]};distinct={int((counts > 0).sum())};"
             f"peak={int(counts.argmax())};sum={int(counts @ np.arange(256))}")
 
 
 def read_back(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """From store(): digests of the stored form and of the payload read from it, and features of the latter."""
+    """From store(): digests of the stored form and of the payload read from it, and features of the latter. A row for each
+    stored one; a damaged stream fails the job, so nothing is lost unseen."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for media in b.column(2):
                 raw = media.as_py()
-                payload, stamps, points = unpack(raw)
+                stream = unpack(raw)
+                payload, stamps, points, _ = stream
                 rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(raw),
-                             hashlib.sha256(raw).hexdigest(), features(payload, stamps, points), stamps, points))
+                             hashlib.sha256(raw).hexdigest(), features(stream), stamps, points))
             cols = list(zip(*rows, strict=True)) or [[]] * 8
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
