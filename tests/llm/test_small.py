@@ -74,6 +74,15 @@ def test_any_text_has_the_librarys_count(bpe, text):
     assert own.count([text])[0] == len(library.encode(text, add_special_tokens=False).ids)
 
 
+@pytest.mark.parametrize("alphabet", ["a", "ab", "=-", "abcdefghijklmnopqrstuvwxyz", "日本語", "0123456789", "é"])
+def test_long_unbroken_runs_have_the_librarys_count(bpe, alphabet):
+    own, library = bpe
+    r = random.Random(len(alphabet))
+    texts = ["".join(r.choice(alphabet) for _ in range(n)) for n in (127, 128, 129, 3000, 20_000)]
+    assert own.count([*texts, " ".join(texts)]).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in [*texts, " ".join(texts)]]
+    assert max(map(len, own.known)) <= tokens.KEPT_LENGTH
+
+
 def test_tokens_rows(spark, corpus):
     got = {r["doc_id"]: r for r in tokens.count_tokens(frame(spark, corpus), public_tokenizers.path("byte_bpe_50k.json")).collect()}
     assert len(got) == len(corpus) and got[0]["n_tokens"] == got[1]["n_tokens"] == got[0]["n_bytes"] == 0 and got[len(corpus) - 4]["over_limit"]
@@ -85,8 +94,9 @@ def test_tokens_rows(spark, corpus):
 def test_streams_give_back_their_payload(n):
     payload = media.padded(random.Random(n).randbytes(n))
     stream = media.pack(payload)
-    back, stamps, points = media.unpack(stream)
-    assert back == payload and len(stream) % 188 == 0 and len(stamps) == len(points) and stamps == sorted(stamps)
+    back, stamps, points, clocks = media.unpack(stream)
+    assert back == payload and len(stream) % 188 == 0 and len(stamps) == len(points) == len(clocks) and stamps == sorted(stamps)
+    assert all(c < s for c, s in zip(clocks, stamps, strict=True)) and len(stamps) == max(1, -(-len(payload) // media.UNIT))
 
 
 def test_damage_is_seen():
@@ -96,6 +106,47 @@ def test_damage_is_seen():
             media.unpack(bytes(cut))
 
 
+def packet(pid, counter, body, start=False, field=b"", kind=None):
+    """A packet made by hand: field is what follows the adaptation field's length; short bodies are stuffed."""
+    room = 184 - len(body) - (1 + len(field) if field or len(body) < 184 else 0)
+    if field or len(body) < 184:
+        field = bytes([len(field) + room]) + (field or (b"\0" if room else b"")) + b"\xff" * (room - (not len(field) and room > 0))
+    control = kind or (0x30 if field else 0x10)
+    return bytes([0x47, (0x40 if start else 0) | pid >> 8, pid & 255, control | counter]) + field + body
+
+
+def section(table, extension, body):
+    n = 9 + len(body)
+    raw = bytes([table, 0xB0 | n >> 8, n & 255, extension >> 8, extension & 255, 0xC1, 0, 0]) + body
+    crc = 0xFFFFFFFF
+    for bit in "".join(f"{x:08b}" for x in raw):  # bit by bit
+        crc = (crc << 1 & 0xFFFFFFFF) ^ (0x04C11DB7 if (crc >> 31) ^ int(bit) else 0)
+    return raw + crc.to_bytes(4, "big")
+
+
+def test_a_foreign_stream():
+    """Tables late, repeated and over two packets, two programs, null packets, a duplicate, packets without payload, a marked jump."""
+    pat = section(0, 7, b"\0\0\xe0\x10" + b"\0\x05\xe0\x50" + b"\0\x09\xe0\x51")  # a network PID, programs 5 and 9
+    pmt5 = section(2, 5, b"\xe0\x60\xf0\x00" + b"\x1b\xe0\x60\xf0\x00" + b"\x06\xe0\x61\xf0\x03abc")
+    pmt9 = section(2, 9, b"\xe0\x62\xf0\xc8" + b"d" * 200 + b"\x06\xe0\x62\xf0\x00")  # longer than a packet
+    pes = lambda sid, data, n=None: b"\0\0\1" + bytes([sid]) + (len(data) if n is None else n).to_bytes(2, "big") + data
+    stamped = b"\x84\x80\x05" + b"\x21\0\1\0\3"  # time stamp 1
+    unit = pes(0xBD, stamped + b"p" * 300)
+    one = [packet(0x61, 14, unit[:184], True), packet(0x61, 15, unit[184:]), packet(0x61, 15, b"", kind=0x20), packet(0x61, 7, pes(0xBF, b"bare"), True, b"\x80")]
+    stream = b"".join([
+        packet(0x1FFF, 3, b"\xff" * 184), one[0], one[0], packet(0x62, 0, pes(0xBD, stamped + b"nine", 0), True), packet(0, 0, b"\0" + pat, True), one[1],
+        packet(0x51, 4, b"\0" + pmt9[:183], True), one[2], packet(0x50, 0, b"\2zz" + pmt5, True), packet(0x51, 5, pmt9[183:] + b"\xff" * (184 - len(pmt9[183:]))),
+        packet(0, 1, b"\0" + pat, True), one[3], packet(0x50, 1, b"\0" + pmt5, True), packet(0x60, 9, pes(0xE0, b"\x80\0\0video", 0), True)])
+    assert media.programs(media.Packets(stream)) == {5: [(0x60, 0x1B), (0x61, 6)], 9: [(0x62, 6)]}
+    assert media.unpack(stream)[:3] == (b"p" * 300 + b"bare", [1], [])
+    assert media.unpack(stream, program=9).payload == b"nine" and media.unpack(stream, pid=0x60).payload == b"video"
+    broken = bytearray(stream)
+    broken[188 * 11 - 9] ^= 1  # the table's second copy
+    for bad in (bytes(broken), stream.replace(one[1], one[1] * 3), stream.replace(one[2], packet(0x61, 0, b"", kind=0x20)), stream.replace(one[3], packet(0x61, 7, pes(0xBF, b"bare"), True))):
+        with pytest.raises(ValueError):
+            media.unpack(bad)
+
+
 def test_media_rows(spark, corpus):
     got = {r["doc_id"]: r for r in media.read_back(media.store(frame(spark, corpus))).collect()}
     for i, t in enumerate(corpus):
@@ -252,6 +303,14 @@ def test_lines_as_the_plain_version(spark, corpus):
     assert [got[i] for i in range(len(corpus))] == plain_lines(corpus)
 
 
+def test_lines_keep_columns_of_any_name(spark, corpus):
+    names = ["_starts", "_covered", "_lines", "_n_lines", "_N_REMOVED", "starts", "key", "row", "id", "at"]
+    out = line_dedup.dedup_lines(frame(spark, corpus).withColumns({n: F.lit(n) for n in names}))
+    assert out.columns[5:] == [*names, "__n_lines", "__n_removed"]
+    rows = {r["doc_id"]: r for r in out.collect()}
+    assert all(r[n] == n for r in rows.values() for n in names) and [rows[i]["text"] for i in range(len(corpus))] == plain_lines(corpus)
+
+
 def test_lines_run_in_the_engine_alone(spark, corpus):
     plan = line_dedup.dedup_lines(frame(spark, corpus))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -331,9 +390,31 @@ def test_each_piece_goes_to_the_tightest_compatible_bin(per_source):
         assert tree.place(size, bits, 1 << (20 + cluster)) == plain_place(plain, 100, size, source, per_source, cluster)
 
 
+@pytest.mark.parametrize("per_source", [1, 3])
+def test_packing_as_the_plain_packer(spark, corpus, per_source):
+    """All pieces in one shard, against a list of bins that is searched whole."""
+    docs = [*corpus, corpus[6], corpus[6]]
+    pieces = []
+    for i, t in enumerate(docs):
+        w = (t or "").encode().lower().split()
+        pieces += [(-len(w[k : k + 64]), str(i), k // 64, "" if i % 4 == 0 else f"s{i % 2}", b" ".join(w)) for k in range(0, len(w), 64)]
+    bins, want = [], {}
+    for size, i, piece, source, cluster in sorted(pieces):
+        want[int(i), piece] = plain_place(bins, 64, -size, source, per_source, cluster)
+    rows = packing.pack(frame(spark, docs), capacity=64, per_source=per_source, shard_pieces=10**6).filter("bin_id is not null").collect()
+    assert {(r["doc_id"], r["piece"]): r["bin_id"] for r in rows} == want
+
+
+@pytest.mark.parametrize("rows", [[(i, "w " * 40_000) for i in range(5)], [(None if i % 2 else i, f"a b {i % 3}") for i in range(600)]])
+def test_shards_are_bounded_in_pieces(spark, rows):
+    out = packing.pack(spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string"), capacity=200, shard_pieces=50)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("bin_id", 32)).count().collect()]
+    assert sum(sizes) == sum(-(-len(t.split()) // 200) for _, t in rows) and max(sizes) <= 100
+
+
 def test_packing_is_whole_and_without_conflict(spark, corpus):
     docs = frame(spark, corpus)
-    rows = packing.pack(docs, capacity=64, per_source=1, shard_rows=20).collect()
+    rows = packing.pack(docs, capacity=64, per_source=1, shard_pieces=20).collect()
     placed = [r for r in rows if r["bin_id"] is not None]
     for i, t in enumerate(corpus):
         own = sorted((r["piece"], r["first_word"], r["n_words"]) for r in rows if r["doc_id"] == i)
