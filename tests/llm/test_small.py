@@ -5,8 +5,9 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import numpy as np
 import public_tokenizers
@@ -220,6 +221,76 @@ def test_percent_coded_compressed_data():
     assert len(found) == 10 and {f[3] for f in found} == {"/percent/packed"}
 
 
+def plain_layers(text, seen=None):
+    """Every text that decodings of a text lead to, by plain recursion over whole texts."""
+    seen = set() if seen is None else seen
+    if text in seen:
+        return seen
+    seen.add(text)
+
+    def raw_layers(raw):
+        plain_layers(raw.decode(errors="replace"), seen)
+        for k in (0, 1):
+            if 4 * raw.count(0) >= len(raw) > 1:
+                plain_layers(raw[k : len(raw) - (len(raw) - k) % 2].decode("utf-16-le", "replace"), seen)
+        for m in re.finditer(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]", raw):
+            try:
+                raw_layers(zlib.decompressobj(47).decompress(raw[m.start() :]))
+            except zlib.error:
+                pass
+
+    plain_layers(unquote(text), seen)
+    plain_layers(re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), text), seen)
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*", text):
+        body = re.sub(r"\s", "", m[0]).replace("-", "+").replace("_", "/")
+        for k in range(4):
+            own = body[k : len(body) - (len(body[k:]) % 4 == 1)]
+            if own:
+                raw_layers(base64.b64decode(own + "=" * (-len(own) % 4)))
+    return seen
+
+
+@pytest.mark.parametrize("piece", [None, 48])
+def test_layers_as_the_plain_recursion(monkeypatch, piece):
+    """Strings found in any layer of random nestings; also with streams cut into very small pieces."""
+    if piece:
+        monkeypatch.setattr(secrets, "PIECE", piece)
+        monkeypatch.setattr(secrets, "STEP", 8)
+    r = random.Random(piece)
+    b64 = lambda raw: base64.b64encode(raw).decode()
+    wraps = [lambda t: quote(t, safe=""), lambda t: "".join(f"\\u{ord(c):04x}" if r.random() < 0.5 and c < "\uffff" else c for c in t), lambda t: b64(t.encode()),
+             lambda t: b64(t.encode("utf-16-le")), lambda t: b64(gzip.compress(t.encode())), lambda t: b64(b"ab" + zlib.compress(gzip.compress(t.encode())) + b"z"),
+             lambda t: base64.encodebytes(t.encode()).decode(), lambda t: "path/" + b64(t.encode())]
+    real, met = secrets.scan, set()
+
+    def scan(text):
+        found = real(text)
+        met.update((k, text[lo:hi]) for k, lo, hi in found)
+        return found
+
+    monkeypatch.setattr(secrets, "scan", scan)
+    for _ in range(60):
+        text = "".join(r.choice([", some; words (here) é ", f"password={r.randrange(10**9):012d} ", f"{r.randrange(16**40):040x},", "AKIA" + "QWERTYUIOPAS" + str(r.randrange(10)) + "; "]) for _ in range(r.randint(1, 6)))
+        for _ in range(r.randint(1, 4)):
+            text = r.choice(["x, ", "", "(é) "]) + r.choice(wraps)(text) + r.choice(["", " y", "; token=abcdefgh"])
+        met.clear()
+        secrets.findings(text)
+        want = {(k, t[lo:hi]) for t in plain_layers(text) for k, lo, hi in real(t)}
+        assert want <= met, text
+
+
+def test_unpacking_takes_bounded_memory():
+    """60 MB from 80 KB, scanned to its end; a stream that holds itself ends too."""
+    pack = zlib.compressobj(9, zlib.DEFLATED, 31)
+    raw = b"".join(pack.compress(b"some words, and more;\n" * 50_000) for _ in range(60)) + pack.compress(b"password=hunter2hunter2") + pack.flush()
+    text = base64.b64encode(raw).decode()
+    tracemalloc.start()
+    found = secrets.findings(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(f[0], f[5]) for f in found] == [("assign", 66_000_023)] and peak < 60_000_000
+
+
 def test_cycles_end():
     assert secrets.find("%25" * 200)[1] == [] and secrets.find("%2525252525")[1] == []
 
