@@ -10,7 +10,7 @@ from cartorio.operators.aggregates import count_by, percent, top_k
 from cartorio.operators.joins import small
 from cartorio.operators.sync import compare, status_summary, validate_copy
 from cartorio.operators.windows import series
-from cartorio.sources.files import digests, manifest_files, read_manifest, scan
+from cartorio.sources.files import below, digests, manifest_files, read_manifest, scan
 
 
 def coverage_series(old: DataFrame, new: DataFrame, population: DataFrame, components: DataFrame, indicator: str, uf: str | None = None,
@@ -42,16 +42,22 @@ def microdata(spark: SparkSession, root: str, uf: str, year: str, month: str | N
 
 
 def check_sync(expected: DataFrame, source: DataFrame, copy: DataFrame, keys: list[str], dataset: str = "dataset") -> tuple[DataFrame, DataFrame]:
-    """(details, summary) of all datasets at once."""
+    """(details, summary) of all datasets at once; to_do() lists the units."""
     details = compare(expected, source, copy, keys)
     return details, status_summary(details, dataset)
 
 
+def to_do(details: DataFrame, keys: list[str], dataset: str = "dataset", statuses: tuple[str, ...] = ("missing", "outdated", "extra", "check_failed")) -> DataFrame:
+    """The lists of each status, a row a unit: (dataset, status, keys) of the units that aren't as they should be."""
+    return details.filter(F.col("status").isin(*statuses)).select(dataset, "status", *keys)
+
+
 def validate_local(spark: SparkSession, root: str, manifest: str) -> DataFrame:
-    """(path, result) of the files below root against the manifest; paths are those below root."""
-    name = F.regexp_replace("path", r"^.*/(?=[^/]+$)", "")
-    found = digests(spark, root).withColumn("path", name)
-    return validate_copy(found, manifest_files(read_manifest(spark, manifest)).filter("path is not null").withColumn("path", name))
+    """(path, result) of the files below root against the manifest; paths are those below root, with their folders (the
+    manifest's too, or whole ones). Files of over 2 GB can't be digested and fail the job: keep parts below that."""
+    found = digests(spark, root).withColumn("path", below(spark, F.col("path"), root))
+    wanted = manifest_files(read_manifest(spark, manifest)).filter("path is not null").withColumn("path", below(spark, F.col("path"), root))
+    return validate_copy(found, wanted)
 
 
 def registry_counts(df: DataFrame, by: str, top: int | None = None) -> DataFrame:

@@ -117,15 +117,19 @@ def file_name(kind: str, uf: Column, year: Column, month: Column | None = None)
 
 
 def parse_file_name(name: Column) -> Column:
-    """(kind, uf, year, month) of a publisher file name; nulls where it is none."""
+    """(kind, uf, year, month) of a publisher file name; nulls where it is none. Monthly routine files have no state."""
     p = r"^(DPNI|CPNI|DNR|DN|RD)([A-Z]{2})(\d{2,4})\."
     kind, digits = F.regexp_extract(name, p, 1), F.regexp_extract(name, p, 3)
     year = (F.when(kind.isin("DPNI", "CPNI") & (F.length(digits) == 2), four_digit_year(digits))
             .when(kind.isin("DN", "DNR") & (F.length(digits) == 4), digits.try_cast("int"))
             .when((kind == "RD") & (F.length(digits) == 4), four_digit_year(F.substring(digits, 1, 2))))
     month = F.when((kind == "RD") & (F.length(digits) == 4), F.substring(digits, 3, 2).try_cast("int"))
+    monthly = r"^vacinacao_([a-z]{3})_(\d{4})\.json$"
+    routine = F.nullif(F.array_position(F.array(*(F.lit(m) for m in MONTHS)), F.regexp_extract(name, monthly, 1)).cast("int"), F.lit(0))
+    year, month = F.when(routine.isNotNull(), F.regexp_extract(name, monthly, 2).try_cast("int")).otherwise(year), F.coalesce(routine, month)
     some = year.isNotNull()
-    return F.struct(F.when(some, kind).alias("kind"), F.when(some, F.regexp_extract(name, p, 2)).alias("uf"), year.alias("year"), month.alias("month"))
+    return F.struct(F.when(routine.isNotNull(), "routine").when(some, kind).alias("kind"), F.when(some & routine.isNull(), F.regexp_extract(name, p, 2)).alias("uf"),
+                    year.alias("year"), month.alias("month"))
 
 
 def path_key(path: Column, key: str) -> Column:

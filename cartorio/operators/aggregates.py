@@ -40,6 +40,17 @@ def dropout(df: DataFrame, keys: list[str], dose: str, measure: str, first: tupl
     return out.withColumn("dropout_pct", percent(F.col("first_doses") - F.col("last_doses"), F.col("first_doses")))
 
 
+def dropout_by_rules(df: DataFrame, rules: DataFrame, vaccine: str, dose: str, year: str, measure: str, keys: list[str]) -> DataFrame:
+    """Dropout of every indicator in its years: rules has (indicator, first_dose, last_dose, year_from, year_to)."""
+    from cartorio.operators.joins import small
+
+    inside = (F.col(year) >= F.col("year_from")) & (F.col("year_to").isNull() | (F.col(year) <= F.col("year_to")))
+    joined = df.join(small(rules), F.col(vaccine) == F.col("indicator")).filter(inside)
+    given = lambda which: F.sum(F.when(F.col(dose) == F.col(which), F.col(measure)))
+    out = joined.groupBy("indicator", *keys).agg(given("first_dose").alias("first_doses"), given("last_dose").alias("last_doses"))
+    return out.withColumn("dropout_pct", percent(F.col("first_doses") - F.col("last_doses"), F.col("first_doses")))
+
+
 def cumulative_target(annual: Column, months: Column) -> Column:
     return annual / 12.0 * months
 

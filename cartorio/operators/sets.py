@@ -20,6 +20,11 @@ def column_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.join(y, "column_name", "full").withColumn("side", side)
 
 
+def type_changes(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(column_name, kind_a, kind_b) of columns that both have, of different types."""
+    return column_diff(a, b).filter("side = 'both' and kind_a <> kind_b").select("column_name", "kind_a", "kind_b")
+
+
 def common_columns(*frames: DataFrame) -> list[str]:
     return [c for c in frames[0].columns if all(c in f.columns for f in frames[1:])]
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartorio.operators.aggregates import cumulative_target
+from cartorio.operators.joins import small
+
 
 def enter_leave(df: DataFrame, code: str, year: str) -> DataFrame:
     """(year, code, change) of codes that enter or leave between two years that follow each other in the data."""
@@ -12,12 +15,13 @@ def enter_leave(df: DataFrame, code: str, year: str) -> DataFrame:
     years = seen.select("year").distinct()
     # The list of years is short; its own window numbers them.
     ranked = years.withColumn("n", F.row_number().over(Window.orderBy("year")))
-    has = seen.join(F.broadcast(ranked), "year")
+    ranked = small(ranked)
+    has = seen.join(ranked, "year")
     own, other = has.select("code", "n"), has.select("code", (F.col("n") + 1).alias("n"))
     last = ranked.agg(F.max("n").alias("last"))
     entered = own.join(other, ["code", "n"], "left_anti").filter("n > 1").withColumn("change", F.lit("enters"))
     left = other.join(own, ["code", "n"], "left_anti").crossJoin(F.broadcast(last)).filter("n <= last").drop("last").withColumn("change", F.lit("leaves"))
-    return entered.unionByName(left).join(F.broadcast(ranked), "n").select("year", "code", "change")
+    return entered.unionByName(left).join(ranked, "n").select("year", "code", "change")
 
 
 def presence(df: DataFrame, code: str, year: str, years: list) -> DataFrame:
@@ -48,6 +52,13 @@ def running_sum(df: DataFrame, by: list[str], order: str, measure: str) -> DataF
     return df.withColumn("running", F.sum(measure).over(w))
 
 
+def running_against_target(df: DataFrame, by: list[str], month: str, measure: str, annual: str) -> DataFrame:
+    """Running sums of the year beside the target that the months so far add up to, and whether it's reached: the
+    preliminary coverage of a year that isn't over. `annual` has the year's target population."""
+    out = running_sum(df, by, month, measure).withColumn("target", cumulative_target(F.col(annual).cast("double"), F.col(month)))
+    return out.withColumn("reached", F.col("running") >= F.col("target"))
+
+
 def latest(df: DataFrame, unit: list[str], order: list[str]) -> DataFrame:
     """The last row of each unit by the given order."""
     w = Window.partitionBy(*unit).orderBy(*(F.col(c).desc_nulls_last() for c in order))
@@ -55,9 +66,12 @@ def latest(df: DataFrame, unit: list[str], order: list[str]) -> DataFrame:
 
 
 def ranked(df: DataFrame, keys: list[str], measure: str | None = None) -> DataFrame:
-    """Keys by volume, with their rank. The window runs over the aggregate, one row a key."""
+    """Keys by volume, with their rank: one more than the keys of larger volume. The window runs over the different
+    volumes, which are far fewer than keys."""
     out = df.groupBy(*keys).agg((F.sum(measure) if measure else F.count("*")).alias("volume"))
-    return out.withColumn("place", F.rank().over(Window.orderBy(F.desc("volume"))))
+    above = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = out.groupBy(F.col("volume").alias("v")).agg(F.count("*").alias("n")).withColumn("place", above + 1)
+    return out.join(places, F.col("volume").eqNullSafe(F.col("v"))).select(*keys, "volume", "place")
 
 
 def grains(df: DataFrame, date: str, measure: str) -> DataFrame:
@@ -66,5 +80,12 @@ def grains(df: DataFrame, date: str, measure: str) -> DataFrame:
             .agg(F.sum("_m").alias("total"), F.count("*").alias("n")))
 
 
+def grain_levels(df: DataFrame, date: str, measure: str) -> DataFrame:
+    """Sums by day, month, year and in all. `level` tells the grain (0 day, 1 month, 3 year, 7 all), so that rows without a
+    date stay apart from totals."""
+    return (df.select(F.year(date).alias("year"), F.month(date).alias("month"), F.dayofmonth(date).alias("day"), F.col(measure).alias("_m")).rollup("year", "month", "day")
+            .agg(F.sum("_m").alias("total"), F.count("*").alias("n"), F.grouping_id().cast("bigint").alias("level")))
+
+
 def previous(df: DataFrame, by: list[str], order: str, value: str, into: str = "previous") -> DataFrame:
     return df.withColumn(into, F.lag(value).over(Window.partitionBy(*by).orderBy(order)))

@@ -12,8 +12,13 @@ from cartorio.operators import sync
 from cartorio.plans.registry import query, table
 
 
-def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Dose lines: vaccine = brand, dose = return flag, doses = quantity, uf = nation of the customer, year of shipping."""
+def _lines(spark: SparkSession, sf: str, place: bool = True) -> DataFrame:
+    """Dose lines: vaccine = brand, dose = return flag, doses = quantity, uf = nation of the customer, year of shipping.
+    place: with the uf, which takes two more joins."""
+    if not place:
+        l, p = table(spark, sf, "lineitem"), table(spark, sf, "part").select("p_partkey", "p_brand")
+        return l.join(p, l["l_partkey"] == p["p_partkey"]).select(F.col("p_brand").alias("vaccine"), F.col("l_returnflag").alias("dose"), F.col("l_quantity").cast("bigint").alias("doses"),
+                                                                  F.year("l_shipdate").alias("year"))
     l, p = table(spark, sf, "lineitem"), table(spark, sf, "part").select("p_partkey", "p_brand")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
@@ -101,14 +106,14 @@ def _components(spark: SparkSession) -> DataFrame:
 select indicator, year::bigint as year, cast(sum(doses) as bigint) as doses from lines join components using (vaccine, dose) group by 1, 2""")
 def composite(spark: SparkSession, sf: str) -> DataFrame:
     """Doses of all vaccines with the same component."""
-    return A.composite(_lines(spark, sf), _components(spark), "vaccine", "dose", "doses", ["year"]).withColumn("year", F.col("year").cast("bigint"))
+    return A.composite(_lines(spark, sf, place=False), _components(spark), "vaccine", "dose", "doses", ["year"]).withColumn("year", F.col("year").cast("bigint"))
 
 
 @query(f"""with {LINES_SQL}
 select vaccine, f as first_doses, l as last_doses, round((f - l) * 100.0 / nullif(f, 0), 6) as dropout_pct
 from (select vaccine, cast(sum(doses) filter (dose = 'A') as bigint) as f, cast(sum(doses) filter (dose = 'R') as bigint) as l from lines group by 1)""")
 def dropout(spark: SparkSession, sf: str) -> DataFrame:
-    return A.dropout(_lines(spark, sf), ["vaccine"], "dose", "doses", ("A",), ("R",)).withColumn("dropout_pct", F.round("dropout_pct", 6))
+    return A.dropout(_lines(spark, sf, place=False), ["vaccine"], "dose", "doses", ("A",), ("R",)).withColumn("dropout_pct", F.round("dropout_pct", 6))
 
 
 @query("""

@@ -59,7 +59,8 @@ def no_data(spark: SparkSession) -> DataFrame:
 def denominators(spark: SparkSession) -> DataFrame:
     """(year, age_group, state_group, source, source_year), 1994-2012: census estimates of the year until 1999, and in
     group A until 2005; live births otherwise, of the same year for those under one and of the year before for those of one
-    (2000 for 2000), never after the frozen year."""
+    (2000 for 2000), never after the frozen year. Later years have no row here: their denominators come with the publisher's own tables,
+    so a lookup by rule leaves them null, to be told from a denominator of nothing."""
     rows = []
     for year in range(1994, 2013):
         for group in "AB":

@@ -16,9 +16,10 @@ def write_partitioned(df: DataFrame, root: str, keys: list[str], most_rows: int
     df.repartition(*by).write.mode(mode).option("maxRecordsPerFile", most_rows).partitionBy(*keys).parquet(root)
 
 
-def replace_source_unit(df: DataFrame, root: str, unit: str, keys: list[str], most_rows: int = MOST_ROWS) -> None:
-    """All that a source unit wrote before goes, stale keys too: the unit is the top folder and is overwritten whole."""
-    write_partitioned(df, f"{root.rstrip('/')}/source_unit={unit}", keys, most_rows, mode="overwrite")
+def replace_source_unit(df: DataFrame, root: str, unit: str, keys: list[str], most_rows: int = MOST_ROWS, salt: int = 1) -> None:
+    """All that a source unit wrote before goes, stale keys too: the unit is the top folder and is overwritten whole.
+    salt > 1 splits its large keys among so many tasks."""
+    write_partitioned(df, f"{root.rstrip('/')}/source_unit={unit}", keys, most_rows, salt, mode="overwrite")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

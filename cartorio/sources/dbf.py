@@ -6,7 +6,11 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -99,6 +103,45 @@ def read_dbf(spark: SparkSession, path: str, encoding: str = "ISO-8859-1"):
     return spark.read.format("dbf").option("encoding", encoding).load(path)
 
 
+def decoded(content: bytes, encoding: str, step: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """The records of a whole file as batches of text columns; deleted ones go, blanks are null."""
+    shape = layout(content[: struct.unpack_from("<H", content, 8)[0]])
+    n = min(shape.records, (len(content) - shape.start) // shape.width) if shape.width else 0
+    body = np.frombuffer(content, np.uint8, n * shape.width, shape.start).reshape(n, shape.width)
+    for lo in range(0, n, step):
+        rows = body[lo : lo + step]
+        rows = rows[rows[:, 0] != ord("*")]
+        columns = []
+        for _, at, size in shape.fields:
+            text = np.ascontiguousarray(rows[:, at : at + size]).view(f"S{size}").ravel()
+            column = pc.utf8_trim_whitespace(pa.array(np.char.decode(text, encoding).tolist(), pa.string()))
+            columns.append(pc.if_else(pc.equal(column, ""), pa.scalar(None, pa.string()), column))
+        yield pa.RecordBatch.from_arrays(columns, [name for name, _, _ in shape.fields])
+
+
+def read_dbf_folder(spark: SparkSession, root: str, names: list[str] | None = None, pattern: str = "*.[dD][bB][fF]", encoding: str = "ISO-8859-1") -> DataFrame:
+    """All dBase files below root in any store that Spark reads, one task or more a file: `_path` and every column that
+    any of them has (or `names`), as text. A file comes as one value (2 GB); read_dbf() takes larger ones in ranges."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "content")
+    if names is None:
+        def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = [layout(c.as_py()).fields for c in b.column(1)]
+                yield pa.RecordBatch.from_arrays([pa.array(sorted({n for fields in found for n, _, _ in fields}), pa.string())], ["name"])
+
+        names = sorted(r[0] for r in files.mapInArrow(heads, "name string").distinct().collect())  # as many as there are columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, content in zip(b.column(0), b.column(1), strict=True):
+                for rows in decoded(content.as_py(), encoding):
+                    have = dict(zip(rows.schema.names, rows.columns, strict=True))
+                    none = pa.nulls(rows.num_rows, pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * rows.num_rows, pa.string()), *(have.get(n, none) for n in names)], ["_path", *names])
+
+    return files.mapInArrow(run, ", ".join(["_path string", *(f"`{n}` string" for n in names)]))
+
+
 def dbf_bytes(fields: list[tuple[str, int]], rows: list[tuple[str | None, ...]], encoding: str = "ISO-8859-1") -> bytes:
     """A dBase III file of character fields."""
     width = 1 + sum(w for _, w in fields)

@@ -78,6 +78,17 @@ def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
+def below(spark: SparkSession, path: Column, root: str) -> Column:
+    """A path as it stands below root, whether it's whole (with or without a scheme) or relative already."""
+    whole = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = whole.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(whole)
+    out = path
+    for start in (whole.toString(), whole.toUri().getPath(), root):
+        start = start.rstrip("/") + "/"
+        out = F.when(out.startswith(start), F.substr(out, F.lit(len(start) + 1))).otherwise(out)
+    return F.regexp_replace(out, r"^\./", "")
+
+
 def inventory(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """(path, size_bytes, modified) of the files below root."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)

@@ -38,7 +38,7 @@ def resume(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return unprocessed(files, ledger)
 
 
-def reprocess(read: Callable[[str], DataFrame], root: str, units: list[str], keys: list[str]) -> None:
+def reprocess(read: Callable[[str], DataFrame], root: str, units: list[str], keys: list[str], salt: int = 1) -> None:
     """Replaces each changed unit as a whole; corrections may be years old, so no watermark applies."""
     for unit in units:
-        replace_source_unit(read(unit), root, unit, keys)
+        replace_source_unit(read(unit), root, unit, keys, salt=salt)
