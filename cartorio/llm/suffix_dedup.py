@@ -3,13 +3,16 @@
 1. Every window of `length` bytes has an anchor, its least hashed 16-gram; equal windows have equal anchors at equal
    places. Runs of windows with one anchor are found in numpy, and anchors that two documents share are resolved where
    they meet: in the map task, or else in a bucket of the anchor's hash.
-2. The strings under shared anchors (a run of windows, below twice the length) go to their anchor's bucket; equal
-   ones fold on the way. Anchors in very many documents go window by window instead, so that no group is unbounded.
-3. In a bucket, the strings of anchors that still have several are sorted by suffix_order(); equal windows stand next to
-   each other, are compared byte by byte, and get the least id of all documents that hold them.
-4. Each document's windows that a smaller id holds are put together to the spans that go.
-
-Texts are dealt out once by a bucket of the id; buckets grow in number with the documents.
+2. Each bucket of documents folds the equal strings under shared anchors (a run of windows, below twice the length) and
+   sends every different one once, with the least document that has it there, to its anchor's bucket.
+3. There, the strings of anchors that have several are sorted by suffix_order(); equal windows stand next to each other, are
+   compared byte by byte, and get the least id of all documents that hold them. The answers go back to the buckets of documents.
+4. Anchors in very many documents go window by window instead: Spark aggregates the least document of each different window, with
+   a row for each window and task at most, and joins it to the buckets that asked.
+5. Each bucket of documents finds its own occurrences again and puts the windows that a smaller id holds together to spans.
+
+So no occurrence leaves its bucket of documents, however many documents share a string. Buckets are of bytes, and grow in
+number with the texts.
 """
 
 from __future__ import annotations
@@ -23,17 +26,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartorio.llm.frames import reliable
+from cartorio.llm.frames import lean, reliable
 from cartorio.llm.suffix_order import suffix_order
 from cartorio.llm.text import BASE, BASE_INVERSE, mix, powers, utf8
 
 GRAM = 16
 #: The upper 48 bits of an anchor's hash are its key.
 KEY_BITS = np.uint64(~0xFFFF & (1 << 64) - 1)
-#: Documents in a bucket, about; anchors that a map task gathers before it passes them on; letters sorted at once.
-BUCKET_DOCS, GATHERED, SORTED_AT_ONCE = 2000, 1_500_000, 200_000
+#: Bytes of text in a bucket, about; anchors that a map task gathers before it passes them on; letters sorted at once.
+BUCKET_BYTES, GATHERED, SORTED_AT_ONCE = 4 << 20, 1_500_000, 200_000
 #: Anchors in more documents than this go window by window: at most (all anchors / HOT) are told to every task.
-HOT = 2_000_000
+HOT = 1_000_000
+
+
+_SEED = np.random.default_rng(50)
+_BYTES = [_SEED.integers(0, 1 << 63, 256, dtype=np.uint64) for _ in range(2)]
 
 
 def _prime(n: int) -> int:
@@ -215,8 +222,13 @@ def shared_runs(docs: DataFrame, length: int, buckets: int, hot: int) -> DataFra
     return docs.select("id", "text").mapInArrow(gather, _RUNS_SCHEMA).groupBy("part").applyInArrow(resolve, _RUNS_SCHEMA)
 
 
-_STRINGS = ["part", "size", "content", "owners", "doc", "start"]
-_STRINGS_SCHEMA = "part int, size binary, content binary, owners binary, doc binary, start binary"
+#: A bucket's questions: different strings and the least document of each, by the anchor's bucket.
+_ASKS = ["part", "origin", "size", "content", "number", "least"]
+_ASKS_SCHEMA = "part int, origin int, size binary, content binary, number binary, least binary"
+#: What goes back to a bucket of documents: strings by number, and for each the owner of all its windows or of every one.
+_ANSWERS_SCHEMA = "part int, kind int, a binary, b binary, c binary, d binary"
+_ANSWERS = ["part", "kind", "a", "b", "c", "d"]
+RUNS, STRINGS, WINDOWS = 0, 1, 2
 _TEXTS_SCHEMA = "part int, id binary, size binary, content binary"
 
 
@@ -243,55 +255,111 @@ def _texts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _joined(table, "id"), np.frombuffer(body, np.uint8), np.r_[0, np.cumsum(_joined(table, "size"))]
 
 
-def strings(runs: DataFrame, texts: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Packed strings under shared anchors, by the anchor's bucket: each different one once, with its occurrences
-    (`owners` many: doc, start)."""
+class Occurrences:
+    """Strings of runs in a bucket of texts: `begin`, `end` (bytes in the bucket's data), `doc`, `start`, `windows`, `key`.
+
+    `number`: equal strings have equal ones, in the order of their hashes, the same whenever the bucket is looked at; `first`: an
+    occurrence of each number."""
+
+    def __init__(self, key: np.ndarray, doc: np.ndarray, start: np.ndarray, begin: np.ndarray, windows: np.ndarray, data: np.ndarray, length: int):
+        self.key, self.doc, self.start, self.begin, self.windows = key, doc, start, begin, windows
+        self.end = begin + windows + length - 1
+        self.number, self.first = numbered(data, self.begin, self.end)
+
+
+def numbered(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each stretch of the data, equal for equal ones; a stretch of each number), by two hashes of 64 bits."""
+    hashes = []
+    for values in _BYTES:
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * powers(BASE, len(data)), out=total[1:])
+        hashes.append(mix((total[end] - total[begin]) * powers(BASE_INVERSE, len(data) + 1)[begin] + (end - begin).astype(np.uint64)))
+    order = np.lexsort(hashes)
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (hashes[0][order[1:]] != hashes[0][order[:-1]]) | (hashes[1][order[1:]] != hashes[1][order[:-1]])
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return number, order[fresh]
+
+
+def occurrences(key: np.ndarray, doc: np.ndarray, start: np.ndarray, windows: np.ndarray, texts: tuple[np.ndarray, np.ndarray, np.ndarray], length: int,
+                hot: np.ndarray) -> tuple[Occurrences, Occurrences]:
+    """Strings of the runs of a bucket, and single windows of those under hot anchors."""
+    ids, data, offsets = texts
+    by_id = np.argsort(ids, kind="stable")
+    at = by_id[np.minimum(np.searchsorted(ids[by_id], doc), max(len(ids) - 1, 0))] if len(ids) else np.zeros(0, np.int64)
+    if not len(ids):
+        key, doc, start, windows = key[:0], doc[:0], start[:0], windows[:0]
+    begin = offsets[at] + start
+    ok = (ids[at] == doc) & (begin + windows + length - 1 <= offsets[at + 1])
+    wide = np.isin(key, hot) & ok
+    ok &= ~wide
+    many = windows[wide]
+    inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    each = lambda x: np.repeat(x[wide], many)
+    return (Occurrences(key[ok], doc[ok], start[ok], begin[ok], windows[ok], data, length),
+            Occurrences(each(key), each(doc), each(start) + inner, each(begin) + inner, np.ones(len(inner), np.int64), data, length))
+
+
+def _runs_of(table: pa.Table) -> tuple[np.ndarray, ...]:
+    return _keys(table), *(_joined(table, c) for c in _RUNS[3:])
+
+
+def _least(o: Occurrences) -> np.ndarray:
+    least = np.full(len(o.first), np.iinfo(np.int64).max)
+    np.minimum.at(least, o.number, o.doc)
+    return least
+
+
+def questions(runs: DataFrame, texts: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """Packed strings under shared anchors, by the anchor's bucket: each that a bucket of documents has, once."""
 
     def cut(table: pa.Table, text: pa.Table) -> pa.Table:
         out = []
         if table.num_rows and text.num_rows:
-            ids, data, offsets = _texts(text)
-            by_id = np.argsort(ids, kind="stable")
-            key, (doc, start, windows) = _keys(table), (_joined(table, c) for c in _RUNS[3:])
-            order = np.argsort(key, kind="stable")  # strings of one anchor side by side
-            key, doc, start, windows = key[order], doc[order], start[order], windows[order]
-            at = by_id[np.minimum(np.searchsorted(ids[by_id], doc), len(ids) - 1)]
-            begin = offsets[at] + start
-            end = begin + windows + length - 1
-            ok = (ids[at] == doc) & (end <= offsets[at + 1])
-            if len(hot):
-                wide = np.isin(key, hot) & ok
-                many = windows[wide]
-                inner = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                b2 = np.repeat(begin[wide], many) + inner
-                k2 = np.array([int.from_bytes(hashlib.blake2b(data[x : x + length].tobytes(), digest_size=8).digest(), "little") for x in b2], np.uint64)
-                ok &= ~wide
-                key, doc, start = np.r_[key[ok], k2], np.r_[doc[ok], np.repeat(doc[wide], many)], np.r_[start[ok], np.repeat(start[wide], many) + inner]
-                begin, end = np.r_[begin[ok], b2], np.r_[end[ok], b2 + length]
-            else:
-                key, doc, start, begin, end = key[ok], doc[ok], start[ok], begin[ok], end[ok]
-            raw = data.tobytes()
-            folded: dict[bytes, list[int]] = {}
-            for i, (lo, hi) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
-                s = raw[lo:hi]
-                if s in folded:
-                    folded[s].append(i)
-                else:
-                    folded[s] = [i]
-            contents = list(folded)
-            lists = list(folded.values())
-            lead = np.array([x[0] for x in lists], np.int64)
-            parts = ((key[lead] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64) if len(lead) else lead
+            texts = _texts(text)
+            o, _ = occurrences(*_runs_of(table), texts, length, hot)
+            least, raw = _least(o), texts[1].tobytes()
+            number = np.argsort(o.key[o.first], kind="stable")  # strings of one anchor side by side
+            lead = o.first[number]
+            parts = ((o.key[lead] >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
             pack = zstandard.ZstdCompressor(level=1).compress
-            for p, some in _split(parts, np.arange(len(lead))):
-                whose = [lists[x] for x in some]
-                flat = np.concatenate(whose).astype(np.int64)
-                out.append((p, narrow(np.array([len(contents[x]) for x in some])), pack(b"".join(contents[x] for x in some)),
-                            narrow(np.array([len(w) for w in whose])), narrow(doc[flat]), narrow(start[flat])))
+            for p, n, begin, end in _split(parts, number, o.begin[lead], o.end[lead]):
+                body = b"".join([raw[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)])
+                out.append((p, table.column("part")[0].as_py(), narrow(end - begin), pack(body), narrow(n), narrow(least[n])))
         cols = list(zip(*out, strict=True)) or [[]] * 6
-        return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 5], strict=True)], names=_STRINGS)
+        return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), pa.int32(), *[pa.binary()] * 4], strict=True)], names=_ASKS)
+
+    return runs.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(cut, _ASKS_SCHEMA)
+
+
+def hot_answers(runs: DataFrame, texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    """Answers for single windows under hot anchors, by aggregation over all buckets that have them."""
 
-    return runs.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(cut, _STRINGS_SCHEMA)
+    def cut(table: pa.Table, text: pa.Table) -> pa.Table:
+        number, content, least, part = np.zeros(0, np.int64), [], np.zeros(0, np.int64), 0
+        if table.num_rows and text.num_rows:
+            texts = _texts(text)
+            _, o = occurrences(*_runs_of(table), texts, length, hot)
+            raw, least, part, number = texts[1].tobytes(), _least(o), table.column("part")[0].as_py(), np.arange(len(o.first))
+            content = [raw[x : x + length] for x in o.begin[o.first].tolist()]
+        return pa.table([pa.array(np.full(len(number), part), pa.int32()), pa.array(number), pa.array(content, pa.binary()), pa.array(least)], names=["part", "number", "content", "least"])
+
+    asked = reliable(runs.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(cut, "part int, number long, content binary, least long"))
+    owners = asked.groupBy("content").agg(F.min("least").alias("owner"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(p, WINDOWS, narrow(n), narrow(np.ones(len(n), np.int64)), narrow(w), b"")
+                   for p, n, w in _split(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy())]
+            yield _answers(out).to_batches()[0]
+
+    return asked.join(owners, "content").select("part", "number", "owner").mapInArrow(pack, _ANSWERS_SCHEMA)
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows, strict=True)) or [[]] * 6
+    return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), pa.int32(), *[pa.binary()] * 4], strict=True)], names=_ANSWERS)
 
 
 def shared_stretches(contents: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,50 +463,71 @@ def _anchors(contents: list[bytes], length: int) -> np.ndarray:
     return out
 
 
-def covered(folded: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(part, doc, start, mask), packed by the id's bucket: bit w of the mask is a window start + w that goes."""
+def answers(asked: DataFrame, length: int) -> DataFrame:
+    """For each bucket that asked: its strings' numbers, and the least document of all that holds each window: one where
+    it's the same for all windows of a string."""
 
     def judge(table: pa.Table) -> pa.Table:
-        at: dict[bytes, int] = {}
-        string, docs, starts = [], [], []
-        for row in table.select(_STRINGS[1:]).to_pylist():
-            ends, body, local = np.cumsum(widen(row["size"])).tolist(), zstandard.decompress(row["content"]), []
-            for lo, hi in zip([0, *ends[:-1]], ends, strict=True):
-                local.append(at.setdefault(body[lo:hi], len(at)))
-            string.append(np.repeat(local, widen(row["owners"])))
-            docs.append(widen(row["doc"]))
-            starts.append(widen(row["start"]))
-        out = []
-        contents = list(at)
+        rows = table.to_pylist()
+        body = np.frombuffer(b"".join(zstandard.decompress(r["content"]) for r in rows), np.uint8)
+        each = [widen(r["size"]) for r in rows]
+        ends = np.cumsum(np.concatenate([np.zeros(0, np.int64), *each]))
+        begin = np.r_[0, ends[:-1]].astype(np.int64)[: len(ends)]
+        string, first = numbered(body, begin, ends)
+        least = np.full(len(first), np.iinfo(np.int64).max)
+        np.minimum.at(least, string, np.concatenate([np.zeros(0, np.int64), *(widen(r["least"]) for r in rows)]))
+        raw = body.tobytes()
+        contents = [raw[x:y] for x, y in zip(begin[first].tolist(), ends[first].tolist(), strict=True)]
+        windows = (ends - begin)[first] - length + 1
+        owner, count = np.zeros(0, np.int64), np.ones(len(first), np.int64)
+        place = np.arange(len(first))
         if contents:
-            string, docs, starts = np.concatenate(string), np.concatenate(docs), np.concatenate(starts)
-            least = np.full(len(contents), np.iinfo(np.int64).max)
-            np.minimum.at(least, string, docs)
             # Anchors with one string left have nothing to sort: its windows belong to its least document.
             anchor = _anchors(contents, length)
             _, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
             several = np.flatnonzero(times[back] > 1)
-            owner = np.repeat(least[:, None], length, 1)
+            several = several[np.argsort(anchor[several], kind="stable")]
+            full = np.repeat(least[several, None], length, 1)
             if len(several):
-                several = several[np.argsort(anchor[several], kind="stable")]
                 x, w, o = all_owners([contents[k] for k in several], least[several], length)
-                owner[several[x], w] = o
-            windows = np.array([len(c) for c in contents]) - length + 1
-            bits = (docs[:, None] > owner[string]) & (np.arange(length)[None, :] < windows[string][:, None])
-            masks = (bits.astype(np.uint64) << np.arange(length, dtype=np.uint64)).sum(1, dtype=np.uint64)
-            hit = masks > 0
-            for p, d, s, m in _split(docs[hit] % buckets, docs[hit], starts[hit], masks[hit]):
-                out.append((p, narrow(d), narrow(s), m.astype(np.uint64).tobytes()))
-        cols = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), *[pa.binary()] * 3], strict=True)], names=["part", "doc", "start", "mask"])
-
-    return folded.groupBy("part").applyInArrow(judge, "part int, doc binary, start binary, mask binary")
-
-
-def kept(data: np.ndarray, starts: np.ndarray, masks: np.ndarray, length: int) -> tuple[list[tuple[int, int]], bytes]:
-    """(spans that go, remaining bytes) of one text."""
-    row, w = np.nonzero(np.unpackbits(np.ascontiguousarray(masks).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
-    at = starts[row] + w
+                full[x, w] = o
+            varied = several[(full != full[:, :1]).any(1, where=np.arange(length) < windows[several, None])] if len(several) else several
+            row = np.full(len(first), -1)
+            row[several] = np.arange(len(several))
+            count[varied] = windows[varied]
+            place = np.cumsum(count) - count
+            inner = np.arange(count.sum()) - np.repeat(place, count)
+            of = np.repeat(np.arange(len(first)), count)
+            owner = least[of]
+            sorted_ = row[of] >= 0
+            owner[sorted_] = full[row[of[sorted_]], inner[sorted_]]
+        out, at = [], 0
+        for r, sizes in zip(rows, each, strict=True):
+            mine = string[at : at + len(sizes)]
+            at += len(sizes)
+            n = count[mine]
+            flat = np.repeat(place[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append((r["origin"], STRINGS, r["number"], narrow(n), narrow(owner[flat]), b""))
+        return _answers(out)
+
+    return asked.groupBy("part").applyInArrow(judge, _ANSWERS_SCHEMA)
+
+
+def gone(o: Occurrences, answer: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(document, start) of each window that a smaller document holds."""
+    number, n, owner = (_joined(answer, c) for c in "abc")
+    first, many = np.zeros(len(o.first), np.int64), np.zeros(len(o.first), np.int64)
+    first[number], many[number] = np.cumsum(n) - n, n
+    known = many[o.number] > 0
+    windows = np.where(known, o.windows, 0)
+    of = np.repeat(np.arange(len(windows)), windows)
+    inner = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+    hit = o.doc[of] > owner[first[o.number[of]] + np.where(many[o.number[of]] > 1, inner, 0)] if len(of) else np.zeros(0, bool)
+    return o.doc[of][hit], (o.start[of] + inner)[hit]
+
+
+def kept(data: np.ndarray, at: np.ndarray, length: int) -> tuple[list[tuple[int, int]], bytes]:
+    """(spans that go, remaining bytes) of one text, by the windows that go."""
     at = at[at + length <= len(data)]
     change = np.bincount(at, minlength=len(data) + 1)[: len(data) + 1] - np.bincount(at + length, minlength=len(data) + 1)[: len(data) + 1]
     gone = np.cumsum(change[:-1]) > 0
@@ -447,35 +536,43 @@ def kept(data: np.ndarray, starts: np.ndarray, masks: np.ndarray, length: int) -
 
 
 def dedup(docs: DataFrame, length: int = 50, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, spans, kept_sha256) of every document, its text taken as UTF-8 bytes.
+    """(id, n_bytes, n_removed, spans, kept_sha256) of every document, its whole text taken as UTF-8 bytes.
 
     A byte goes when a string of `length` bytes (from 32 to 64) covers it that also starts in a document with a
     smaller id; strings are judged on the input and never cross documents. Ids are integers, and unique: rows that
-    repeat an id share their spans. Null texts are empty; rows with a null id keep all bytes and match nothing.
+    repeat an id share their spans. Null texts are empty; rows with a null id keep all bytes and match nothing; no rows
+    give none. Only the two named columns are read, so others may have any name.
     """
     if not 32 <= length <= 64:
         raise ValueError("length must be from 32 to 64")
-    buckets = _prime(max(1, -(-docs.count() // BUCKET_DOCS)))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     kind = docs.schema[id_col].dataType.simpleString()
-    given = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    given = lean(docs).select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    size = given.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = _prime(max(1, -(-size // BUCKET_BYTES)))
     texts = given.filter("id is not null").withColumn("part", F.pmod("id", F.lit(buckets)).cast("int"))
     runs = reliable(shared_runs(texts, length, buckets, hot))
-    over = _keys(runs.filter("part = -1").select("key").toArrow())
+    over = np.sort(_keys(runs.filter("part = -1").select("key").toArrow()))
+    runs = runs.filter("part >= 0")
     blocks = packed_texts(texts)
-    folded = strings(runs.filter("part >= 0"), blocks, length, buckets, np.sort(over))
-
-    def finish(found: pa.Table, text: pa.Table) -> pa.Table:
-        ids, data, offsets = _texts(text)
-        doc, start = _joined(found, "doc"), _joined(found, "start")
-        mask = np.frombuffer(b"".join(found.column("mask").to_pylist()), np.uint64)
+    found = answers(questions(runs, blocks, length, buckets, over), length).unionByName(
+        runs.select("part", F.lit(RUNS).alias("kind"), F.col("key").alias("a"), F.col("doc").alias("b"), F.col("start").alias("c"), F.col("windows").alias("d")))
+    if len(over):
+        found = found.unionByName(hot_answers(runs, blocks, length, over))
+
+    def finish(table: pa.Table, text: pa.Table) -> pa.Table:
+        texts = ids, data, offsets = _texts(text)
+        kinds = table.column("kind").to_numpy()
+        of = lambda k: table.filter(pa.array(kinds == k))
+        own = occurrences(*_runs_of(of(RUNS).select(["a", "b", "c", "d"]).rename_columns(_RUNS[2:])), texts, length, over)
+        doc, start = (np.concatenate(c) for c in zip(gone(own[0], of(STRINGS)), gone(own[1], of(WINDOWS)), strict=True))
         order = np.argsort(doc, kind="stable")
-        doc, start, mask = doc[order], start[order], mask[order]
+        doc, start = doc[order], start[order]
         out = []
         for r, x in enumerate(ids.tolist()):
             own = data[offsets[r] : offsets[r + 1]]
             lo, hi = np.searchsorted(doc, [x, x + 1])
-            spans, rest = kept(own, start[lo:hi], mask[lo:hi], length) if hi > lo else ([], own.tobytes())
+            spans, rest = kept(own, start[lo:hi], length) if hi > lo else ([], own.tobytes())
             out.append((x, len(own), len(own) - len(rest), [{"start": s, "end": e} for s, e in spans], hashlib.sha256(rest).hexdigest()))
         cols = list(zip(*out, strict=True)) or [[]] * 5
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -483,7 +580,7 @@ def dedup(docs: DataFrame, length: int = 50, hot: int = HOT, id_col: str = "doc_
         return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "spans", "kept_sha256"])
 
     schema = "id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
-    done = covered(folded, length, buckets).groupBy("part").cogroup(blocks.groupBy("part")).applyInArrow(finish, schema)
+    done = found.groupBy("part").cogroup(blocks.groupBy("part")).applyInArrow(finish, schema)
     loose = given.filter("id is null").selectExpr("id", "cast(octet_length(text) as long) n_bytes", "0L n_removed",
                                                   "cast(array() as array<struct<start:long,end:long>>) spans", "sha2(text, 256) kept_sha256")
     return done.unionByName(loose).withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", id_col)
