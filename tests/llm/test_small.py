@@ -522,7 +522,7 @@ def plain_spans(docs, length=50):
 
 @pytest.mark.parametrize("hot,piece", [(10**9, None), (2, None), (10**9, 130)])
 def test_spans_as_the_plain_version(spark, corpus, monkeypatch, hot, piece):
-    monkeypatch.setattr(suffix_dedup, "BUCKET_DOCS", 10)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 4000)
     docs = [*corpus, "a" * 333, "a" * 120, "ab" * 90, ("ab" * 90)[1:]]
     if piece:  # long texts in overlapping stretches
         pieces = suffix_dedup.pieces
