@@ -176,7 +176,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.15, lea
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", held_out: int = 0, folds: int = 5, most: int = MOST_ROWS,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most `most` labelled documents whose id's fold isn't held out; only their features reach the driver."""
+    """Fit on at most `most` labelled documents whose id's fold isn't held out; only their features reach the driver. An id
+    with two labels has the larger; rows that repeat an id count each. Without both classes every score is the class's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,7 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", held_o
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every whole text; null and empty texts are scored by their zero features."""
+    """(id, score) of every whole text, however long; null and empty texts are scored by their zero features. Each row is scored
+    by itself: repeated rows get equal scores, null ids stay, no rows give none. Only the two named columns are read."""
     shared = lean(docs).sparkSession.sparkContext.broadcast((model.intercept, model.edges, model.tables, model.pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

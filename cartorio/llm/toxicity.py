@@ -1,6 +1,7 @@
 """Toxicity: embeddings of character n-grams, averaged over short runs of words into a linear softmax.
 
-A word's vector is the mean of its n-grams' vectors, so that unseen misspellings share most of them. A run of a few
+The plain average over the whole text (run=None) is there too; it misses more and flags more clean texts, as the README shows,
+so runs are the default. A word's vector is the mean of its n-grams' vectors, so that unseen misspellings share most of them. A run of a few
 words has the mean of its words' vectors and goes through a linear softmax with two classes; a text's evidence is the
 log-sum of its runs' evidence, so that one insult counts alike in ten words and in ten thousand. Vectors and softmax
 are trained jointly in numpy by Adam, on a bounded sample of labelled texts. Once trained, the log-odds of a run are
@@ -213,7 +214,8 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", held_out
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every whole text; null and empty texts have no runs and score 0."""
+    """(id, score) of every whole text, however long; null and empty texts have no runs and score 0 (or the only class's score). Each
+    row is scored by itself: repeated rows get equal scores, null ids stay, no rows give none. Only the two named columns are read."""
     shared = lean(docs).sparkSession.sparkContext.broadcast((model.weight, model.bias, model.run))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +232,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of docs, whole and as they are, whose text scores under `least`."""
+    """The rows of docs, whole and as they are, whose text scores under `least`; a tie with it goes. Rows with null or empty
+    texts or without an id are judged like others, and columns of any name pass."""
     shared = lean(docs).sparkSession.sparkContext.broadcast((model.weight, model.bias, model.run))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
