@@ -294,12 +294,13 @@ def join(docs: DataFrame, threshold: float = 0.8, size: int = 5, id_col: str = "
     packs = max(1, ceil(reps.count() / 1000))
 
     bands = reps.select("rep", F.posexplode("bands").alias("at", "band"))
-    full = bands.groupBy("at", "band").agg(F.count("*").alias("m")).filter("m > 1")
+    # Sizes of buckets are written, so that their joins are plain ones, of which Spark splits the long keys.
+    full = reliable(bands.groupBy("at", "band").agg(F.count("*").alias("m")).filter("m > 1"))
     hits = bands.join(full, ["at", "band"]).join(reps.select("rep", F.col("packed_bands").alias("bands"), "signature"), "rep")
     live = reliable(with_pairs(dealt(hits, F.ceil(F.col("m") / BUCKET_BLOCK), packs), kind, threshold).distinct())
 
     words = reps.select("rep", "n_words", "n_texts", F.col("packed_bands").alias("bands"), "signature").join(live.select("rep").distinct(), "rep")
-    sized = live.join(reps.select("rep", "n_words"), "rep").groupBy("at", "band").agg(F.count("*").alias("m"), F.sum("n_words").alias("w"))
+    sized = reliable(live.join(reps.select("rep", "n_words"), "rep").groupBy("at", "band").agg(F.count("*").alias("m"), F.sum("n_words").alias("w")))
     blocks = F.greatest(F.ceil(F.col("m") / GROUP_BLOCK), F.ceil(F.col("w") / GROUP_WORDS))
     packs = max(1, ceil((sized.agg(F.sum("w")).first()[0] or 0) / GROUP_WORDS))
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).cast("string").alias("text"))
