@@ -5,7 +5,7 @@
    they meet: in the map task, or else in a bucket of the anchor's hash.
 2. Each bucket of documents folds the equal strings under shared anchors (a run of windows, below twice the length) and
    sends every different one once, with the least document that has it there, to its anchor's bucket.
-3. There, the strings of anchors that have several are sorted by suffix_order(); equal windows stand next to each other, are
+3. There, the strings of anchors that have several are sorted by suffix_orders(); equal windows stand next to each other, are
    compared byte by byte, and get the least id of all documents that hold them. The answers go back to the buckets of documents.
 4. Anchors in very many documents go window by window instead: Spark aggregates the least document of each different window, with
    a row for each window and task at most, and joins it to the buckets that asked.
@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartorio.llm.frames import lean, reliable
-from cartorio.llm.suffix_order import suffix_order
+from cartorio.llm.suffix_order import suffix_orders
 from cartorio.llm.text import BASE, BASE_INVERSE, mix, powers, utf8
 
 GRAM = 16
 #: The upper 48 bits of an anchor's hash are its key.
 KEY_BITS = np.uint64(~0xFFFF & (1 << 64) - 1)
 #: Bytes of text in a bucket, about; anchors that a map task gathers before it passes them on; letters sorted at once.
-BUCKET_BYTES, GATHERED, SORTED_AT_ONCE = 4 << 20, 1_500_000, 200_000
+BUCKET_BYTES, GATHERED, SORTED_AT_ONCE = 4 << 20, 1_500_000, 2_000_000
 #: Anchors in more documents than this go window by window: at most (all anchors / HOT) are told to every task.
 HOT = 1_000_000
 
@@ -362,96 +362,60 @@ def _answers(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(cols, [pa.int32(), pa.int32(), *[pa.binary()] * 4], strict=True)], names=_ANSWERS)
 
 
-def shared_stretches(contents: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, first window, windows): stretches of windows that another string may hold.
+def _words8(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; beyond the end zeros."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    out = np.zeros(len(data), np.uint64)
+    for j in range(8):
+        out |= wide[j : j + len(data)] << np.uint64(8 * j)
+    return out
 
-    A window of another string with the same anchor has equal grams at both its ends, at the same places from the
-    anchor; windows of whose end grams only one string has any are left out, and with them most of what differs from
-    copy to copy.
-    """
-    n = len(contents)
-    sizes = np.array([len(c) for c in contents])
-    width = 2 * length
-    body = np.zeros((n, width), np.uint8)
-    body[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(contents), np.uint8)
-    grams = width - GRAM + 1
-    h = np.zeros((n, grams), np.uint64)
-    for j in reversed(range(GRAM)):
-        h = h * BASE + (body[:, j : j + grams].astype(np.uint64) + np.uint64(1))
-    h = mix(h)
-    # The anchor, as anchored_runs() has it: all windows of a string share the first one's.
-    anchor = (h[:, : length - GRAM + 1] & ~np.uint64(0xFFFFFF)).argmin(1)
-    own = mix(h[np.arange(n), anchor])
-    place = np.arange(grams)[None, :] - anchor[:, None] + width
-    token = mix(h ^ own[:, None] ^ mix(place.astype(np.uint64)))
-    inside = np.arange(grams)[None, :] <= (sizes - GRAM)[:, None]
-    _, back, times = np.unique(token[inside], return_inverse=True, return_counts=True)
-    often = np.zeros((n, grams), bool)
-    often[inside] = times[back] > 1
-    windows = sizes - length + 1
-    w = np.arange(length + 1)
-    good = often[:, : len(w)] & often[:, length - GRAM : length - GRAM + len(w)] & (w[None, :] < windows[:, None])
-    edge = np.diff(np.pad(good, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-    string, first = np.nonzero(edge == 1)
-    _, stop = np.nonzero(edge == -1)
-    return string, first, stop - first
-
-
-def least_owners(contents: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each string (different from the others), and each window in it, the least document of any string that
-    holds the window; `least` are the strings' own. Equal windows are found in the order of all suffixes."""
-    text = b"\0".join(contents)
-    letters = np.frombuffer(text, np.uint8).astype(np.int64) + 1
+
+def owners(contents: list[bytes], anchor: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
+    """For each string (a row) and each window in it (a column) the least document of any string under the same anchor that
+    holds the window; `least` are the strings' own. Strings of one anchor stand side by side.
+
+    Equal windows are neighbours in the order of all suffixes of an anchor's strings; they are compared byte by byte. An anchor with
+    over SORTED_AT_ONCE letters, of which no task could hold the order, has its windows matched by two hashes of 64 bits."""
     sizes = np.array([len(c) for c in contents])
-    begin = np.cumsum(sizes + 1) - sizes - 1
-    letters[begin[1:] - 1] = 0
-    order = np.array(suffix_order(letters.tolist()))
-    string = np.repeat(np.arange(len(contents)), sizes + 1)[: len(letters)]
-    usable = order + length <= (begin + sizes)[string[order]]
-    order = order[usable & (letters[order] > 0)]
-    same = np.ones(max(len(order) - 1, 0), bool)
-    for j in range(length):
-        x = letters[order + j]
-        same &= x[1:] == x[:-1]
-    classes = np.cumsum(np.r_[True, ~same]) - 1 if len(order) else order
-    low = np.full(int(classes[-1]) + 1 if len(order) else 0, np.iinfo(np.int64).max)
-    np.minimum.at(low, classes, least[string[order]])
-    per = np.empty(len(letters), np.int64)
-    per[order] = low[classes]
-    return [per[b : b + s - length + 1] for b, s in zip(begin, sizes, strict=True)]
-
-
-def all_owners(contents: list[bytes], least: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(string, window, owner) wherever a window's least document may be another than its own string's least one."""
-    string, first, windows = shared_stretches(contents, length)
-    at: dict[bytes, int] = {}
-    which = np.zeros(len(string), np.int64)
-    for k, (x, lo, w) in enumerate(zip(string.tolist(), first.tolist(), windows.tolist(), strict=True)):
-        which[k] = at.setdefault(contents[x][lo : lo + w + length - 1], len(at))
-    stretches = list(at)
-    low = np.full(len(stretches), np.iinfo(np.int64).max)
-    np.minimum.at(low, which, least[string])
-    owners: list[np.ndarray] = [np.zeros(0, np.int64)] * len(stretches)
-    # Stretches with one anchor are sorted together; blocks of some hundred thousand letters.
-    anchor = np.zeros(len(stretches), np.uint64)
-    anchor[which] = _anchors(contents, length)[string] if len(string) else 0
-    order = np.argsort(anchor, kind="stable")
-    block: list[int] = []
-    size = 0
-    groups = np.split(order, np.flatnonzero(anchor[order][1:] != anchor[order][:-1]) + 1) if len(order) else []
-    for k, some in enumerate(groups):
-        if len(some) > 1:
-            block += some.tolist()
-            size += sum(len(stretches[x]) + 1 for x in some)
+    full = np.repeat(least[:, None], length, 1)
+    group = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    letters = np.add.reduceat(sizes + 1, group)
+    stop = np.r_[group[1:], len(contents)]
+    lo = 0
+    while lo < len(group):
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(letters[lo:]), SORTED_AT_ONCE, "right")) + lo)
+        rows = np.arange(group[lo], stop[hi - 1])
+        text = np.frombuffer(b"\0".join([*(contents[r] for r in rows), b""]), np.uint8)
+        begin = np.cumsum(sizes[rows] + 1) - sizes[rows] - 1
+        string = np.repeat(np.arange(len(rows)), sizes[rows] + 1)
+        usable = np.arange(len(text)) + length <= (begin + sizes[rows])[string]
+        if letters[lo] <= SORTED_AT_ONCE:
+            number = text.astype(np.int64) + 1
+            number[begin + sizes[rows]] = 0
+            first = np.r_[begin[group[lo:hi] - group[lo]], len(text)]
+            order = suffix_orders(number, first)
+            order = order[usable[order]]
+            of = np.searchsorted(first, order, "right")
+            eight = _words8(text)
+            same = of[1:] == of[:-1]
+            for j in (*range(0, length - 8, 8), length - 8):
+                at = np.flatnonzero(same)
+                same[at] = eight[order[at] + j] == eight[order[at + 1] + j]
+            heads = np.flatnonzero(np.r_[True, ~same]) if len(order) else order
+            low = np.minimum.reduceat(least[rows][string[order]], heads) if len(order) else order
+            full[rows[string[order]], order - begin[string[order]]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
         else:
-            owners[some[0]] = np.full(len(stretches[some[0]]) - length + 1, low[some[0]])
-        if block and (size >= SORTED_AT_ONCE or k == len(groups) - 1):
-            for x, o in zip(block, least_owners([stretches[x] for x in block], low[block], length), strict=True):
-                owners[x] = o
-            block, size = [], 0
-    inner = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    owner = np.concatenate([np.zeros(0, np.int64), *(owners[k] for k in which)])
-    return np.repeat(string, windows), np.repeat(first, windows) + inner, owner
+            at = np.flatnonzero(usable)
+            parts = mix(_words8(text)[at]) % np.uint64(-(-len(at) // SORTED_AT_ONCE))  # equal windows in one part
+            for k in np.unique(parts):
+                own = at[parts == k]
+                n, one = numbered(text, own, own + length)
+                low = np.full(len(one), np.iinfo(np.int64).max)
+                np.minimum.at(low, n, least[rows][string[own]])
+                full[rows[string[own]], own - begin[string[own]]] = low[n]
+        lo = hi
+    return full
 
 
 def _anchors(contents: list[bytes], length: int) -> np.ndarray:
@@ -487,10 +451,7 @@ def answers(asked: DataFrame, length: int) -> DataFrame:
             _, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
             several = np.flatnonzero(times[back] > 1)
             several = several[np.argsort(anchor[several], kind="stable")]
-            full = np.repeat(least[several, None], length, 1)
-            if len(several):
-                x, w, o = all_owners([contents[k] for k in several], least[several], length)
-                full[x, w] = o
+            full = owners([contents[k] for k in several], anchor[several], least[several], length) if len(several) else np.zeros((0, length), np.int64)
             varied = several[(full != full[:, :1]).any(1, where=np.arange(length) < windows[several, None])] if len(several) else several
             row = np.full(len(first), -1)
             row[several] = np.arange(len(several))
