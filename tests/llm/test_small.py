@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cartorio.llm import decontam, line_dedup, media, ngram_join, packing, secrets, suffix_dedup, tokens
-from cartorio.llm.suffix_order import suffix_order
+from cartorio.llm import suffix_order as order
+from cartorio.llm.suffix_order import suffix_order, suffix_orders
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -506,6 +507,18 @@ def test_suffixes_are_in_order(text):
     assert suffix_order(text) == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=40), max_size=9), st.sampled_from([1, 12]))
+def test_suffixes_of_many_texts_are_in_order(texts, together):
+    letters, first = np.array(sum(texts, []), np.int64), np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
+    before, order.TOGETHER = order.TOGETHER, together
+    try:
+        got = suffix_orders(letters, first).tolist()
+    finally:
+        order.TOGETHER = before
+    assert got == [b + i for b, t in zip(first.tolist(), texts, strict=False) for i in sorted(range(len(t)), key=lambda i: t[i:])]
+
+
 def plain_spans(docs, length=50):
     seen, out = set(), []
     for t in docs:
@@ -520,8 +533,25 @@ def plain_spans(docs, length=50):
     return out
 
 
-@pytest.mark.parametrize("hot,piece", [(10**9, None), (2, None), (10**9, 130)])
-def test_spans_as_the_plain_version(spark, corpus, monkeypatch, hot, piece):
+def test_a_string_in_all_documents_of_many_partitions(spark, monkeypatch):
+    """Of a line that every document holds, each bucket asks once, and the anchor's bucket answers each bucket once."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 20_000)
+    line = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
+    docs = frame(spark, [f"{i} {hashlib.sha256(str(i).encode()).hexdigest()} {line} {i}" for i in range(3000)], 16)
+    seen = []
+    real = suffix_dedup.questions
+    monkeypatch.setattr(suffix_dedup, "questions", lambda *a: seen.append(real(*a)) or seen[-1])
+    got = suffix_dedup.dedup(docs).groupBy("n_removed").count().collect()
+    assert {r["n_removed"]: r["count"] for r in got}[0] == 1 and sum(r["count"] for r in got) == 3000 and all(not r["n_removed"] or r["n_removed"] >= len(line) for r in got)
+    rows = seen[0].collect()
+    strings = sum(len(suffix_dedup.widen(r["least"])) for r in rows)
+    assert len({r["origin"] for r in rows}) > 20 and strings < 3000 * 6 and max(len(r["least"]) for r in rows) < 2000
+
+
+@pytest.mark.parametrize("hot,piece,letters", [(10**9, None, None), (2, None, None), (10**9, 130, None), (10**9, None, 150)])
+def test_spans_as_the_plain_version(spark, corpus, monkeypatch, hot, piece, letters):
+    if letters:  # anchors whose strings are matched by hashes
+        monkeypatch.setattr(suffix_dedup, "SORTED_AT_ONCE", letters)
     monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 4000)
     docs = [*corpus, "a" * 333, "a" * 120, "ab" * 90, ("ab" * 90)[1:]]
     if piece:  # long texts in overlapping stretches
