@@ -1,17 +1,21 @@
 """Classifiers by held-out accuracy, the pipeline by plain versions of its stages, and the registered queries."""
 
+import bisect
 import inspect
+import math
 import os
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartorio.llm import quality, queries, toxicity
 from cartorio.llm.labelled import fold, sample
-from tests.llm.test_small import SCHEMA, plain_contamination, plain_lines, plain_links
+from cartorio.llm.text import BASE, Words, utf8
+from tests.llm.test_small import SCHEMA, plain_contamination, plain_lines, plain_links, words_of
 
 LARGE, SMALL = "/root/testdata/sf0.1", "/root/testdata/sf0.001"
 
@@ -51,10 +55,6 @@ def test_toxicity_with_many_labels(spark):
 def test_an_unseen_misspelling_shares_its_ngrams():
     clean, bad = ["plain words of many kinds", "some other quiet talk here"] * 30, ["you worthless thing here", "what a worthless word"] * 30
     model = toxicity.fit(clean + bad, np.r_[np.zeros(60), np.ones(60)], steps=200)
-    import pyarrow as pa
-
-    from cartorio.llm.text import Words, utf8
-
     s = model.scores(Words(*utf8(pa.array(["you worthles thing here", "quiet plain talk", "", None]))))
     assert s[0] > 0.3 > s[1] and s[2] == s[3] < 0.3
 
@@ -87,6 +87,92 @@ def test_the_sample_is_bounded_in_bytes(spark):
         assert sum(sizes) <= most and set(sizes) <= {0, 10, 1000} and (len(rows) == 40) == (most >= 1380)
 
 
+def plain_tree(g, h, leaves, ridge):
+    """Greedy shallow tree on one feature's bins: every cut of every leaf is tried."""
+    value = lambda lo, hi: sum(g[lo:hi]) ** 2 / (sum(h[lo:hi]) + ridge)
+    parts = [(0, len(g))]
+    while len(parts) < leaves:
+        cuts = [(value(lo, k) + value(k, hi) - value(lo, hi), i, k) for i, (lo, hi) in enumerate(parts) for k in range(lo + 1, hi)]
+        if not cuts or max(cuts)[0] <= 1e-9:
+            break
+        _, i, k = max(cuts)
+        lo, hi = parts.pop(i)
+        parts += [(lo, k), (k, hi)]
+    out = [0.0] * len(g)
+    for lo, hi in parts:
+        for b in range(lo, hi):
+            out[b] = -sum(g[lo:hi]) / (sum(h[lo:hi]) + ridge)
+    return out
+
+
+def test_a_boosting_round_and_the_look_ups_as_plain_versions():
+    r = np.random.default_rng(1)
+    x = r.random((200, len(quality.FEATURES)))
+    y = (x[:, 0] + x[:, 3] * x[:, 5] + 0.3 * r.random(200) > 0.9).astype(int)
+    model = quality.fit(x, y, rounds=1)
+    z = [float(np.log(y.mean() / (1 - y.mean())))] * len(x)
+    for f in range(x.shape[1]):
+        edges = model.edges[f].tolist()
+        bins = [bisect.bisect_left(edges, v) for v in x[:, f]]
+        p = [1 / (1 + math.exp(-v)) for v in z]
+        g, h = [0.0] * (len(edges) + 1), [0.0] * (len(edges) + 1)
+        for b, q, label in zip(bins, p, y, strict=True):
+            g[b] += q - label
+            h[b] += max(q * (1 - q), 1e-6)
+        table = [0.15 * v for v in plain_tree(g, h, 3, 1.0)]
+        assert np.allclose(model.tables[f], table), f
+        z = [v + table[b] for v, b in zip(z, bins, strict=True)]
+
+    model = quality.fit(x, y, rounds=30)
+    for row, got in zip(x, model.scores(x), strict=True):
+        z = model.intercept + sum(t[bisect.bisect_left(e.tolist(), v)] for e, t, v in zip(model.edges, model.tables, row, strict=True))
+        z += sum(t[bisect.bisect_left(e.tolist(), row[f])][bisect.bisect_left(k.tolist(), row[g])] for f, g, e, k, t in model.pairs)
+        assert abs(got - 1 / (1 + math.exp(-z))) < 1e-9 and len(model.pairs) == quality.PAIRS
+
+
+@pytest.mark.parametrize("run", [None, 1, 2])
+def test_toxicity_scores_as_a_plain_version(run):
+    """Mean of a word's n-gram weights, means over runs of words, and the log of the sum of exp over runs."""
+    weight = np.random.default_rng(2).normal(0, 2, toxicity.BUCKETS).astype(np.float32)
+    texts = ["One, two THREE four", "é", "a b", "", "word", "worthless   thing\nindeed and more of it 12"]
+
+    def mixed(x):
+        for _ in range(2):
+            x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 % 2**64
+        return x ^ (x >> 32)
+
+    def word_value(w):
+        raw, out = b"<" + w + b">", []
+        for n in toxicity.GRAMS:
+            for k in range(len(raw) - n + 1):
+                h = 0
+                for c in raw[k : k + n]:
+                    h = (h * int(BASE) + c) % 2**64
+                out.append(float(weight[mixed((h + n) % 2**64) % toxicity.BUCKETS]))
+        return sum(out) / max(len(out), 1)
+
+    got = toxicity.Model(weight, -0.7, run).scores(Words(*utf8(pa.array(texts))))
+    for text, score in zip(texts, got, strict=True):
+        values = [word_value(w) for w in words_of(text)]
+        n = min(run or len(values), len(values))
+        runs = [sum(values[k : k + n]) / n for k in range(len(values) - n + 1)] if values else []
+        want = 1 / (1 + math.exp(0.7 - math.log(sum(map(math.exp, runs))))) if runs else 0.0
+        assert abs(score - want) < 1e-5
+
+
+def test_repeated_ids_conflicting_labels_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a worthless thing"), (1, "a worthless thing"), (2, "quiet talk"), (3, "plain words"), (None, "x"), (4, None)], "doc_id long, text string")
+    docs = docs.withColumns({n: F.lit("clash") for n in ("id", "score", "label", "_id", "toxic", "quality", "weight", "fold")})
+    labels = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (2, 1, 0), (3, 0, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").withColumn("text", F.lit("clash"))
+    rows = sorted((r["text"], r["label"]) for r in sample(docs, labels, "toxic", F.lit(True), 10).collect())
+    assert rows == [("a worthless thing", 1)] * 2 + [("plain words", 0), ("quiet talk", 0)]
+    for module in (quality, toxicity):
+        out = module.score(docs, module.train(docs, labels)).collect()
+        assert len(out) == 6 and len({r["score"] for r in out if r["doc_id"] == 1}) == 1 and all(0 <= r["score"] <= 1 for r in out)
+    kept = toxicity.drop_toxic(docs, toxicity.train(docs, labels))
+    assert kept.columns == docs.columns
+
+
 def test_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     stage = dict(corpus_pipeline.STAGES)

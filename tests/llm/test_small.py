@@ -92,7 +92,7 @@ def test_tokens_rows(spark, corpus):
 
 # Media
 
-@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 168, 170, 184, media.UNIT - 1, media.UNIT, media.UNIT + 64, 3 * media.UNIT, 50_000])
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 168, 170, 184, media.UNIT - 1, media.UNIT, media.UNIT + 64, 3 * media.UNIT, 50_000, 3_000_000])
 def test_streams_give_back_their_payload(n):
     payload = media.padded(random.Random(n).randbytes(n))
     stream = media.pack(payload)
@@ -292,6 +292,13 @@ def test_unpacking_takes_bounded_memory():
     assert [(f[0], f[5]) for f in found] == [("assign", 66_000_023)] and peak < 60_000_000
 
 
+def test_a_very_long_text(spark):
+    text = "plain words of no interest, " * 60_000 + "password=hunter2hunter2 " + "%70assword=hunter3hunter3"
+    row = secrets.digest(secrets.find_secrets(spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string"))).distinct().collect()
+    at = 60_000 * 28
+    assert len(row) == 2 and {r["spans"] for r in row} == {f"assign:{at}:{at + 23},assign:{at + 24}:{at + 49}"}
+
+
 def test_cycles_end():
     assert secrets.find("%25" * 200)[1] == [] and secrets.find("%2525252525")[1] == []
 
@@ -424,6 +431,21 @@ def test_links_as_the_plain_version(spark, corpus, monkeypatch, block):
     assert got == plain_links(corpus)
 
 
+def test_a_chain_has_the_links_of_its_neighbours(spark):
+    """One class of many overlapping texts, of which each is linked to few."""
+    r = random.Random(5)
+    words = [f"w{r.randrange(10**6)}" for _ in range(200 + 3 * 300)]
+    docs = [" ".join(words[3 * i : 3 * i + 200]) for i in range(300)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.join(frame(spark, docs, 8)).collect()}
+    assert got == plain_links(docs) and max(n for _, n in got.values()) <= 14
+
+
+def test_trees_of_classes_have_few_children():
+    a, b = np.zeros(99, int), np.arange(1, 100)
+    up = ngram_join._tree(103, np.r_[a, 101], np.r_[b, 102])
+    assert np.bincount(up[1:100]).max() <= ngram_join.CHILDREN and up[0] == 0 and (up[1:100] < np.arange(1, 100)).all() and up[100:].tolist() == [100, 101, 101]
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     least = ngram_join.least_matches(ngram_join.Fraction("0.8"))
     assert all(m < 0.8 * n for m, n in zip(least, ngram_join.STEPS, strict=True)) and least[-1] > 0.6 * ngram_join.HASHES
