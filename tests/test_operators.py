@@ -9,7 +9,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from cartorio import sinks
+from cartorio import api, sinks
+from cartorio.functions import codes
 from cartorio.operators import aggregates, joins, profile, sync, windows
 from cartorio.sources import dbf, dictionaries, files
 from cartorio.streaming import incremental
@@ -66,6 +67,69 @@ def test_dbf(spark, tmp_path, monkeypatch):
     assert dbf.read_dbf(spark, str(tmp_path / "e.dbf")).count() == 0
 
 
+def test_dbf_folder(spark, tmp_path):
+    (tmp_path / "in" / "x").mkdir(parents=True)
+    (tmp_path / "in" / "a.dbf").write_bytes(dbf.dbf_bytes([("UF", 2), ("NOME", 20)], [("12", "Acre é"), ("13", None)]))
+    raw = bytearray(dbf.dbf_bytes([("UF", 2), ("ANO", 4)], [("14", "1994"), ("15", "1995")]))
+    raw[-8 - 7] = ord("*")  # the first record is deleted
+    (tmp_path / "in" / "x" / "b.DBF").write_bytes(bytes(raw))
+    (tmp_path / "in" / "e.dbf").write_bytes(dbf.dbf_bytes([("UF", 2)], []))
+    (tmp_path / "in" / "note.txt").write_text("x")
+    from cartorio.session import ship
+
+    ship(spark)
+    got = dbf.read_dbf_folder(spark, str(tmp_path / "in"))
+    assert got.columns == ["_path", "ANO", "NOME", "UF"]
+    assert sorted((tuple(r)[1:] for r in got.collect()), key=str) == [("1995", None, "15"), (None, "Acre é", "12"), (None, None, "13")]
+    assert dbf.read_dbf_folder(spark, str(tmp_path / "in"), ["UF"]).columns == ["_path", "UF"]
+
+
+def test_files_are_validated_by_their_path_below_the_root(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    for uf in ("AC", "SP"):
+        spark.createDataFrame([(uf,)], "v string").coalesce(1).write.parquet(f"{root}/uf={uf}")
+    for part in (tmp_path / "tree").glob("*/*.parquet"):
+        part.rename(part.parent / "part-0.parquet")
+    rows = [{"path": r["path"], "sha256": r["sha256"]} for r in files.digests(spark, root).collect()]
+    for start in ("", f"{root}/", None):  # relative, absolute and whole paths in the manifest
+        listed = [{**r, "path": r["path"] if start is None else start + r["path"].split("/tree/")[1]} for r in rows]
+        (tmp_path / "m.json").write_text(json.dumps({"dataset": "d", "partitions": {"all": {"output_files": listed}}}))
+        got = api.validate_local(spark, root, str(tmp_path / "m.json")).collect()
+        assert sorted(map(tuple, got)) == [("uf=AC/part-0.parquet", "ok"), ("uf=SP/part-0.parquet", "ok")]
+
+
+def test_routine_file_names(spark):
+    names = ["vacinacao_mar_2024.json", "vacinacao_xyz_2024.json", "DNSP2003.dbc", "RDSP0811.dbc", "DPNISP99.DBF", None]
+    got = [r[0] and tuple(r[0]) for r in spark.createDataFrame([(n,) for n in names], "n string").select(codes.parse_file_name(F.col("n"))).collect()]
+    assert got == [("routine", None, 2024, 3), (None, None, None, None), ("DN", "SP", 2003, None), ("RD", "SP", 2008, 11), ("DPNI", "SP", 1999, None), (None, None, None, None)]
+
+
+@pytest.mark.parametrize("small", [10_000, 1])
+def test_rules_in_force(spark, monkeypatch, small):
+    """Few rules and many, which are joined another way, give the same rows."""
+    monkeypatch.setattr(joins, "SMALL", small)
+    rules = spark.createDataFrame([("a", 1994, 2002), ("b", None, 2000), ("c", 2001, None), ("d", None, None), ("e", 2050, 2060), ("f", 2005, 2001)], "rule string, lo int, hi int")
+    df = spark.createDataFrame([(1990,), (2001,), (2001,), (2010,), (None,)], "year int")
+    got = sorted((r["year"] or 0, r["rule"]) for r in joins.valid_rules(df, rules, "year", "lo", "hi").filter("year is not null").collect())
+    assert got == [(1990, "b"), (1990, "d"), (2001, "a"), (2001, "a"), (2001, "c"), (2001, "c"), (2001, "d"), (2001, "d"), (2010, "c"), (2010, "d")]
+
+
+def test_rows_equal_but_for_some_columns(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", 5), (3, "b", 5)], "id int, k string, v int")
+    assert sorted((r["k"], r["v"]) for r in aggregates.drop_duplicates_ignoring(df, ["id"]).collect()) == [("a", 5), ("b", 5)]
+
+
+def test_rejects_are_told_as_metrics(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    kept = sync.observed(df, "reject_metrics", F.when(F.col("v").isNull(), "empty"))
+    assert kept.count() == 3 and kept.columns == ["v"]
+
+
+def test_ranks_are_shared_by_equal_volumes(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), ("b",), ("c",)], "k string")
+    assert sorted((r["k"], r["volume"], r["place"]) for r in windows.ranked(df, ["k"]).collect()) == [("a", 2, 1), ("b", 2, 1), ("c", 1, 3)]
+
+
 def test_readers_pass_over_other_files(spark, tmp_path):
     root = str(tmp_path / "data")
     df = spark.createDataFrame([("1", "2024", "01", "AC"), ("2", "2024", "02", "SP")], "v string, p_ano string, p_mes string, p_uf string")
