@@ -5,8 +5,8 @@
    they meet: in the map task, or else in a bucket of the anchor's hash.
 2. Each bucket of documents folds the equal strings under shared anchors (a run of windows, below twice the length) and
    sends every different one once, with the least document that has it there, to its anchor's bucket.
-3. There, the strings of anchors that have several are sorted by suffix_orders(); equal windows stand next to each other, are
-   compared byte by byte, and get the least id of all documents that hold them. The answers go back to the buckets of documents.
+3. There, of anchors that have several strings, all stretches of windows that another string may hold (both ends' grams stand
+   in another one too) are sorted by suffix_orders(); equal windows stand next to each other, are compared byte by byte, and get the least id of all documents that hold them. The answers go back to the buckets of documents.
 4. Anchors in very many documents go window by window instead: Spark aggregates the least document of each different window, with
    a row for each window and task at most, and joins it to the buckets that asked.
 5. Each bucket of documents finds its own occurrences again and puts the windows that a smaller id holds together to spans.
@@ -371,51 +371,102 @@ def _words8(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def shared_stretches(contents: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first window, windows): stretches of windows that another string may hold.
+
+    A window of another string with the same anchor has equal grams at both its ends, at the same places from the
+    anchor; windows of whose end grams only one string has any are left out, and with them most of what differs from
+    copy to copy.
+    """
+    n = len(contents)
+    sizes = np.array([len(c) for c in contents])
+    width = 2 * length
+    body = np.zeros((n, width), np.uint8)
+    body[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(contents), np.uint8)
+    grams = width - GRAM + 1
+    h = np.zeros((n, grams), np.uint64)
+    for j in reversed(range(GRAM)):
+        h = h * BASE + (body[:, j : j + grams].astype(np.uint64) + np.uint64(1))
+    h = mix(h)
+    # The anchor, as anchored_runs() has it: all windows of a string share the first one's.
+    anchor = (h[:, : length - GRAM + 1] & ~np.uint64(0xFFFFFF)).argmin(1)
+    own = mix(h[np.arange(n), anchor])
+    place = np.arange(grams)[None, :] - anchor[:, None] + width
+    token = mix(h ^ own[:, None] ^ mix(place.astype(np.uint64)))
+    inside = np.arange(grams)[None, :] <= (sizes - GRAM)[:, None]
+    _, back, times = np.unique(token[inside], return_inverse=True, return_counts=True)
+    often = np.zeros((n, grams), bool)
+    often[inside] = times[back] > 1
+    windows = sizes - length + 1
+    w = np.arange(length + 1)
+    good = often[:, : len(w)] & often[:, length - GRAM : length - GRAM + len(w)] & (w[None, :] < windows[:, None])
+    edge = np.diff(np.pad(good, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    string, first = np.nonzero(edge == 1)
+    _, stop = np.nonzero(edge == -1)
+    return string, first, stop - first
+
+
 def owners(contents: list[bytes], anchor: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
     """For each string (a row) and each window in it (a column) the least document of any string under the same anchor that
     holds the window; `least` are the strings' own. Strings of one anchor stand side by side.
 
-    Equal windows are neighbours in the order of all suffixes of an anchor's strings; they are compared byte by byte. An anchor with
-    over SORTED_AT_ONCE letters, of which no task could hold the order, has its windows matched by two hashes of 64 bits."""
-    sizes = np.array([len(c) for c in contents])
+    Stretches of windows that another string may hold are sorted: equal windows are neighbours in the order of all suffixes of an
+    anchor's stretches, and are compared byte by byte. An anchor with over SORTED_AT_ONCE letters, of which no task could hold the
+    order, has its windows matched by two hashes of 64 bits."""
     full = np.repeat(least[:, None], length, 1)
-    group = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-    letters = np.add.reduceat(sizes + 1, group)
-    stop = np.r_[group[1:], len(contents)]
-    lo = 0
+    sizes = np.array([len(c) for c in contents])
+    for lo, hi in _blocks(anchor, sizes):
+        string, first, windows = shared_stretches(contents[lo:hi], length)
+        string += lo
+        for a, b in _blocks(anchor[string], windows + length):
+            _order_owners([contents[r][x : x + w + length - 1] for r, x, w in zip(string[a:b].tolist(), first[a:b].tolist(), windows[a:b].tolist())], anchor[string[a:b]],
+                          string[a:b], first[a:b], least, length, full)
+    return full
+
+
+def _blocks(group: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of whole groups, which stand side by side, of about SORTED_AT_ONCE together; or one larger group."""
+    heads = np.r_[np.flatnonzero(np.diff(group) != 0) + 1, len(group)] if len(group) else group
+    total, lo = np.cumsum(sizes), 0
     while lo < len(group):
-        hi = max(lo + 1, int(np.searchsorted(np.cumsum(letters[lo:]), SORTED_AT_ONCE, "right")) + lo)
-        rows = np.arange(group[lo], stop[hi - 1])
-        text = np.frombuffer(b"\0".join([*(contents[r] for r in rows), b""]), np.uint8)
-        begin = np.cumsum(sizes[rows] + 1) - sizes[rows] - 1
-        string = np.repeat(np.arange(len(rows)), sizes[rows] + 1)
-        usable = np.arange(len(text)) + length <= (begin + sizes[rows])[string]
-        if letters[lo] <= SORTED_AT_ONCE:
-            number = text.astype(np.int64) + 1
-            number[begin + sizes[rows]] = 0
-            first = np.r_[begin[group[lo:hi] - group[lo]], len(text)]
-            order = suffix_orders(number, first)
-            order = order[usable[order]]
-            of = np.searchsorted(first, order, "right")
-            eight = _words8(text)
-            same = of[1:] == of[:-1]
-            for j in (*range(0, length - 8, 8), length - 8):
-                at = np.flatnonzero(same)
-                same[at] = eight[order[at] + j] == eight[order[at + 1] + j]
-            heads = np.flatnonzero(np.r_[True, ~same]) if len(order) else order
-            low = np.minimum.reduceat(least[rows][string[order]], heads) if len(order) else order
-            full[rows[string[order]], order - begin[string[order]]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
-        else:
-            at = np.flatnonzero(usable)
-            parts = mix(_words8(text)[at]) % np.uint64(-(-len(at) // SORTED_AT_ONCE))  # equal windows in one part
-            for k in np.unique(parts):
-                own = at[parts == k]
-                n, one = numbered(text, own, own + length)
-                low = np.full(len(one), np.iinfo(np.int64).max)
-                np.minimum.at(low, n, least[rows][string[own]])
-                full[rows[string[own]], own - begin[string[own]]] = low[n]
+        most = (total[lo - 1] if lo else 0) + SORTED_AT_ONCE
+        fits = heads[(heads > lo) & (total[heads - 1] <= most)]
+        hi = int(fits[-1]) if len(fits) else int(heads[heads > lo][0])
+        yield lo, hi
         lo = hi
-    return full
+
+
+def _order_owners(stretches: list[bytes], anchor: np.ndarray, string: np.ndarray, offset: np.ndarray, least: np.ndarray, length: int, full: np.ndarray) -> None:
+    """Puts the owners of the windows of stretches (of `string`, from `offset` on) into `full`."""
+    sizes = np.array([len(c) for c in stretches])
+    text = np.frombuffer(b"\0".join([*stretches, b""]), np.uint8)
+    begin = np.cumsum(sizes + 1) - sizes - 1
+    row = np.repeat(np.arange(len(stretches)), sizes + 1)
+    usable = np.arange(len(text)) + length <= (begin + sizes)[row]
+    eight = _words8(text)
+    if len(text) <= SORTED_AT_ONCE + len(stretches):
+        number = text.astype(np.int64) + 1
+        number[begin + sizes] = 0
+        first = np.r_[begin[np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])], len(text)]
+        order = suffix_orders(number, first)
+        order = order[usable[order]]
+        of = np.searchsorted(first, order, "right")
+        same = of[1:] == of[:-1]
+        for j in (*range(0, length - 8, 8), length - 8):
+            at = np.flatnonzero(same)
+            same[at] = eight[order[at] + j] == eight[order[at + 1] + j]
+        heads = np.flatnonzero(np.r_[True, ~same])
+        low = np.minimum.reduceat(least[string[row[order]]], heads)
+        full[string[row[order]], offset[row[order]] + order - begin[row[order]]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
+        return
+    at = np.flatnonzero(usable)
+    parts = mix(eight[at]) % np.uint64(-(-len(at) // SORTED_AT_ONCE))  # equal windows in one part
+    for k in np.unique(parts):
+        own = at[parts == k]
+        n, one = numbered(text, own, own + length)
+        low = np.full(len(one), np.iinfo(np.int64).max)
+        np.minimum.at(low, n, least[string[row[own]]])
+        full[string[row[own]], offset[row[own]] + own - begin[row[own]]] = low[n]
 
 
 def _anchors(contents: list[bytes], length: int) -> np.ndarray:

@@ -116,6 +116,21 @@ def suffix_orders(letters: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _heads(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before; the first does."""
+    out = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
+def _gaps(x: np.ndarray, end: int) -> np.ndarray:
+    """How far it is from each to the next, or to the end."""
+    out = np.empty(len(x), np.int64)
+    np.subtract(x[1:], x[:-1], out=out[:-1])
+    out[-1] = end - x[-1]
+    return out
+
+
 def _in_step(letters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """suffix_order() of texts that follow each other, none empty, all at once."""
     n, t = len(letters), len(sizes)
@@ -156,21 +171,22 @@ def _in_step(letters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
             pointer[own] = near
             near = np.sort(near[group[near] >= 0])
             if len(near):
-                one = np.flatnonzero(np.r_[True, near[1:] != near[:-1]])
-                times, near = np.diff(np.r_[one, len(near)]), near[one]
+                one = np.flatnonzero(_heads(near))
+                times, near = _gaps(one, len(near)), near[one]
                 below = group[near]
                 by = np.lexsort((times, below))
                 near, times, below = near[by], times[by], below[by]
-                new = np.flatnonzero(np.r_[True, (below[1:] != below[:-1]) | (times[1:] != times[:-1])])
+                new = np.flatnonzero(_heads(below) | _heads(times))
                 ids = groups + np.arange(len(new))
                 start[ids] = logged + new
-                size[ids] = many = np.diff(np.r_[new, len(near)])
+                size[ids] = many = _gaps(new, len(near))
                 log[logged : logged + len(near)] = near
                 logged += len(near)
                 group[near] = np.repeat(ids, many)
                 below = below[new]
-                other = below[1:] != below[:-1]
-                lowest, highest = np.r_[True, other], np.r_[other, True]
+                lowest = _heads(below)
+                highest = np.ones(len(below), bool)
+                highest[:-1] = lowest[1:]
                 above = higher[below]
                 lower[ids] = np.where(lowest, below, ids - 1)
                 higher[ids] = np.where(highest, above, ids + 1)
