@@ -269,11 +269,19 @@ class Occurrences:
 
 def numbered(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of each stretch of the data, equal for equal ones; a stretch of each number), by two hashes of 64 bits."""
-    hashes = []
-    for values in _BYTES:
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * powers(BASE, len(data)), out=total[1:])
-        hashes.append(mix((total[end] - total[begin]) * powers(BASE_INVERSE, len(data) + 1)[begin] + (end - begin).astype(np.uint64)))
+    hashes = [np.zeros(len(begin), np.uint64) for _ in _BYTES]
+    by, lo = np.argsort(begin, kind="stable"), 0
+    sorted_ = begin[by]
+    while lo < len(by):  # about a MiB of data at a time
+        hi = int(np.searchsorted(sorted_, sorted_[lo] + (1 << 20)))
+        own = by[lo:hi]
+        part = data[sorted_[lo] : end[own].max()]
+        first, last = begin[own] - sorted_[lo], end[own] - sorted_[lo]
+        for h, values in zip(hashes, _BYTES, strict=True):
+            total = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(values[part] * powers(BASE, len(part)), out=total[1:])
+            h[own] = mix((total[last] - total[first]) * powers(BASE_INVERSE, len(part) + 1)[first] + (last - first).astype(np.uint64))
+        lo = hi
     order = np.lexsort(hashes)
     fresh = np.ones(len(order), bool)
     fresh[1:] = (hashes[0][order[1:]] != hashes[0][order[:-1]]) | (hashes[1][order[1:]] != hashes[1][order[:-1]])
@@ -540,9 +548,11 @@ def gone(o: Occurrences, answer: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def kept(data: np.ndarray, at: np.ndarray, length: int) -> tuple[list[tuple[int, int]], bytes]:
     """(spans that go, remaining bytes) of one text, by the windows that go."""
-    at = at[at + length <= len(data)]
-    change = np.bincount(at, minlength=len(data) + 1)[: len(data) + 1] - np.bincount(at + length, minlength=len(data) + 1)[: len(data) + 1]
-    gone = np.cumsum(change[:-1]) > 0
+    at = np.unique(at[at + length <= len(data)])  # rows that repeat an id have each twice
+    change = np.zeros(len(data) + 1, np.int8)
+    change[at] += 1
+    change[at + length] -= 1
+    gone = np.cumsum(change[:-1], dtype=np.int8) > 0
     edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)), data[~gone].tobytes()
 
