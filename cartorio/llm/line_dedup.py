@@ -52,8 +52,9 @@ def dedup_lines(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col
     pass unchanged, whatever their names.
     """
     starts = repeated_windows(docs, size, id_col, text_col)
-    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    joined = row.join(starts, F.col("key") == F.col("id"), "left").select("row", "text", "starts", F.split("text", "\n", -1).alias("lines"))
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("key"))
+    own = F.col(f"row.`{text_col}`").cast("string")
+    joined = row.join(starts, F.col("key") == F.col("id"), "left").select("row", own.alias("text"), "starts", F.split(own, "\n", -1).alias("lines"))
     hit = F.col("starts").isNotNull()
     covered = joined.withColumn("covered", F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + size - 1)))))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("covered"))
