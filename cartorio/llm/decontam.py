@@ -178,9 +178,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
                         .filter("least.documents > 0").select("window", "size", "least.shingle", "least.at"))
     held = reliable(prefix_hits(texts, Map(prefixes.select("shingle").distinct()), sizes, size))
     shapes = prefixes.select("shingle", "at", "size").distinct()
+    # Spark may cut the words before it filters by start, so a start before the text is moved to its begin there.
     found = (held.filter("id is not null").select("id", "n_words", F.explode("hits").alias("hit")).select("id", "n_words", "hit.*").join(_light(shapes), "shingle")
              .withColumn("start", F.col("place") - F.col("at")).filter("start >= 0 and start + size <= n_words")
-             .withColumn("window", F.array_join(F.slice(F.split("around", " "), F.col("start") - F.col("begin") + 1, F.col("size")), " "))
+             .withColumn("window", F.array_join(F.slice(F.split("around", " "), F.greatest(F.col("start") - F.col("begin") + 1, F.lit(1)), F.col("size")), " "))
              .join(_light(prefixes.select("window")), "window").select("id", "start", (F.col("start") + F.col("size")).alias("end"), "window").distinct())
     found = reliable(found)
 
