@@ -347,6 +347,14 @@ def test_null_and_repeated_rows(spark):
     assert sorted(map(tuple, rows), key=str) == [(1, 3, 3, ["1", "3"]), (1, 3, 3, ["1", "3"]), (2, 0, 0, []), (3, 4, 3, ["2"]), (None, 0, 0, []), (None, 3, 0, [])]
 
 
+def test_a_text_that_begins_inside_a_window(spark):
+    """The window's rarest shingle is its second, and stands first in a text."""
+    benchmark = spark.createDataFrame([(1, "w0 w1 w2 w3")], "item_id int, text string")
+    docs = ["w0 w1 w2 x", "w0 w1 w2 y", "w0 w1 w2 z", "w1 w2 w3 zz", "a w0 w1 w2 w3 b", "w2 w3", "w1 w2 w3"]
+    rows = decontam.decontaminate(frame(spark, docs), benchmark).orderBy("doc_id").collect()
+    assert [r["n_hit"] for r in rows] == [0, 0, 0, 0, 4, 0, 0]
+
+
 def test_a_window_of_very_many_items(spark):
     shared = "this very common sentence of thirteen words stands in each of the items"
     benchmark = spark.createDataFrame([(i, f"w{i} {shared} v{i}") for i in range(3000)], "item_id int, text string")
