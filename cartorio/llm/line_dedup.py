@@ -23,10 +23,10 @@ def repeated_windows(docs: DataFrame, size: int = 3, id_col: str = "doc_id", tex
     # Windows are cut and digested once; what is written has a place and 16 bytes each.
     windows = reliable(docs.select(F.col(id_col).alias("id"), lines.alias("lines"))
                        .select("id", F.explode(_windows(F.col("lines"), size)).alias("w")).select("id", "w.at", "w.digest"))
-    # One row for each digest and map task reaches the shuffle, so a window that a third of all rows hold stays small;
-    # the join's long keys are split by adaptive execution.
-    first = (windows.groupBy("digest").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n"))
-             .filter("n > 1").drop("n"))
+    # One row for each digest and map task reaches the shuffle, so a window that a third of all rows hold stays small. The
+    # repeated ones are written, so that their join with all windows is a plain one, of which Spark splits the long keys.
+    first = reliable(windows.groupBy("digest").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n"))
+                     .filter("n > 1").drop("n"))
     later = windows.join(first, "digest").filter(F.struct("id", "at") > F.col("first"))
     return later.groupBy("id").agg(F.collect_set("at").alias("starts"))
 
