@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartorio.llm import decontam, line_dedup, media, ngram_join, packing, quality, secrets, suffix_dedup, tokens, toxicity
+from cartorio.llm import decontam, line_dedup, media, merkle, ngram_join, packing, quality, quality_rules, secrets, suffix_dedup, tokens, toxicity
 from cartorio.llm.frames import load
 from cartorio.llm.labelled import fold
 
@@ -135,6 +135,75 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(load(spark, sf_dir, "documents")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(merkle.audit(load(spark, sf_dir, "documents"), merkle.one_more()))
+
+
+OP11_SQL = """
+with recursive
+bits(i, k, c) as (select i, 0, i from range(256) r(i) union all select i, k + 1, case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end from bits where k < 8),
+crc as (select list(c order by i) as crcs from bits where k = 8),
+field as (
+  select doc_id, lang, n_chars, xor(list_reduce([4294967295] || list_transform(range(1, len(doc_id::varchar) + 1), lambda j: ascii(substr(doc_id::varchar, j, 1))::bigint),
+      lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295) as crc,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as before,
+    coalesce(strlen(text) || ':' || text, '-') as after
+  from documents, crc),
+leaf as (
+  select doc_id, lang, sha256(before || coalesce(len(n_chars::varchar) || ':' || n_chars, '-') || after) as leaf,
+    sha256(before || coalesce(len((n_chars + (crc % 7 = 0)::int)::varchar) || ':' || (n_chars + (crc % 7 = 0)::int), '-') || after) as claimed,
+    row_number() over (partition by lang order by doc_id) - 1 as idx, count(*) over (partition by lang) as n from field),
+node(lang, level, idx, n, h) as (
+  select lang, 0, idx, n, leaf from leaf
+  union all select lang, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' order by idx)) from node where n > 1 group by lang, level, idx // 2, n),
+sub as (select lang, h, row_number() over (order by lang nulls first) - 1 as idx, count(*) over () as n from node where n = 1),
+top(level, idx, n, h) as (
+  select 0, idx, n, h from sub
+  union all select level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' order by idx)) from top where n > 1 group by level, idx // 2, n),
+climb(doc_id, lang, level, idx, folded, proof) as (
+  select doc_id, lang, 0, idx, claimed, '' from leaf
+  union all
+  select c.doc_id, c.lang, c.level + 1, c.idx // 2, sha256(case c.idx % 2 when 0 then folded || coalesce(s.h, '') else s.h || folded end), proof || coalesce(s.h, '')
+  from climb c join node o on o.lang is not distinct from c.lang and o.level = c.level and o.idx = c.idx and o.n > 1
+  left join node s on s.lang is not distinct from c.lang and s.level = c.level and s.idx = xor(c.idx, 1)),
+reached as (select * from climb qualify row_number() over (partition by doc_id order by level desc) = 1),
+up(doc_id, level, idx, folded, proof) as (
+  select doc_id, 0, sub.idx, folded, proof from reached join sub on sub.lang is not distinct from reached.lang
+  union all
+  select c.doc_id, c.level + 1, c.idx // 2, sha256(case c.idx % 2 when 0 then folded || coalesce(s.h, '') else s.h || folded end), proof || coalesce(s.h, '')
+  from up c join top o on o.level = c.level and o.idx = c.idx and o.n > 1 left join top s on s.level = c.level and s.idx = xor(c.idx, 1)),
+ended as (select * from up qualify row_number() over (partition by doc_id order by level desc) = 1)
+select doc_id, leaf, sub.h as subroot, root.h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = root.h as verified
+from leaf join sub on sub.lang is not distinct from leaf.lang join ended using (doc_id), (select h from top where n = 1) root
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", *(f"_rules.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
+
+
+OP12_SQL = r"""
+with doc as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from documents),
+win as (select doc_id, i, array_to_string(w[i : i + 4], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from doc where len(w) >= 5)),
+again as (select doc_id, i from win qualify count(*) over (partition by doc_id, s) > 1),
+covered as (select doc_id, count(distinct k) as n from (select doc_id, unnest(range(i, i + 5)) as k from again) group by doc_id),
+stat as (
+  select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols,
+    len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, len(l) as n_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) as n_bullet_lines, len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) as n_cut_lines,
+    len(list_filter(w, lambda x: list_contains(string_split('STOP_WORDS', ' '), lower(x)))) as n_stop_words, len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) as n_letter_words
+  from doc left join covered using (doc_id)),
+verdict as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from stat)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and word_chars >= 2 * n_words and word_chars <= 12 * n_words and 10 * n_symbols <= n_words and 10 * n_letter_words >= 6 * n_words
+    and (n_words < 50 or 50 * n_stop_words >= n_words) and 10 * n_dup_lines <= 3 * n_lines and 10 * n_bullet_lines <= 9 * n_lines and 10 * n_cut_lines <= 3 * n_lines as kept
+from verdict
+""".replace("STOP_WORDS", " ".join(quality_rules.STOP_WORDS))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
@@ -146,5 +215,7 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_tokens": op9_tokens,
     "op10_secrets": op10_secrets,
+    "op11_merkle": op11_merkle,
+    "op12_quality_rules": op12_quality_rules,
 }
-ORACLE_SQL = {"op1_ngram_join": OP1_SQL, "op6_suffix_dedup": OP6_SQL, "op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL}
+ORACLE_SQL = {"op1_ngram_join": OP1_SQL, "op6_suffix_dedup": OP6_SQL, "op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL, "op11_merkle": OP11_SQL, "op12_quality_rules": OP12_SQL}
