@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartorio.llm import decontam, line_dedup, media, merkle, ngram_join, packing, quality, quality_rules, secrets, suffix_dedup, tokens, toxicity
+from cartorio.llm import decontam, line_dedup, media, merkle, ngram_join, packing, quality, quality_rules, secrets, spelling, suffix_dedup, tokens, toxicity
 from cartorio.llm.frames import load
 from cartorio.llm.labelled import fold
 
@@ -204,6 +204,37 @@ from verdict
 """.replace("STOP_WORDS", " ".join(quality_rules.STOP_WORDS))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(load(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with recursive
+bits(i, k, c) as (select i, 0, i from range(256) r(i) union all select i, k + 1, case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end from bits where k < 8),
+crc as (select list(c order by i) as crcs from bits where k = 8),
+run as (
+  select doc_id, count(*) as n, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as r
+  from (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) as r from documents) where length(r) >= 7 group by all),
+told as (
+  select n, r, xor(list_reduce([4294967295::bigint] || list_transform(range(1, strlen(doc_id || ':' || r) + 1), lambda j: ('0x' || substr(hex(encode(doc_id || ':' || r)), 2 * j - 1, 2))::bigint),
+    lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295) as h from run, crc),
+word as (
+  select w as word, sum(n)::bigint as n from (select n, case when h % 31 = 0 then substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) else r end as w from told)
+  where length(w) >= 7 group by w having sum(n) >= 2),
+gap as (select word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) as rest from (select word, n, unnest(range(1, length(word) + 1)) as k from word)),
+pair as (
+  select a.word, a.n, b.word as near, b.n as near_n from gap a join gap b on a.k = b.k and a.rest = b.rest and a.word <> b.word and length(a.word) = length(b.word)
+  union select a.word, a.n, b.word, b.n from gap a join word b on a.rest = b.word
+  union select b.word, b.n, a.word, a.n from gap a join word b on a.rest = b.word),
+best as (select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from pair group by word),
+formed as (
+  select word.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * n then near end as form, case when near_n >= 10 * n then near_n end as form_n from word left join best using (word)),
+climb(word, step, k) as (select word, word, 0 from formed union all select c.word, f.form, k + 1 from climb c join formed f on f.word = c.step where f.form is not null),
+last as (select word, arg_max(step, k) as root from climb group by word)
+select word, form, root, n, n_near, form_n from formed join last using (word)
+"""
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
@@ -217,5 +248,7 @@ QUERIES = {
     "op10_secrets": op10_secrets,
     "op11_merkle": op11_merkle,
     "op12_quality_rules": op12_quality_rules,
+    "op13_spelling": op13_spelling,
 }
-ORACLE_SQL = {"op1_ngram_join": OP1_SQL, "op6_suffix_dedup": OP6_SQL, "op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL, "op11_merkle": OP11_SQL, "op12_quality_rules": OP12_SQL}
+ORACLE_SQL = {"op1_ngram_join": OP1_SQL, "op6_suffix_dedup": OP6_SQL, "op3_line_dedup": OP3_SQL, "op5_decontamination": OP5_SQL, "op11_merkle": OP11_SQL, "op12_quality_rules": OP12_SQL,
+              "op13_spelling": OP13_SQL}
