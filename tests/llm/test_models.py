@@ -4,6 +4,7 @@ import bisect
 import inspect
 import math
 import os
+import random
 
 import duckdb
 import numpy as np
@@ -41,14 +42,34 @@ def test_toxicity_of_unseen_documents(spark):
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
 
 
+def invented(seed, n):
+    """n labelled texts of invented words; one in eight holds one or two of 90 invented insults, the rarest in about 0.1 % of them, a
+    third of them with a letter changed, left out or doubled."""
+    r = random.Random(seed)
+    syllables = ["er", "an", "th", "in", "ed", "ou", "ble", "st", "re", "ha", "wh", "nd", "ti", "on", "sh", "en", "é", "ö", "ung", "ción"]
+    word = lambda a, b: "".join(r.choice(syllables) for _ in range(r.randint(a, b)))
+    common = [word(1, 4) for _ in range(4000)]
+    insults = [word(2, 3) + r.choice(["zok", "grub", "vex", "klim", "purf", "dwaz"]) + r.choice(["", "er", "en", "y"]) for _ in range(90)]
+    rows = []
+    for i in range(n):
+        words, toxic = r.choices(common, k=r.randint(20, 160)), int(r.random() < 1 / 8)
+        for _ in range(r.randint(1, 2) if toxic else 0):
+            bad = insults[min(int(r.paretovariate(0.5)) - 1, 89)] if r.random() < 0.5 else r.choice(insults)
+            k = r.randrange(len(bad))
+            bad = r.choice([bad, bad, bad, bad, bad[:k] + r.choice("aeiou") + bad[k + 1 :], bad[:k] + bad[k + 1 :], bad[:k] + bad[k] + bad[k:]])
+            words.insert(r.randrange(len(words) + 1), bad)
+        rows.append((i, " ".join(words), toxic))
+    return rows
+
+
 def test_toxicity_with_many_labels(spark):
     """The table above has 2,990 labels to fit on, 329 of them toxic, too few for its invented insults; here 12,000 are used."""
-    docs, labels = (spark.read.parquet(f"/root/testdata/check_l/{t}.parquet") for t in ("documents", "labels"))
     assert toxicity.MOST_ROWS >= 12_000 and inspect.signature(toxicity.fit).parameters["steps"].default >= 500
-    model = toxicity.train(docs, labels)
-    seen = labels.filter(fold("doc_id", 4) == 2).select("doc_id", "toxic")
-    rows = toxicity.score(docs.join(F.broadcast(seen.select("doc_id")), "doc_id"), model).join(seen, "doc_id").select("score", "toxic").collect()
-    s, y = (np.array([r[k] for r in rows]) for k in (0, 1))
+    rows = spark.createDataFrame(invented(11, 17_000), "doc_id long, text string, toxic int").repartition(8)
+    docs, labels = rows.select("doc_id", "text"), rows.select("doc_id", "toxic")
+    assert labels.filter(fold("doc_id", 4) != 2).count() >= 12_000
+    out = toxicity.score(docs, toxicity.train(docs, labels)).join(labels, "doc_id").filter(fold("doc_id", 4) == 2).select("score", "toxic").collect()
+    s, y = (np.array([r[k] for r in out]) for k in (0, 1))
     assert (s[y == 1] >= 0.3).mean() > 0.95 and (s[y == 0] >= 0.3).mean() < 0.02
 
 
