@@ -136,7 +136,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merkle.digest(merkle.audit(load(spark, sf_dir, "documents"), merkle.one_more()))
+    return merkle.audit(load(spark, sf_dir, "documents"), merkle.one_more()).withColumnRenamed("proof", "proof_sha256")
 
 
 OP11_SQL = """

@@ -63,7 +63,7 @@ def plain_audit(rows):
 
 
 def audited(df, **how):
-    return sorted((tuple(r) for r in merkle.digest(merkle.audit(df, merkle.one_more(), **how)).collect()), key=str)
+    return sorted((tuple(r) for r in merkle.audit(df, merkle.one_more(), **how).collect()), key=str)
 
 
 def documents(spark, rows, parts=3):
@@ -91,12 +91,16 @@ def test_rows_over_many_leaves_are_shared_out(spark, monkeypatch):
     leaves = documents(spark, rows).select(F.col("doc_id").alias("key"), F.col("lang").alias("tree"), merkle.leaf_digest(F.col("text")).alias("leaf"), F.col("doc_id").alias("row"))
     links = merkle.build(leaves, stride=2).links
     assert links.groupBy("t", "level", "idx").count().agg(F.max("count")).first()[0] == 112 // 8  # the larger tree
+    monkeypatch.setattr(merkle, "FEW", 0)  # not broadcast
+    assert audited(documents(spark, rows), stride=2) == plain_audit(rows)
 
 
 def test_a_changed_text_is_found(spark):
     rows = [(i, "s", "en", i, f"t{i}") for i in range(20)]
     out = merkle.audit(documents(spark, rows), {"text": F.when(F.col("doc_id") == 3, "tampered").otherwise(F.col("text"))}).collect()
     assert [r["doc_id"] for r in out if not r["verified"]] == [3]
+    whole = merkle.audit(documents(spark, rows), {}, whole_proofs=True).collect()
+    assert {r["doc_id"]: sha(r["proof"]) for r in whole} == {r["doc_id"]: r["proof"] for r in out} and len(whole[0]["proof"]) >= 64
     before = spark.conf.get(merkle.ROW_LIMIT)
     assert before == "1000000"  # as it was
 
