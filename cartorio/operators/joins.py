@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartorio.operators.ranges import in_periods
+
 #: A dimension of at most so many rows is broadcast; a larger one is left to Spark's own choice.
 SMALL = 10_000
 
@@ -88,17 +90,12 @@ def lookup_year(df: DataFrame, rules: DataFrame, births: DataFrame, year: str =
 
 
 def valid_rules(df: DataFrame, rules: DataFrame, value: str, low: str, high: str) -> DataFrame:
-    """Every row with each rule whose period [low, high] holds its value; a null bound is open."""
+    """Every row with each rule whose period [low, high] holds its value; a null bound is open. Values and bounds are of any
+    type that sorts. A few rules are broadcast; more go through `ranges.in_periods`, with the same result."""
+    if rules.limit(SMALL + 1).count() > SMALL:
+        return in_periods(df, rules, value, low, high)
     inside = (F.col(low).isNull() | (F.col(value) >= F.col(low))) & (F.col(high).isNull() | (F.col(value) <= F.col(high)))
-    if rules.limit(SMALL + 1).count() <= SMALL:
-        return df.join(F.broadcast(rules), inside)
-    # Many rules: each comes once for every whole value that it holds among those there are, and the join is on equal values.
-    least, most = df.agg(F.floor(F.min(value)), F.floor(F.max(value))).first()
-    if least is None:
-        return df.join(rules, F.lit(False))
-    held = F.sequence(F.greatest(F.floor(F.col(low)).cast("bigint"), F.lit(least)), F.least(F.floor(F.col(high)).cast("bigint"), F.lit(most)))
-    some = F.coalesce(F.col(low) < F.lit(most + 1), F.lit(True)) & F.coalesce(F.col(high) >= F.lit(least), F.lit(True)) & F.coalesce(F.col(low) <= F.col(high), F.lit(True))
-    return df.join(rules.filter(some).withColumn("_at", F.explode(held)), (F.floor(F.col(value)).cast("bigint") == F.col("_at")) & inside).drop("_at")
+    return df.join(F.broadcast(rules), inside & F.col(value).isNotNull())
 
 
 def by_place_and_year(frames: list[DataFrame], keys: list[str]) -> DataFrame:

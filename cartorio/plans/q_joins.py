@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartorio import rules
 from cartorio.operators import joins as J
 from cartorio.operators import sets
+from cartorio.operators.ranges import in_periods
 from cartorio.plans.q_aggregates import LINES_SQL, _lines
 from cartorio.plans.registry import query, table
 from cartorio.sources.files import first_n
@@ -108,6 +109,34 @@ def age_band_join(spark: SparkSession, sf: str) -> DataFrame:
     return J.valid_rules(table(spark, sf, "part"), bands, "p_size", "a", "b").groupBy("band").agg(F.count("*").alias("n"))
 
 
+MANY_SQL = """rules as (
+  select l_orderkey as k, l_linenumber as i, l_shipdate::date as a, case when l_linenumber % 5 = 4 then null else l_shipdate::date + cast(7 + l_quantity as int) end as b from lineitem where l_linenumber % 2 = 0)"""
+
+
+@query(f"""with {MANY_SQL}, days as (select o_orderdate::date as day, count(*) as n from orders group by 1)
+select day, n, held, sums, longest from days join (
+  select day as d, count(*) as held, cast(sum(k * 7 + i) as bigint) as sums, max(b) as longest from days join rules on day >= a and (b is null or day <= b) group by 1) on day = d""")
+def rules_many(spark: SparkSession, sf: str) -> DataFrame:
+    """As many overlapping periods of dates, some without end, as half of the lines, joined by nodes of a tree."""
+    l = table(spark, sf, "lineitem").filter("l_linenumber % 2 = 0")
+    a = F.to_date("l_shipdate")
+    many = l.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), a.alias("a"), F.when(F.col("l_linenumber") % 5 != 4, F.date_add(a, (7 + F.col("l_quantity")).cast("int"))).alias("b"))
+    days = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
+    return in_periods(days, many, "day", "a", "b").groupBy("day", "n").agg(F.count("*").alias("held"), F.sum(F.col("k") * 7 + F.col("i")).cast("bigint").alias("sums"), F.max("b").alias("longest"))
+
+
+@query("""
+with bounds as (select s.s_name as a, t.s_name as b, s.s_suppkey from supplier s left join supplier t on t.s_suppkey = s.s_suppkey + 9)
+select c_custkey, count(*) as n, cast(sum(s_suppkey) as bigint) as keys from customer join bounds on replace(c_name, 'Customer', 'Supplier') >= a and (b is null or replace(c_name, 'Customer', 'Supplier') <= b) group by 1
+""")
+def rules_of_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Periods of text, ten deep."""
+    s = table(spark, sf, "supplier")
+    bounds = s.select(F.col("s_name").alias("a"), "s_suppkey").join(s.select((F.col("s_suppkey") - 9).alias("s_suppkey"), F.col("s_name").alias("b")), "s_suppkey", "left")
+    named = table(spark, sf, "customer").select("c_custkey", F.regexp_replace("c_name", "Customer", "Supplier").alias("name"))
+    return in_periods(named, bounds, "name", "a", "b").groupBy("c_custkey").agg(F.count("*").alias("n"), F.sum("s_suppkey").cast("bigint").alias("keys"))
+
+
 @query("""
 with g as (select n_name as uf, y, m from nation, (select unnest(range(1995, 1998)) as y), (select unnest(range(1, 13)) as m))
 select uf, count(*) as cells, cast(min(y) as bigint) as first_year, cast(max(m) as bigint) as last_month from g group by uf

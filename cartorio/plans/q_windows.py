@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartorio import api
 from cartorio.operators import windows as W
-from cartorio.plans.q_aggregates import COMPONENTS_SQL, LINES_SQL, _components, _lines
+from cartorio.plans.q_aggregates import LINES_SQL, _lines
 from cartorio.plans.registry import query, table
 
 YEARS = list(range(1995, 2003))
@@ -106,15 +106,41 @@ def prev_year(spark: SparkSession, sf: str) -> DataFrame:
     return W.previous(b, ["uf"], "year", "births")
 
 
-@query(f"""with {LINES_SQL}, {COMPONENTS_SQL},
-pop as (select year(o_orderdate) as year, count(*) * 50 as denominator from orders group by 1)
-select l.year::bigint as year, case when l.year < 1999 then 'aggregated' else 'microdata' end as source, l.year = 1999 as series_break, l.doses, denominator, round(l.doses * 100.0 / denominator, 6) as coverage_pct
-from (select year, cast(sum(doses) as bigint) as doses from lines join components using (vaccine, dose) where indicator = 'HB' and year between 1996 and 2000 group by 1) l left join pop on pop.year = l.year""")
+#: Periods of components that overlap, begin late and end early; dose codes of the old source; states by group.
+PERIODS = [("HB", "Brand#1", "D3", None, 1997), ("HB", "Brand#1", "D3", 1996, None), ("HB", "Brand#2", "D3", 1998, None), ("HB", "Brand#2", "SD", None, None),
+           ("HB", "Brand#3", "D3", 1994, 1996), ("BCG", "Brand#3", "D3", None, None)]
+DOSE_CODES = [("D3", "A", 1), ("SD", "R,N", 2)]
+#: Births of the year for half of the states from 1996 and for all from 1998, capped at 1999; population before; no rule from 2000 on.
+ERAS = [(y, "<1", g, "SINASC" if y >= 1998 or (y >= 1996 and g == "B") else "IBGE", min(y, 1999)) for y in range(1994, 2000) for g in "AB"]
+_sql = lambda rows: "values " + ", ".join("(" + ", ".join("null" if v is None else repr(v) for v in r) + ")" for r in rows)
+
+
+@query(f"""with {LINES_SQL}, periods(indicator, vaccine, dose, a, b) as ({_sql(PERIODS)}), eras(year, age_group, state_group, source, source_year) as ({_sql(ERAS)}),
+decoded as (select year, vaccine, case dose when 'A' then 'D3' else 'SD' end as dose, doses from lines where year between 1994 and 2001),
+given as (
+  select year, sum(doses) as doses from decoded d
+  where exists (from periods p where p.indicator = 'HB' and p.vaccine = d.vaccine and p.dose = d.dose and (a is null or year >= a) and (b is null or year <= b)) group by 1),
+births as (select year(o_orderdate) as year, c_nationkey as uf, count(*) as births from orders join customer on o_custkey = c_custkey group by 1, 2),
+units as (select distinct given.year, n_nationkey as uf, case when n_nationkey % 2 = 0 then 'A' else 'B' end as state_group from given, nation),
+by_state as (
+  select u.year, case when source = 'SINASC' then births else people end as n, case when source = 'SINASC' then 'births' else 'population' end as of
+  from units u left join eras e on e.year = u.year and e.state_group = u.state_group
+  left join births b on b.year = e.source_year and b.uf = u.uf
+  left join (select year, uf, births * 50 as people from births) p on p.year = coalesce(e.source_year, u.year) and p.uf = u.uf),
+below as (select year, sum(n) as denominator, string_agg(distinct of, '+' order by of) as denominator_source from by_state where n is not null group by 1)
+select given.year::bigint as year, case when given.year < 1997 then 'aggregated' else 'microdata' end as source, given.year = 1997 as series_break, cast(doses as bigint) as doses,
+  cast(denominator as bigint) as denominator, denominator_source, round(doses * 100.0 / denominator, 6) as coverage_pct from given left join below on below.year = given.year""")
 def api_series(spark: SparkSession, sf: str) -> DataFrame:
-    """K1: an indicator's coverage over both sources."""
-    l = _lines(spark, sf).withColumn("uf", F.col("uf").cast("string"))
-    pop = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg((F.count("*") * 50).alias("population"))
-    out = api.coverage_series(l, l, pop, _components(spark), "HB", years=(1996, 2000), break_year=1999)
+    """K1: an indicator's coverage over both sources, with codes decoded, components by period and denominators by era."""
+    l = _lines(spark, sf)
+    periods = spark.createDataFrame(PERIODS, "indicator string, vaccine string, dose string, year_from int, year_to int")
+    codes = spark.createDataFrame(DOSE_CODES, "label string, source_codes string, line_no int")
+    eras = spark.createDataFrame(ERAS, "year int, age_group string, state_group string, source string, source_year int")
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    births = o.groupBy(F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("uf")).agg(F.count("*").alias("births"))
+    states = table(spark, sf, "nation").select(F.col("n_nationkey").alias("uf"), F.when(F.col("n_nationkey") % 2 == 0, "A").otherwise("B").alias("state_group"))
+    out = api.coverage_series(l, l, births.select("year", "uf", (F.col("births") * 50).alias("population")), periods, "HB", years=(1994, 2001), break_year=1997,
+                              dictionaries={"dose": codes}, rules=eras, births=births, states=states)
     return out.withColumns({"year": F.col("year").cast("bigint"), "coverage_pct": F.round("coverage_pct", 6)})
 
 

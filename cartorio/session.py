@@ -5,9 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: ANSI casts raise, so the engine uses try_* functions; partition values stay text ("01", not 1).
 SEMANTIC_CONF = {
@@ -39,6 +40,14 @@ def checkpoint_folder(spark: SparkSession, own: str | None = None) -> str:
             or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """df cut from its lineage by checkpoint() in the shared folder: worked out once, and reread after a lost executor."""
+    spark = df.sparkSession
+    if spark._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}")
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable on the executors, once for each application."""
     context = spark.sparkContext
