@@ -106,6 +106,20 @@ def json_array_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return files.good_rows(files.read_json_array(spark, root, ["n_nationkey", "n_name", "n_regionkey", "absent"]))
 
 
+#: What stands behind each text, to be read as text: braces and quotes that aren't the record's own.
+NASTY = ' \\" {"a": [1, "}"]} }{ \\\\'
+
+
+@query(f"""select doc_id::varchar as doc_id, text || '{NASTY}' as text, lang, case when source is not null then '{{"source":"' || source || '"}}' end as "_rescued" from documents""")
+def json_array_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: arrays of 500 records each over several lines, every file read in ranges of 50,000 bytes."""
+    d, root = table(spark, sf, "documents"), folder(spark)
+    record = F.to_json(F.struct("doc_id", F.concat("text", F.lit(NASTY)).alias("text"), "lang", "source"), {"pretty": "true"})
+    arrays = d.groupBy(F.floor(F.col("doc_id") / 500).alias("b")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
+    arrays.repartition("b").select("value").write.text(root)
+    return files.good_rows(files.read_json_array(spark, root, ["doc_id", "text", "lang"], range_bytes=50_000))
+
+
 @query("""select s_suppkey::varchar as s_suppkey, s_name, '{"s_nationkey":"' || s_nationkey || '"}' as "_rescued" from supplier""")
 def json_lines_rescue(spark: SparkSession, sf: str) -> DataFrame:
     """A1: line-delimited records; keys that no one declared are kept."""

@@ -7,19 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartorio.schemas import BASELINE, LEDGER, MANIFEST, all_string
+from cartorio.sources.json_arrays import json_records
 
 CORRUPT = "_corrupt"
 
 
-def read_json_array(spark: SparkSession, path: str, names: list[str], lines: bool = False, rescue: bool = True) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, names: list[str], lines: bool = False, rescue: bool = True, range_bytes: int | None = None) -> DataFrame:
     """JSON records with every value as its raw text. Keys outside `names` are kept in `_rescued` where records come as
-    lines (splittable); an array file is one task, so keep publisher parts small. Bad records are kept in `_corrupt`."""
+    lines or in ranges; bad records are kept in `_corrupt`. A file of one array is one task, unless range_bytes is given: then
+    it is read in ranges of so many bytes, by as many tasks (`json_arrays.json_records`), and values that are objects or lists come
+    without white space between their parts, as from lines."""
     schema = T.StructType([*all_string(names).fields, T.StructField(CORRUPT, T.StringType())])
+    if range_bytes:
+        found = json_records(spark, path, range_bytes)
+        return _by_names(found.select(F.col("record").alias("value"), "is_whole"), names, F.col("is_whole"))
     if not lines:
         return spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     if not rescue:
         return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
-    raw = spark.read.text(path).withColumn("_m", F.from_json("value", "map<string,string>"))
+    return _by_names(spark.read.text(path), names)
+
+
+def _by_names(raw: DataFrame, names: list[str], whole: Column | None = None) -> DataFrame:
+    """The values of JSON objects in the column value, with what can't be read and what isn't asked for beside them."""
+    parsed = F.from_json("value", "map<string,string>")
+    raw = raw.select("value", (parsed if whole is None else F.when(whole, parsed)).alias("_m"))
     known = F.array(*(F.lit(n) for n in names))
     rest = F.map_filter("_m", lambda k, v: ~F.array_contains(known, k))
     return raw.select(*(F.col("_m")[n].alias(n) for n in names), F.when(F.col("_m").isNull(), F.col("value")).alias(CORRUPT),
