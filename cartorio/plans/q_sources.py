@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartorio import api, sinks
+from cartorio import api, sinks, units
 from cartorio.functions import codes as C
 from cartorio.operators import joins, sync
 from cartorio.plans.registry import folder, query, table
@@ -297,6 +297,20 @@ def replace_unit(spark: SparkSession, sf: str) -> DataFrame:
     return files.scan(spark, root).groupBy("source_unit", "o_orderstatus").agg(F.count("*").alias("n"))
 
 
+@query("""
+select case when o_orderkey % 3 = 0 then 'a' else 'b/2' end as source_unit, o_orderstatus, count(*) as n, min(o_orderkey) as least from orders
+where o_orderkey % 3 = 0 and o_orderstatus <> 'O' or o_orderkey % 3 = 1 group by 1, 2
+""")
+def atomic_replace(spark: SparkSession, sf: str) -> DataFrame:
+    """A unit is replaced; another's new version is written but its driver goes before it is made current; old ones go later."""
+    o, root = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.create_map(F.lit("k"), F.col("o_custkey")).alias("m")), folder(spark)
+    for unit, rows in (("a", "o_orderkey % 3 = 2"), ("b/2", "o_orderkey % 3 = 1"), ("a", "o_orderkey % 3 = 0 and o_orderstatus <> 'O'")):
+        sinks.replace_source_unit(o.filter(rows), root, unit, ["o_orderstatus"], salt=3)
+    units.write_version(o, root, "b/2", ["o_orderstatus"], sinks.MOST_ROWS)
+    units.remove_old(spark, root, older_than_s=0)
+    return files.scan(spark, root).groupBy(F.regexp_replace("source_unit", "%2F", "/").alias("source_unit"), "o_orderstatus").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
+
+
 @query("select count(*) as rows_in, count(*) as rows_out, 3::bigint as columns_in, 3::bigint as columns_out, true as same from supplier")
 def roundtrip_check(spark: SparkSession, sf: str) -> DataFrame:
     """What was written is what there was."""

@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio import units
+
 #: Rows in one output file at most.
 MOST_ROWS = 500_000
 
 
 def write_partitioned(df: DataFrame, root: str, keys: list[str], most_rows: int = MOST_ROWS, salt: int = 1, mode: str = "error") -> None:
     """Parquet below key=value folders, keys dropped from the file body. Rows are dealt by key, so each folder gets few
-    files; salt > 1 splits large keys (a big state) among so many tasks."""
-    by = [F.col(k) for k in keys] + ([F.pmod(F.xxhash64(*(c for c in df.columns if c not in keys)), F.lit(salt))] if salt > 1 else [])
-    df.repartition(*by).write.mode(mode).option("maxRecordsPerFile", most_rows).partitionBy(*keys).parquet(root)
+    files; salt > 1 splits large keys (a big state) among so many tasks, for which the rows are written once before."""
+    ready, more = units.dealt(df, salt)
+    (ready.repartition(*(F.col(k) for k in keys), *more).select(df.columns).write.mode(mode).option("maxRecordsPerFile", most_rows).partitionBy(*keys).parquet(root))
 
 
 def replace_source_unit(df: DataFrame, root: str, unit: str, keys: list[str], most_rows: int = MOST_ROWS, salt: int = 1) -> None:
-    """All that a source unit wrote before goes, stale keys too: the unit is the top folder and is overwritten whole.
-    salt > 1 splits its large keys among so many tasks."""
-    write_partitioned(df, f"{root.rstrip('/')}/source_unit={unit}", keys, most_rows, salt, mode="overwrite")
+    """All that a source unit wrote before goes, stale keys too, in one step once the new rows are written and counted; `files.scan`
+    reads the current ones. salt > 1 splits its large keys among so many tasks."""
+    units.replace(df, root, unit, keys, most_rows, salt)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

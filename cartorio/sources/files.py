@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartorio import units
 from cartorio.schemas import BASELINE, LEDGER, MANIFEST, all_string
 from cartorio.sources.json_arrays import json_records
 
@@ -63,9 +64,13 @@ def drop_header_row(df: DataFrame, column: str) -> DataFrame:
 
 
 def scan(spark: SparkSession, root: str, where: Column | str | None = None, superset: bool = False) -> DataFrame:
-    """Hive-partitioned Parquet below root; other files there (readme, manifest) are passed over. Key filters prune."""
+    """Hive-partitioned Parquet below root; other files there (readme, manifest) are passed over. Key filters prune. Where source
+    units have been replaced below root, their current versions are read."""
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # keys are text: 01, not 1
-    df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", superset).parquet(root)
+    if units.exists(spark, f"{root.rstrip('/')}/{units.POINTERS}"):
+        df = units.read(spark, root, superset)
+    else:
+        df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", superset).parquet(root)
     return df.filter(where) if where is not None else df
 
 
@@ -113,14 +118,9 @@ def digests(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataF
             .select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5")))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_ledger(spark: SparkSession, path: str, schema: str = LEDGER) -> DataFrame:
     """The ledger, or no rows of the same schema where there is none yet."""
-    if not _exists(spark, path):
+    if not units.exists(spark, path):
         return spark.createDataFrame([], schema)
     if path.endswith(".csv"):
         return spark.read.schema(schema).option("header", True).csv(path)
@@ -140,6 +140,6 @@ def manifest_files(manifest: DataFrame) -> DataFrame:
 
 def read_baseline(spark: SparkSession, path: str) -> DataFrame:
     """(unit, n) stored counts; no rows where there is no baseline."""
-    if not _exists(spark, path):
+    if not units.exists(spark, path):
         return spark.createDataFrame([], "unit string, n bigint")
     return spark.read.schema(BASELINE).option("multiLine", True).json(path).select(F.explode("counts").alias("unit", "n"))
