@@ -89,7 +89,7 @@ def to_do(details: DataFrame, keys: list[str], dataset: str = "dataset", statuse
 
 def validate_local(spark: SparkSession, root: str, manifest: str) -> DataFrame:
     """(path, result) of the files below root against the manifest; paths are those below root, with their folders (the
-    manifest's too, or whole ones). Files of over 2 GB can't be digested and fail the job: keep parts below that."""
+    manifest's too, or whole ones)."""
     found = digests(spark, root).withColumn("path", below(spark, F.col("path"), root))
     wanted = manifest_files(read_manifest(spark, manifest)).filter("path is not null").withColumn("path", below(spark, F.col("path"), root))
     return validate_copy(found, wanted)

@@ -84,6 +84,16 @@ def validate_copy(found: DataFrame, wanted: DataFrame) -> DataFrame:
     return f.join(w, "path", "full").select("path", result.alias("result"))
 
 
+def validate_pieces(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(path, pieces, different, first_difference): of each file on either side, by digests of its pieces (path, piece, first, sha256),
+    how many there are, how many differ or are on one side only, and the first byte of the first of these."""
+    f = found.select("path", "piece", F.col("first").alias("_f"), F.col("sha256").alias("_found"))
+    w = wanted.select("path", "piece", F.col("first").alias("_w"), F.col("sha256").alias("_wanted"))
+    bad = ~F.col("_found").eqNullSafe(F.col("_wanted"))
+    return (f.join(w, ["path", "piece"], "full").groupBy("path")
+            .agg(F.count("*").alias("pieces"), F.count_if(bad).alias("different"), F.min(F.when(bad, F.coalesce("_f", "_w"))).alias("first_difference")))
+
+
 def same_after_write(df: DataFrame, path: str) -> DataFrame:
     """(rows_in, rows_out, columns_in, columns_out, same) of a frame and what was written of it."""
     back = df.sparkSession.read.option("pathGlobFilter", "*.parquet").parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from cartorio.functions import codes as C
 from cartorio.operators import joins, sync
 from cartorio.plans.registry import folder, query, table
 from cartorio.schemas import LEDGER
-from cartorio.sources import dbf, dictionaries, files
+from cartorio.sources import dbf, dictionaries, files, streams
 from cartorio.streaming import incremental
 
 
@@ -130,18 +131,53 @@ def json_lines_rescue(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""select n_nationkey::varchar as "NATIONKEY", n_name as "NAME", case when n_regionkey <> 3 then n_regionkey::varchar end as "REGIONKEY" from nation""")
 def dbf_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """A5: a fixed-width dBase file of the 25 nations, written here and read in record ranges."""
-    from pyarrow import fs
-
-    rows = table(spark, sf, "nation").limit(1000).collect()
-    body = dbf.dbf_bytes([("NATIONKEY", 4), ("NAME", 25), ("REGIONKEY", 4)],
-                         [(str(r[0]), r[1], str(r[2]) if r[2] != 3 else None) for r in rows])
+    """A5: a fixed-width dBase file of the nations, written by a task and read in ranges of ten records."""
     root = folder(spark)
-    system, path = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root.removeprefix("file:"))
-    system.create_dir(path)
-    with system.open_output_stream(f"{path}/NATION.DBF") as f:
-        f.write(body)
-    return dbf.read_dbf(spark, f"{root}/NATION.DBF")
+    n = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("NATIONKEY"), F.col("n_name").alias("NAME"),
+                                          F.when(F.col("n_regionkey") != 3, F.col("n_regionkey").cast("string")).alias("REGIONKEY"))
+    write_dbf(n.withColumn("file", F.lit("NATION.DBF")), root, "file", [("NATIONKEY", 4), ("NAME", 25), ("REGIONKEY", 4)])
+    return dbf.read_dbf(spark, f"{root}/NATION.DBF", records=10)
+
+
+def write_dbf(df: DataFrame, root: str, file: str, fields: list[tuple[str, int]]) -> int:
+    """A dBase file of each value of the column `file`, written by a task each; returns how many rows."""
+    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        system, path = streams.store(root)
+        system.create_dir(path)
+        with system.open_output_stream(f"{path}/{key[0]}") as f:
+            f.write(dbf.dbf_bytes(fields, list(rows[[n for n, _ in fields]].astype(object).where(rows.notna(), None).itertuples(index=False, name=None))))
+        return pd.DataFrame({"n": [len(rows)]})
+
+    return df.groupBy(file).applyInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+@query("""select o_orderkey % 7 as file, count(*) as n, cast(sum(o_orderkey) as bigint) as keys from orders where o_orderstatus in ('F', 'P') and o_orderkey % 7 <> 5 group by 1""")
+def dbf_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: a tree of dBase files, each read in ranges; only two columns and two of three statuses are decoded."""
+    root, o = folder(spark), table(spark, sf, "orders")
+    rows = o.select(F.format_string("part=%d-%d.dbf", F.col("o_orderkey") % 7, F.floor(F.col("o_orderkey") / 100_000)).alias("file"), F.col("o_orderkey").cast("string").alias("KEY"), F.col("o_orderstatus").alias("STATUS"),
+                    F.substring("o_orderpriority", 1, 10).alias("PRIORITY"))
+    write_dbf(rows.filter("file not like 'part=5-%'"), root, "file", [("KEY", 12), ("STATUS", 1), ("PRIORITY", 10)])
+    write_dbf(rows.filter("file like 'part=5-%'").select("file", "KEY"), root, "file", [("KEY", 12)])  # without the column that is asked for
+    back = dbf.read_dbf_folder(spark, root, ["KEY"], equals={"STATUS": ["F", "P"]}, records=1000)
+    key = F.col("KEY").cast("bigint")
+    return back.groupBy((key % 7).alias("file")).agg(F.count("*").alias("n"), F.sum(key).alias("keys"))
+
+
+@query("""
+with c as (select s_nationkey, string_agg(s_name || ':' || s_suppkey, ';' order by s_suppkey) || chr(10) as body from supplier group by 1)
+select s_nationkey, k as piece, sha256(substr(body, 64 * k + 1, 64)) as sha256, sha256(body) as whole, strlen(body) as size_bytes
+from (select *, unnest(range(0, (strlen(body) + 63) // 64)) as k from c)
+""")
+def digest_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """A file for each nation, hashed as a stream and in pieces of 64 bytes."""
+    root, s = folder(spark), table(spark, sf, "supplier")
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", "s_name"))), lambda x: F.concat(x["s_name"], F.lit(":"), x["s_suppkey"].cast("string"))), ";")
+    s.groupBy("s_nationkey").agg(body.alias("value")).repartition("s_nationkey").write.partitionBy("s_nationkey").text(root)
+    whole = files.digests(spark, root, "*.txt", whole=0).select("path", F.col("sha256").alias("whole"), "size_bytes")
+    parts = files.piece_digests(spark, root, "*.txt", 64).select("path", "piece", "sha256")
+    nation = F.regexp_extract("path", r"s_nationkey=(\d+)", 1).cast("bigint")
+    return parts.join(whole, "path").select(nation.alias("s_nationkey"), "piece", "sha256", "whole", "size_bytes")
 
 
 @query("""

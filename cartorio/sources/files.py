@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from cartorio import units
 from cartorio.schemas import BASELINE, LEDGER, MANIFEST, all_string
+from cartorio.sources import streams
 from cartorio.sources.json_arrays import json_records
 
 CORRUPT = "_corrupt"
@@ -107,15 +108,32 @@ def below(spark: SparkSession, path: Column, root: str) -> Column:
 
 
 def inventory(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, size_bytes, modified) of the files below root."""
+    """(path, size_bytes, modified) of the files below root; Spark lists no empty ones."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
             .select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")))
 
 
-def digests(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
-    """(path, size_bytes, sha256, md5) of each file below root; a file must fit a binary value (2 GB)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-            .select("path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5")))
+#: Files of more bytes are hashed as streams.
+WHOLE = 128 << 20
+#: Bytes of a piece that is hashed by itself.
+PIECE = 64 << 20
+
+
+def digests(spark: SparkSession, root: str, pattern: str = "*.parquet", whole: int = WHOLE) -> DataFrame:
+    """(path, size_bytes, sha256, md5) of each file below root, of any size. Files of up to `whole` bytes come as values, from any
+    store that Spark reads; larger ones are streamed, each by one task, from stores that tasks can open (`streams.known`)."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+             .withColumnRenamed("length", "size_bytes"))
+    values = found.filter(F.col("size_bytes") <= whole).select("path", "size_bytes", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    large = found.filter(F.col("size_bytes") > whole).select("path", F.lit(0).cast("long").alias("first"), "size_bytes")
+    return values.unionByName(streams.hashed(large).drop("first"))
+
+
+def piece_digests(spark: SparkSession, root: str, pattern: str = "*.parquet", size: int = PIECE) -> DataFrame:
+    """(path, piece, first, size_bytes, sha256) of parts of `size` bytes of each file below root: one file is checked by many tasks,
+    and a difference is found within a part. (SHA-256 of a whole file can't be put together from them.)"""
+    parts = streams.pieces(inventory(spark, root, pattern), size)
+    return streams.hashed(parts).withColumn("piece", F.floor(F.col("first") / size)).select("path", "piece", "first", "size_bytes", "sha256")
 
 
 def read_ledger(spark: SparkSession, path: str, schema: str = LEDGER) -> DataFrame:

@@ -54,14 +54,13 @@ def test_dictionary_file(spark, tmp_path):
     assert dictionaries.count_faults(dictionaries.read_code_dictionary(spark, str(tmp_path / "d.cnv"))).count() == 0
 
 
-def test_dbf(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(dbf, "RECORDS", 2)
+def test_dbf(spark, tmp_path):
     rows = [("12", "Acre é"), ("13", None), ("14", "Amapá"), ("15", "x" * 30), ("16", "")]
     (tmp_path / "t.dbf").write_bytes(dbf.dbf_bytes([("UF", 2), ("NOME", 20)], rows))
     from cartorio.session import ship
 
     ship(spark)
-    got = [tuple(r) for r in dbf.read_dbf(spark, str(tmp_path / "t.dbf")).orderBy("UF").collect()]
+    got = [tuple(r) for r in dbf.read_dbf(spark, str(tmp_path / "t.dbf"), records=2).orderBy("UF").collect()]
     assert got == [("12", "Acre é"), ("13", None), ("14", "Amapá"), ("15", "x" * 20), ("16", None)]
     (tmp_path / "e.dbf").write_bytes(dbf.dbf_bytes([("UF", 2)], []))
     assert dbf.read_dbf(spark, str(tmp_path / "e.dbf")).count() == 0
