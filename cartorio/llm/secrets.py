@@ -3,7 +3,8 @@
 A worklist starts with the text. Each layer is scanned; then it is decoded to new layers, unless a layer of that content
 at that place was seen for this text already (which ends cycles). All percent escapes, or all \\u escapes, are decoded
 at once over the whole layer; base64 runs, over line breaks and at each of the four alignments, are layers of their own, as
-is zlib or gzip data in decoded bytes. Compressed data is read as a stream, in pieces that end where no finding or run can
+is zlib, gzip, bz2 or xz data in decoded bytes, and deflate data without a head that they begin with. Other escapes (HTML, quoted-printable),
+other base64 letters, base32, hex, zstd, lz4 and archives' directories are out. Compressed data is read as a stream, in pieces that end where no finding or run can
 stand, so that memory doesn't grow with what it unpacks to; nothing of it is left out. Each letter of a layer keeps its place in the text itself: exact for escapes and base64,
 the whole run for compressed data. A finding that touches nothing decoded by its layer's step is its parent's and not repeated.
 Base findings always stay.
@@ -12,14 +13,16 @@ Base findings always stay.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +37,19 @@ LEAST_VALUE, LEAST_ACCESS = 8, 16
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 PERCENT_RUN = re.compile(r"[^\s%\"'<>]?%[0-9A-Fa-f]{2}(?:[^\s%\"'<>]|%[0-9A-Fa-f]{2})*")  # one letter before: zlib data starts with x
-ESCAPED = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
+#: Code points as \\uXXXX (or two of them), \\u{X...}, \\UXXXXXXXX, \\xXX and %uXXXX.
+ESCAPED = re.compile(r"[\\%]u[dD][89abAB][0-9A-Fa-f]{2}[\\%]u[dD][c-fC-F][0-9A-Fa-f]{2}|[\\%]u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
+ESCAPES = ("\\u", "\\U", "\\x", "%u")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
 NO_BASE64 = re.compile(r"[^A-Za-z0-9+/_-]")
 BASE64_LETTER = np.array([bool(re.match("[A-Za-z0-9+/_-]", chr(c))) for c in range(128)])
 PERCENT_BYTE = re.compile(rb"%([0-9A-Fa-f]{2})")
-PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: A zlib stream begins with two bytes: method 8 and a window of at most 32 KB, no dictionary, and together a multiple of 31.
+ZLIB = [re.escape(bytes([a])) + b"[" + b"".join(re.escape(bytes([b])) for b in range(256) if (256 * a + b) % 31 == 0 and not b & 0x20) + b"]" for a in range(0x08, 0x80, 0x10)]
+PACKED = re.compile(b"|".join([rb"\x1f\x8b\x08", rb"BZh[1-9](?:1AY&SY|\x17rE8P\x90)", rb"\xfd7zXZ\0", *ZLIB]))
+LONGEST_HEAD = 10
+#: Memory that an xz stream may ask for at most; others are out.
+MOST_XZ = 80 << 20
 #: Bytes that are unpacked at once, and of a piece of a stream.
 STEP, PIECE = 1 << 16, 1 << 19
 #: Bytes that no finding, escape or base64 run holds: a stream may be cut after them.
@@ -131,6 +141,10 @@ def _percent(run: str) -> tuple[str, np.ndarray]:
 
 
 def _unit(run: str) -> tuple[str, np.ndarray]:
+    if run[1] in "Ux" or run[2] == "{":
+        code = int(run[2:].strip("{}"), 16)
+        return (chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"), np.array([len(run)])
+    run = run.replace("%u", "\\u")
     out = b"".join(int(u, 16).to_bytes(2, "little") for u in run.split("\\u")[1:]).decode("utf-16-le", "replace")
     return out[:1], np.array([len(run)])
 
@@ -148,28 +162,56 @@ def _last_cut(raw: np.ndarray) -> int:
     return int(at[-1]) + 1 if len(at) else 0
 
 
+class _Buffered:
+    """A bz2 or xz stream as zlib's objects are: what it can't give out at once it keeps."""
+
+    unconsumed_tail = b""
+
+    def __init__(self, z: bz2.BZ2Decompressor | lzma.LZMADecompressor):
+        self.z = z
+
+    eof = property(lambda self: self.z.eof)
+    unused_data = property(lambda self: self.z.unused_data)
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        return self.z.decompress(data, most)
+
+
+def _opened(data: bytes) -> zlib._Decompress | _Buffered | None:
+    """What reads a stream that begins so."""
+    if not PACKED.match(data):
+        return None
+    if data[:3] == b"BZh":
+        return _Buffered(bz2.BZ2Decompressor())
+    if data[:1] == b"\xfd":
+        return _Buffered(lzma.LZMADecompressor(lzma.FORMAT_XZ, memlimit=MOST_XZ))
+    return zlib.decompressobj(47)
+
+
 class _Unpacker:
-    """Reads one zlib stream, or gzip members that follow each other, fed in parts; yields the layers of what they hold."""
+    """Reads one compressed stream, or some that follow each other, fed in parts; yields the layers of what they hold. raw: deflate
+    data without any head, just one stream."""
 
-    def __init__(self, lo: int, hi: int, path: str, above: frozenset[bytes]):
-        self.pieces, self.z, self.held, self.done, self.some, self.used = _Pieces(lo, hi, path, above), None, b"", False, False, 0
+    def __init__(self, lo: int, hi: int, path: str, above: frozenset[bytes], raw: bool = False):
+        self.pieces, self.held, self.done, self.some, self.used = _Pieces(lo, hi, path, above), b"", False, False, 0
+        self.z, self.raw = zlib.decompressobj(-15) if raw else None, raw
 
     def feed(self, data: bytes) -> Iterator[Layer]:
         data, self.held = self.held + data, b""
         more = True
         while more and not self.done:
             if self.z is None:
-                if len(data) < 3 and self.some:
+                if len(data) < LONGEST_HEAD and self.some and not self.raw:
                     self.held = data
                     return
-                if not PACKED.match(data):
+                self.z = None if self.raw else _opened(data)
+                if self.z is None:
                     self.done = True
                     return
-                self.z = zlib.decompressobj(47)
             before = len(data)
             try:
                 out = self.z.decompress(data, STEP)
-            except zlib.error:
+            except (zlib.error, OSError, EOFError, lzma.LZMAError):
                 self.done = True
                 return
             data = self.z.unused_data if self.z.eof else self.z.unconsumed_tail
@@ -208,7 +250,7 @@ class _Pieces:
                 yield from u.close()
         self.inner = [u for u in self.inner if not u.done]
         self.read += len(part)
-        self.end = near[-2:]
+        self.end = near[1 - LONGEST_HEAD :]
         self.held += part
         if len(self.held) >= self.least:
             cut = _last_cut(np.frombuffer(bytes(self.held), np.uint8))
@@ -247,6 +289,13 @@ def _packed(raw: bytes, lo: int, hi: int, path: str) -> Iterator[Layer]:
         yield from u.close()
         if u.some:
             at = max(at, begin + u.used)
+    if at == 0 and len(raw) > 2:  # nothing begins as a stream does: deflate data may do without
+        u = _Unpacker(lo, hi, f"{path}/deflate", frozenset([_head(raw[:STEP])]), raw=True)
+        for k in range(0, len(raw), STEP):
+            yield from u.feed(raw[k : k + STEP])
+            if u.done:
+                break
+        yield from u.close()
 
 
 def _layers(raw: bytes, start: np.ndarray, end: np.ndarray, path: str) -> Iterator[Layer]:
@@ -272,7 +321,7 @@ def decoded(layer: Layer) -> Iterator[Layer]:
                 raw = PERCENT_BYTE.sub(lambda x: bytes([int(x[1], 16)]), m[0].encode(errors="replace"))
                 lo, hi = layer.place(*m.span())
                 yield from _packed(raw, lo, hi, f"{layer.path}/percent")
-    if "\\u" in text and (out := _spliced(layer, "u", ESCAPED, _unit)) is not None:
+    if any(e in text for e in ESCAPES) and (out := _spliced(layer, "u", ESCAPED, _unit)) is not None:
         yield out
     for m in BASE64.finditer(text):
         if not layer.touched(*m.span()):
@@ -318,7 +367,7 @@ def findings(text: str | None) -> tuple[list[Span], list[tuple]]:
     text = text or ""
     base = scan(text)
     found = {f: (*f, "", f[1], f[2]) for f in base}
-    if not ("%" in text or "\\u" in text or BASE64.search(text)):
+    if not ("%" in text or any(e in text for e in ESCAPES) or BASE64.search(text)):
         return base, list(found.values())
     every = np.arange(len(text) + 1)
     first = Layer(text, every[:-1], every[1:], np.ones(len(text), bool))
@@ -355,16 +404,20 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null is empty and has none. Each row is scanned by itself, however long: repeated rows get equal results, null ids stay, no rows
     give none. Findings that begin at one place stand in the order of KINDS. Only the two named columns are read."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lists(found: list[list[tuple]], names: tuple[str, ...]) -> pa.Array:
+        flat = [f for part in found for f in part]
+        columns = [pa.array([f[k] for f in flat], pa.string() if n in ("kind", "path") else pa.int32()) for k, n in enumerate(names)]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.StructArray.from_arrays(columns, list(names)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [findings(t) for t in b["text"]]
-            dicts = [[[dict(zip(names, f, strict=True)) for f in part[i]] for part in found] for i, names in enumerate((NAMES[:3], NAMES))]
-            yield pd.DataFrame({"id": b["id"], "base": dicts[0], "spans": dicts[1]})
+            found = [findings(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), lists([f[0] for f in found], NAMES[:3]), lists([f[1] for f in found], NAMES)], ["id", "base", "spans"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     one = "array<struct<kind:string,start:int,end:int>>"
     more = "array<struct<kind:string,start:int,end:int,path:string,inner_start:int,inner_end:int>>"
-    return lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
+    return lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, base {one}, spans {more}").withColumnRenamed("id", id_col)
 
 

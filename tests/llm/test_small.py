@@ -1,8 +1,10 @@
 """Operators on small fixtures, against plain versions of themselves."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import tracemalloc
@@ -185,9 +187,21 @@ def nested(inner):
     yield b64(gzip.compress(inner.encode()))
     yield b64(zlib.compress(b64(inner.encode()).encode()))
     yield quote(b64(("".join(f"\\u{ord(c):04x}" for c in inner)).encode()), safe="")
-
-
-@pytest.mark.parametrize("k", range(6))
+    yield "".join(f"\\u{{{ord(c):x}}}" for c in inner)
+    yield "".join(f"\\U{ord(c):08x}" for c in inner)
+    yield "".join(f"%u{ord(c):04X}" for c in inner)
+    yield "".join(f"\\x{ord(c):02x}" for c in inner)
+    for window in (9, 12, 14):
+        z = zlib.compressobj(wbits=window)
+        yield b64(z.compress(inner.encode()) + z.flush())
+    yield b64(bz2.compress(inner.encode()))
+    yield b64(lzma.compress(inner.encode()))
+    z = zlib.compressobj(wbits=-15)
+    yield b64(z.compress(inner.encode()) + z.flush())
+    yield b64(b"head of a file " + bz2.compress(b64(lzma.compress(inner.encode())).encode()))
+
+
+@pytest.mark.parametrize("k", range(17))
 def test_layers_are_unwrapped_and_placed(k):
     run = list(nested(f"see password={'z9' * 5} and {KEY}"))[k]
     text = "é before " + run + " after"
