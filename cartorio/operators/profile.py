@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartorio.session import materialised
 
-def _unfold(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, value) of every cell, each table row read once."""
+
+def unfold(df: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """(column_name, value), beside the columns to keep, of every cell, each table row read once."""
     cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns))
-    return df.select(F.explode(cells).alias("c")).select("c.*")
+    return df.select(*keep, F.explode(cells).alias("c")).select(*keep, "c.*")
 
 
 def profile(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
@@ -20,7 +22,7 @@ def profile(df: DataFrame, columns: list[str], approximate: bool = False) -> Dat
     full = F.when((F.col("value") != ""), F.col("value"))
     share = lambda p: F.avg(F.when(full.isNotNull(), full.rlike(p).cast("int")))
     distinct = F.approx_count_distinct("value") if approximate else F.count_distinct("value")
-    return _unfold(df, columns).groupBy("column_name").agg(
+    return unfold(df, columns).groupBy("column_name").agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("value").isNull()).alias("nulls"), F.count_if(F.col("value") == "").alias("empties"),
         distinct.alias("distinct_values"), F.coalesce(F.max(full.rlike("^0[0-9]+$")), F.lit(False)).alias("leading_zero"),
         share(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}").alias("date_share"), share("^-?[0-9]+$").alias("integer_share"), share(r"^-?[0-9]+([.,][0-9]+)?$").alias("numeric_share"),
@@ -46,7 +48,7 @@ def suffix_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def null_share(df: DataFrame, columns: list[str]) -> DataFrame:
-    return _unfold(df, columns).groupBy("column_name").agg(
+    return unfold(df, columns).groupBy("column_name").agg(
         F.count_distinct("value").alias("distinct_values"), F.count_if(F.col("value").isNull()).alias("nulls"),
         (F.count_if(F.col("value").isNull()) * 100.0 / F.count("*")).alias("null_pct"))
 
@@ -54,7 +56,7 @@ def null_share(df: DataFrame, columns: list[str]) -> DataFrame:
 def misdecoded(df: DataFrame, columns: list[str]) -> DataFrame:
     """Values that show UTF-8 read as Latin-1, or replacement characters, for each column."""
     bad = F.col("value").contains("Ã") | F.col("value").contains("�")
-    return _unfold(df, columns).groupBy("column_name").agg(F.count_if(bad).alias("misdecoded"))
+    return unfold(df, columns).groupBy("column_name").agg(F.count_if(bad).alias("misdecoded"))
 
 
 def compare_formats(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -66,3 +68,32 @@ def compare_formats(a: DataFrame, b: DataFrame, key: str, columns: list[str]) ->
         F.count_if(F.col("a").eqNullSafe(F.col("b"))).alias("equal"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("different"),
         F.count_if(F.col("b").rlike(r"\.[0-9]+$") & ~F.col("a").rlike(r"\.[0-9]+$")).alias("float_suffix"),
         F.count_if(F.col("a").rlike("^0") & ~F.col("b").rlike("^0")).alias("lost_zero"))
+
+
+def _row_digests(df: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
+    """(bucket, rows, sum, xor): digests of the bucket's rows that don't hang on their order. Nulls count as a value of their own."""
+    marked = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (key, *columns)]
+    h, g = F.xxhash64(*marked), F.xxhash64(*reversed(marked))
+    return df.groupBy(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).alias("bucket")).agg(
+        F.count("*").alias("rows"), F.sum(h.cast("decimal(38,0)")).alias("sum"), F.bit_xor(g).alias("xor"))
+
+
+def differing_buckets(a: DataFrame, b: DataFrame, key: str, columns: list[str], buckets: int = 4096) -> DataFrame:
+    """(bucket, rows_a, rows_b, same) of all buckets of keys on either side, by digests: one row a bucket and map task is shuffled."""
+    x = _row_digests(a, key, columns, buckets).select("bucket", F.col("rows").alias("rows_a"), F.struct("rows", "sum", "xor").alias("_a"))
+    y = _row_digests(b, key, columns, buckets).select("bucket", F.col("rows").alias("rows_b"), F.struct("rows", "sum", "xor").alias("_b"))
+    return x.join(y, "bucket", "full").select("bucket", F.coalesce("rows_a", F.lit(0)).alias("rows_a"), F.coalesce("rows_b", F.lit(0)).alias("rows_b"),
+                                              F.col("_a").eqNullSafe(F.col("_b")).alias("same"))
+
+
+def compare_by_digests(a: DataFrame, b: DataFrame, key: str, columns: list[str], buckets: int = 4096) -> DataFrame:
+    """The result of compare_formats for unique keys, of which only the buckets that differ are joined field by field: the others'
+    rows are equal in all fields (two digests of 64 bits agree)."""
+    found = materialised(differing_buckets(a, b, key, columns, buckets))
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets))
+    differ = F.broadcast(found.filter(~F.col("same")).select(F.col("bucket").alias("_bucket")))  # at most `buckets` numbers
+    some = [df.join(differ, bucket == F.col("_bucket"), "left_semi") for df in (a, b)]
+    equal = found.filter("same").agg(F.coalesce(F.sum("rows_a"), F.lit(0)).alias("_n"))
+    names = equal.select("_n", F.explode(F.array(*(F.lit(c) for c in columns))).alias("column_name"))
+    return (compare_formats(*some, key, columns).join(names, "column_name", "right")
+            .select("column_name", (F.coalesce("equal", F.lit(0)) + F.col("_n")).alias("equal"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("different", "float_suffix", "lost_zero"))))

@@ -10,8 +10,9 @@ from cartorio.operators import joins as J
 from cartorio.operators import sets
 from cartorio.operators.ranges import in_periods
 from cartorio.plans.q_aggregates import LINES_SQL, _lines
-from cartorio.plans.registry import query, table
-from cartorio.sources.files import first_n
+from cartorio.plans.registry import folder, query, table
+from cartorio.sinks import write_partitioned
+from cartorio.sources.files import first_n, scan
 
 
 def _dictionary(spark: SparkSession, sf: str) -> DataFrame:
@@ -254,11 +255,13 @@ def subset_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("select o_orderkey from orders where (year(o_orderdate), o_orderstatus) in (select (1996, 'F') union select (1998, 'O'))")
 def sampled_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Chosen years and states."""
+    """Chosen years and states of a partitioned tree."""
     from cartorio.sources.files import sampled_scan as pick
 
-    chosen = spark.createDataFrame([(1996, "F"), (1998, "O")], "year int, o_orderstatus string")
-    return pick(table(spark, sf, "orders").withColumn("year", F.year("o_orderdate")), chosen, ["year", "o_orderstatus"]).select("o_orderkey")
+    chosen = spark.createDataFrame([("1996", "F"), ("1998", "O")], "year string, o_orderstatus string")
+    root = folder(spark)
+    write_partitioned(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year")), root, ["year", "o_orderstatus"])
+    return pick(scan(spark, root), chosen, ["year", "o_orderstatus"]).select("o_orderkey")
 
 
 @query("select event_id, event_type from events order by event_id limit 50")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,9 +90,27 @@ def select_present(df: DataFrame, wanted: list[str]) -> DataFrame:
     return df.select(*(c for c in wanted if c in df.columns))
 
 
+#: Chosen partitions that become predicates of the scan at most.
+CHOSEN = 2_000
+
+
 def sampled_scan(df: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the chosen partitions; the join prunes partitions at run time."""
-    return df.join(chosen.select(*keys).distinct(), keys, "left_semi")
+    """Rows of the chosen partitions. A few chosen keys (their count is checked) become literal predicates, so that a scan
+    partitioned by them lists and reads only their folders; more are joined, and then all folders are read."""
+    found = chosen.select(*keys).distinct()
+    few = found.limit(CHOSEN + 1).collect()
+    if len(few) > CHOSEN:
+        return df.join(found, keys, "left_semi")
+    whole = [r for r in few if None not in tuple(r)]
+    if not whole:
+        return df.filter(F.lit(False))
+    # Each key's values by themselves prune too where a filter of several columns can't; both together are exact.
+    where = F.lit(True)
+    for k in keys:
+        where = where & F.col(k).isin(sorted({r[k] for r in whole}))
+    if len(keys) > 1:
+        where = where & reduce(or_, (reduce(and_, (F.col(k) == r[k] for k in keys)) for r in whole))
+    return df.filter(where)
 
 
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartorio import units
 from cartorio.operators.joins import unprocessed
 from cartorio.operators.sync import classify_unit
-from cartorio.sinks import replace_source_unit
+from cartorio.sinks import MOST_ROWS, replace_source_unit
 
 
 def ingest_new(spark: SparkSession, source: str, schema: T.StructType, target: str, checkpoint: str, kind: str = "parquet", files: int = 4,
@@ -42,3 +43,23 @@ def reprocess(read: Callable[[str], DataFrame], root: str, units: list[str], key
     """Replaces each changed unit as a whole; corrections may be years old, so no watermark applies."""
     for unit in units:
         replace_source_unit(read(unit), root, unit, keys, salt=salt)
+
+
+def follow(spark: SparkSession, snapshots: str, schema: str, root: str, checkpoint: str, read: Callable[[str], DataFrame], keys: list[str], files: int = 100, salt: int = 1,
+           kind: str = "json") -> None:
+    """Follows inventory snapshots (unit, exists, etag, size_bytes, seen) as files that come, and replaces each unit that is new or
+    changed, once.
+
+    Of several sightings in a batch the last counts. What has been done is what the units' own pointers say, which change in the
+    same step as the rows: after a run that was killed anywhere, units that were made current aren't written again, and the
+    others are, whether or not the stream had noted the batch. A batch is `files` snapshots at most; its changed units are
+    worked through one after the other, each as a job of its own.
+    """
+    def batch(found: DataFrame, _: int) -> None:
+        w = Window.partitionBy("unit").orderBy(F.col("seen").desc(), F.col("etag").desc_nulls_last())
+        last = found.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+        for r in units_to_process(last, units.current(found.sparkSession, root)).orderBy("unit").collect():
+            units.replace(read(r["unit"]), root, r["unit"], keys, MOST_ROWS, salt, {"etag": r["etag"], "size_bytes": r["size_bytes"]})
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(kind).load(snapshots)
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

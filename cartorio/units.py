@@ -1,6 +1,7 @@
 """Source units that are replaced in one step: each writing has a folder of its own, and a small pointer says which one counts.
 
-Below a root lie `source_unit=<unit>/version=<id>/<key>=<value>/...` and `_units/<unit>`, one line of JSON each: unit, version, rows.
+Below a root lie `source_unit=<unit>/version=<id>/<key>=<value>/...` and `_units/<unit>`, one line of JSON each: unit, version, rows, and the tag and size
+of the source that was read, if told: the ledger of a unit can't be older or newer than its rows.
 A writing that fails, or a driver that dies before the pointer is renamed, leaves what was there as it was.
 """
 
@@ -19,7 +20,7 @@ from cartorio.session import materialised
 
 #: Where the pointers are, below a root; Spark's listings pass over names that begin so.
 POINTERS = "_units"
-POINTER = "unit string, version string, rows bigint"
+POINTER = "unit string, version string, rows bigint, etag string, size_bytes bigint"
 
 
 class WriteMismatch(RuntimeError):
@@ -67,14 +68,14 @@ def write_version(df: DataFrame, root: str, unit: str, keys: list[str], most_row
     return version, rows
 
 
-def commit(spark: SparkSession, root: str, unit: str, version: str, rows: int) -> None:
+def commit(spark: SparkSession, root: str, unit: str, version: str, rows: int, source: dict[str, object] | None = None) -> None:
     """Makes a version the unit's current one: its pointer is written beside the old one and renamed over it, which readers see
     as one step."""
     folder = f"{root.rstrip('/')}/{POINTERS}"
     fs, target = _fs(spark, f"{folder}/{_name(unit)}")
     _, fresh = _fs(spark, f"{folder}/.{_name(unit)}-{uuid.uuid4().hex}")
     out = fs.create(fresh, True)
-    out.write(bytearray((json.dumps({"unit": unit, "version": version, "rows": rows}) + "\n").encode()))
+    out.write(bytearray((json.dumps({"unit": unit, "version": version, "rows": rows, **(source or {})}) + "\n").encode()))
     out.close()
     jvm = spark._jvm
     options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
@@ -82,15 +83,16 @@ def commit(spark: SparkSession, root: str, unit: str, version: str, rows: int) -
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(fresh), fs.makeQualified(target), options)
 
 
-def replace(df: DataFrame, root: str, unit: str, keys: list[str], most_rows: int, salt: int = 1) -> str:
-    """Writes, verifies and makes current. Until the last step, and if anything fails before it, readers see the old rows."""
+def replace(df: DataFrame, root: str, unit: str, keys: list[str], most_rows: int, salt: int = 1, source: dict[str, object] | None = None) -> str:
+    """Writes, verifies and makes current. Until the last step, and if anything fails before it, readers see the old rows.
+    source: the etag and size_bytes of what was read."""
     version, rows = write_version(df, root, unit, keys, most_rows, salt)
-    commit(df.sparkSession, root, unit, version, rows)
+    commit(df.sparkSession, root, unit, version, rows, source)
     return version
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
-    """(unit, version, rows) of each unit that has been committed below root: as many rows as there are units."""
+    """(unit, version, rows, etag, size_bytes) of each unit that has been committed below root: as many rows as there are units."""
     if not exists(spark, f"{root.rstrip('/')}/{POINTERS}"):
         return spark.createDataFrame([], POINTER)
     return spark.read.schema(POINTER).option("pathGlobFilter", "[!.]*").json(f"{root.rstrip('/')}/{POINTERS}")
