@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 
 from cartorio.llm.frames import lean, reliable
 from cartorio.llm.suffix_order import suffix_orders
-from cartorio.llm.text import BASE, BASE_INVERSE, mix, powers, utf8
+from cartorio.llm.text import BASE, BASE_INVERSE, chunks, mix, powers, utf8
 
 GRAM = 16
 #: The upper 48 bits of an anchor's hash are its key.
 KEY_BITS = np.uint64(~0xFFFF & (1 << 64) - 1)
 #: Bytes of text in a bucket, about; anchors that a map task gathers before it passes them on; letters sorted at once.
 BUCKET_BYTES, GATHERED, SORTED_AT_ONCE = 4 << 20, 1_500_000, 2_000_000
+#: Windows that are matched at once, and strings that are looked at together, of an anchor that can't be sorted at once.
+WINDOWS_AT_ONCE, ROWS_AT_ONCE = 2_000_000, 16_384
 #: Anchors in more documents than this go window by window: at most (all anchors / HOT) are told to every task.
 HOT = 1_000_000
 
@@ -415,15 +417,18 @@ def shared_stretches(contents: list[bytes], length: int) -> tuple[np.ndarray, np
 
 
 def owners(contents: list[bytes], anchor: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
-    """For each string (a row) and each window in it (a column) the least document of any string under the same anchor that
-    holds the window; `least` are the strings' own. Strings of one anchor stand side by side.
+    """For each string (a row) and each window in it (a column) the least of the numbers (`least`, the strings' own) of any string
+    under the same anchor that holds the window. Strings of one anchor stand side by side.
 
     Stretches of windows that another string may hold are sorted: equal windows are neighbours in the order of all suffixes of an
     anchor's stretches, and are compared byte by byte. An anchor with over SORTED_AT_ONCE letters, of which no task could hold the
-    order, has its windows matched by two hashes of 64 bits."""
+    order, has its windows matched by hashes, WINDOWS_AT_ONCE of them at a time, and compared byte by byte as well."""
     full = np.repeat(least[:, None], length, 1)
     sizes = np.array([len(c) for c in contents])
     for lo, hi in _blocks(anchor, sizes):
+        if sizes[lo:hi].sum() > SORTED_AT_ONCE:
+            _match_owners(contents[lo:hi], least[lo:hi], length, full[lo:hi])
+            continue
         string, first, windows = shared_stretches(contents[lo:hi], length)
         string += lo
         for a, b in _blocks(anchor[string], windows + length):
@@ -432,6 +437,49 @@ def owners(contents: list[bytes], anchor: np.ndarray, least: np.ndarray, length:
     return full
 
 
+def _match_owners(contents: list[bytes], least: np.ndarray, length: int, full: np.ndarray) -> None:
+    """Puts the owners of all windows of one anchor's strings into `full`, in memory of some hundred bytes a string: windows are
+    dealt to parts by their ends, equal ones to one, and a part is sorted by hash."""
+    sizes = np.array([len(c) for c in contents])
+    text = np.frombuffer(b"".join([*contents, bytes(8)]), np.uint8)
+    begin, windows = np.cumsum(sizes) - sizes, sizes - length + 1
+    eight = np.ndarray((len(text) - 7,), "<u8", text.data, strides=(1,))
+    steps = (*range(0, length - 8, 8), length - 8)
+    parts = np.uint64(-(-int(windows.sum()) // WINDOWS_AT_ONCE))
+    for part in range(int(parts)):
+        found = []
+        for lo in range(0, len(contents), ROWS_AT_ONCE):
+            w = windows[lo : lo + ROWS_AT_ONCE]
+            row = np.repeat(np.arange(lo, lo + len(w), dtype=np.int32), w)
+            inner = (np.arange(len(row)) - np.repeat(np.cumsum(w) - w, w)).astype(np.int32)
+            at = begin[row] + inner
+            own = np.flatnonzero(mix(eight[at] ^ mix(eight[at + length - 8])) % parts == part)
+            at = at[own]
+            h = np.zeros(len(at), np.uint64)
+            for k in steps:
+                h = mix(h + eight[at + k])
+            found.append((h, at, row[own], inner[own]))
+        h, at, row, inner = (np.concatenate(c) for c in zip(*found, strict=True))
+        if not len(h):
+            continue
+        order = np.argsort(h, kind="stable")
+        same = _equal(eight, at[order], steps)
+        if (same < (h[order[1:]] == h[order[:-1]])).any():  # two windows with one hash: by their bytes instead
+            order = np.lexsort([eight[at + k] for k in steps])
+            same = _equal(eight, at[order], steps)
+        heads = np.flatnonzero(np.r_[True, ~same])
+        low = np.minimum.reduceat(least[row[order]], heads)
+        full[row[order], inner[order]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
+
+
+def _equal(eight: np.ndarray, at: np.ndarray, steps: tuple[int, ...]) -> np.ndarray:
+    """Whether each window is the next one too."""
+    same = np.ones(max(len(at) - 1, 0), bool)
+    for k in steps:
+        same &= eight[at[1:] + k] == eight[at[:-1] + k]
+    return same
+
+
 def _blocks(group: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of rows of whole groups, which stand side by side, of about SORTED_AT_ONCE together; or one larger group."""
     heads = np.r_[np.flatnonzero(np.diff(group) != 0) + 1, len(group)] if len(group) else group
@@ -452,37 +500,28 @@ def _order_owners(stretches: list[bytes], anchor: np.ndarray, string: np.ndarray
     row = np.repeat(np.arange(len(stretches)), sizes + 1)
     usable = np.arange(len(text)) + length <= (begin + sizes)[row]
     eight = _words8(text)
-    if len(text) <= SORTED_AT_ONCE + len(stretches):
-        number = text.astype(np.int64) + 1
-        number[begin + sizes] = 0
-        first = np.r_[begin[np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])], len(text)]
-        order = suffix_orders(number, first)
-        order = order[usable[order]]
-        of = np.searchsorted(first, order, "right")
-        same = of[1:] == of[:-1]
-        for j in (*range(0, length - 8, 8), length - 8):
-            at = np.flatnonzero(same)
-            same[at] = eight[order[at] + j] == eight[order[at + 1] + j]
-        heads = np.flatnonzero(np.r_[True, ~same])
-        low = np.minimum.reduceat(least[string[row[order]]], heads)
-        full[string[row[order]], offset[row[order]] + order - begin[row[order]]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
-        return
-    at = np.flatnonzero(usable)
-    parts = mix(eight[at]) % np.uint64(-(-len(at) // SORTED_AT_ONCE))  # equal windows in one part
-    for k in np.unique(parts):
-        own = at[parts == k]
-        n, one = numbered(text, own, own + length)
-        low = np.full(len(one), np.iinfo(np.int64).max)
-        np.minimum.at(low, n, least[string[row[own]]])
-        full[string[row[own]], offset[row[own]] + own - begin[row[own]]] = low[n]
+    number = text.astype(np.int64) + 1
+    number[begin + sizes] = 0
+    first = np.r_[begin[np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])], len(text)]
+    order = suffix_orders(number, first)
+    order = order[usable[order]]
+    of = np.searchsorted(first, order, "right")
+    same = of[1:] == of[:-1]
+    for j in (*range(0, length - 8, 8), length - 8):
+        at = np.flatnonzero(same)
+        same[at] = eight[order[at] + j] == eight[order[at + 1] + j]
+    heads = np.flatnonzero(np.r_[True, ~same])
+    low = np.minimum.reduceat(least[string[row[order]]], heads)
+    full[string[row[order]], offset[row[order]] + order - begin[row[order]]] = np.repeat(low, np.diff(np.r_[heads, len(order)]))
 
 
 def _anchors(contents: list[bytes], length: int) -> np.ndarray:
     """The key of each string's anchor, as anchored_runs() has it."""
-    sizes = np.array([len(c) for c in contents])
-    row, _, _, key = anchored_runs(np.frombuffer(b"".join(contents), np.uint8), np.r_[0, np.cumsum(sizes)], length)
     out = np.zeros(len(contents), np.uint64)
-    out[row[::-1]] = key[::-1]
+    for lo, hi in chunks(np.r_[0, np.cumsum([len(c) for c in contents])]):
+        some = contents[lo:hi]
+        row, _, _, key = anchored_runs(np.frombuffer(b"".join(some), np.uint8), np.r_[0, np.cumsum([len(c) for c in some])], length)
+        out[lo + row[::-1]] = key[::-1]
     return out
 
 
@@ -502,32 +541,36 @@ def answers(asked: DataFrame, length: int) -> DataFrame:
         raw = body.tobytes()
         contents = [raw[x:y] for x, y in zip(begin[first].tolist(), ends[first].tolist(), strict=True)]
         windows = (ends - begin)[first] - length + 1
-        owner, count = np.zeros(0, np.int64), np.ones(len(first), np.int64)
-        place = np.arange(len(first))
-        if contents:
-            # Anchors with one string left have nothing to sort: its windows belong to its least document.
-            anchor = _anchors(contents, length)
-            _, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
-            several = np.flatnonzero(times[back] > 1)
-            several = several[np.argsort(anchor[several], kind="stable")]
-            full = owners([contents[k] for k in several], anchor[several], least[several], length) if len(several) else np.zeros((0, length), np.int64)
-            varied = several[(full != full[:, :1]).any(1, where=np.arange(length) < windows[several, None])] if len(several) else several
-            row = np.full(len(first), -1)
-            row[several] = np.arange(len(several))
-            count[varied] = windows[varied]
+        ids, rank = np.unique(least, return_inverse=True)  # owners are told by small numbers
+        rank, count = rank.astype(np.int32), np.ones(len(first), np.int64)
+        owner, place = rank, np.arange(len(first))
+        # Anchors with one string left have nothing to sort: its windows belong to its least document.
+        anchor = _anchors(contents, length)
+        _, back, times = np.unique(anchor, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(times[back] > 1) if len(first) else np.zeros(0, np.int64)
+        several = several[np.argsort(anchor[several], kind="stable")]
+        if len(several):
+            full = owners([contents[k] for k in several], anchor[several], rank[several], length)
+            varied = np.concatenate(
+                [lo + np.flatnonzero((full[lo : lo + ROWS_AT_ONCE] != full[lo : lo + ROWS_AT_ONCE, :1]).any(1, where=np.arange(length) < windows[several[lo : lo + ROWS_AT_ONCE], None]))
+                 for lo in range(0, len(several), ROWS_AT_ONCE)])
+            count[several[varied]] = windows[several[varied]]
             place = np.cumsum(count) - count
-            inner = np.arange(count.sum()) - np.repeat(place, count)
-            of = np.repeat(np.arange(len(first)), count)
-            owner = least[of]
-            sorted_ = row[of] >= 0
-            owner[sorted_] = full[row[of[sorted_]], inner[sorted_]]
+            owner = np.empty(count.sum(), np.int32)
+            owner[place] = rank
+            owner[place[several]] = full[:, 0]
+            for lo in range(0, len(varied), ROWS_AT_ONCE):
+                some = varied[lo : lo + ROWS_AT_ONCE]
+                n = windows[several[some]]
+                at = np.repeat(place[several[some]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                owner[at] = full[some][np.arange(length) < n[:, None]]
         out, at = [], 0
         for r, sizes in zip(rows, each, strict=True):
             mine = string[at : at + len(sizes)]
             at += len(sizes)
             n = count[mine]
             flat = np.repeat(place[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((r["origin"], STRINGS, r["number"], narrow(n), narrow(owner[flat]), b""))
+            out.append((r["origin"], STRINGS, r["number"], narrow(n), narrow(ids[owner[flat]]), b""))
         return _answers(out)
 
     return asked.groupBy("part").applyInArrow(judge, _ANSWERS_SCHEMA)

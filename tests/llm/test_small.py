@@ -632,3 +632,55 @@ def test_nulls_repeated_rows_and_clashing_names(spark):
     docs = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit("clash") for n in names})
     for out in operators(spark, docs):
         assert len(out.collect()) == len(rows)
+
+
+def one_anchor(n, seed=5):
+    """n different strings of 99 bytes around one anchor of 16, as a phrase in different surroundings is; some share windows."""
+    r = np.random.default_rng(seed)
+    gram = b"rare anchor gram"
+    sides = r.integers(97, 123, (n, 83), dtype=np.uint8)
+    sides[n // 2 :: 3, 20:50] = sides[0, 20:50]  # what stands beside the phrase, in a sixth of them
+    return [bytes(x[:42]) + gram + bytes(x[42:]) for x in sides]
+
+
+def plain_owners(contents, least, length=50):
+    best = {}
+    for c, d in zip(contents, least, strict=True):
+        for k in range(len(c) - length + 1):
+            w = c[k : k + length]
+            best[w] = min(best.get(w, d), d)
+    return [[best[c[k : k + length]] for k in range(len(c) - length + 1)] for c in contents]
+
+
+@pytest.mark.parametrize("at_once", [100, 5000, 10**6])
+def test_an_anchor_too_large_to_sort(monkeypatch, at_once):
+    monkeypatch.setattr(suffix_dedup, "WINDOWS_AT_ONCE", at_once)
+    monkeypatch.setattr(suffix_dedup, "ROWS_AT_ONCE", 64)
+    contents = [*one_anchor(300), *(c[:70] for c in one_anchor(40))]
+    least = np.random.default_rng(1).permutation(len(contents))
+    for most in (10**7, 1000):  # sorted, and not
+        monkeypatch.setattr(suffix_dedup, "SORTED_AT_ONCE", most)
+        full = suffix_dedup.owners(contents, np.zeros(len(contents), np.int64), least, 50)
+        assert [row[: len(c) - 49].tolist() for row, c in zip(full, contents, strict=True)] == plain_owners(contents, least)
+
+
+def test_windows_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SORTED_AT_ONCE", 1000)
+    monkeypatch.setattr(suffix_dedup, "mix", lambda x: x & np.uint64(0))
+    contents, least = one_anchor(60), np.arange(60)
+    full = suffix_dedup.owners(contents, np.zeros(60, np.int64), least, 50)
+    assert [row[: len(c) - 49].tolist() for row, c in zip(full, contents, strict=True)] == plain_owners(contents, least)
+
+
+def test_memory_of_one_anchor_with_many_strings(monkeypatch):
+    """A hundredth of a million strings' memory for 20,000 of them, beside what the strings themselves and a part of windows take."""
+    monkeypatch.setattr(suffix_dedup, "WINDOWS_AT_ONCE", 50_000)
+    monkeypatch.setattr(suffix_dedup, "ROWS_AT_ONCE", 1_000)
+    n = 20_000
+    contents, least = one_anchor(n), np.arange(n, dtype=np.int32)
+    monkeypatch.setattr(suffix_dedup, "SORTED_AT_ONCE", 1_000_000)
+    tracemalloc.start()
+    suffix_dedup.owners(contents, np.zeros(n, np.int64), least, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 * n + 12_000_000  # 500 bytes a string: under 1 GB for a million; 8.5 kB a string before
