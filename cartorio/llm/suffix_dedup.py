@@ -445,23 +445,23 @@ def _match_owners(contents: list[bytes], least: np.ndarray, length: int, full: n
     begin, windows = np.cumsum(sizes) - sizes, sizes - length + 1
     eight = np.ndarray((len(text) - 7,), "<u8", text.data, strides=(1,))
     steps = (*range(0, length - 8, 8), length - 8)
-    parts = np.uint64(-(-int(windows.sum()) // WINDOWS_AT_ONCE))
-    for part in range(int(parts)):
-        found = []
-        for lo in range(0, len(contents), ROWS_AT_ONCE):
-            w = windows[lo : lo + ROWS_AT_ONCE]
-            row = np.repeat(np.arange(lo, lo + len(w), dtype=np.int32), w)
-            inner = (np.arange(len(row)) - np.repeat(np.cumsum(w) - w, w)).astype(np.int32)
-            at = begin[row] + inner
-            own = np.flatnonzero(mix(eight[at] ^ mix(eight[at + length - 8])) % parts == part)
-            at = at[own]
-            h = np.zeros(len(at), np.uint64)
-            for k in steps:
-                h = mix(h + eight[at + k])
-            found.append((h, at, row[own], inner[own]))
-        h, at, row, inner = (np.concatenate(c) for c in zip(*found, strict=True))
-        if not len(h):
+    ends = np.cumsum(windows)
+    parts = np.uint64(-(-int(ends[-1]) // WINDOWS_AT_ONCE))
+    part = np.empty(ends[-1], np.uint8 if parts < 256 else np.uint16 if parts < 65536 else np.uint32)
+    for lo in range(0, len(contents), ROWS_AT_ONCE):
+        w = windows[lo : lo + ROWS_AT_ONCE]
+        at = np.repeat(begin[lo : lo + len(w)] - np.cumsum(w) + w, w) + np.arange(w.sum())
+        part[ends[lo] - w[0] : ends[lo + len(w) - 1]] = mix(eight[at] ^ mix(eight[at + length - 8])) % parts
+    for p in range(int(parts)):
+        own = np.flatnonzero(part == p)
+        if not len(own):
             continue
+        row = np.searchsorted(ends, own, "right").astype(np.int32)
+        inner = (own - ends[row] + windows[row]).astype(np.int32)
+        at = begin[row] + inner
+        h = np.zeros(len(at), np.uint64)
+        for k in steps:
+            h = mix(h + eight[at + k])
         order = np.argsort(h, kind="stable")
         same = _equal(eight, at[order], steps)
         if (same < (h[order[1:]] == h[order[:-1]])).any():  # two windows with one hash: by their bytes instead
