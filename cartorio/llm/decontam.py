@@ -11,6 +11,7 @@ of very many items is looked for once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
@@ -22,9 +23,10 @@ from cartorio.llm.frames import lean, reliable
 from cartorio.llm.text import Words, chunks, utf8
 
 SHINGLE = 3
-#: Bits of the map by which tasks know the shingles they look for, two for each: the same 8 MB for any benchmark. A false hit
-#: costs a look, never a result.
-MAP_BITS = 1 << 26
+#: Bits of the map by which tasks know the shingles they look for: two are set for each, SPARSE of them there are for each (one look in
+#: 60 is for nothing then), LEAST_BITS at least, and MOST_BITS at most (128 MB); of more shingles some are looked for in
+#: further scans.
+SPARSE, LEAST_BITS, MOST_BITS = 16, 1 << 26, 1 << 30
 #: Rows that are broadcast at most; beyond it Spark joins by shuffles.
 FEW = 50_000
 
@@ -75,12 +77,12 @@ def placed_shingles(distinct: DataFrame) -> DataFrame:
 
 
 class Map:
-    """A bitmap of hashes, gathered by Spark; the driver gets its non-zero words, at most MAP_BITS / 64 of them."""
+    """A bitmap of hashes, gathered by Spark; the driver gets its non-zero words, at most bits / 64 of them."""
 
-    def __init__(self, hashes: DataFrame):
-        place = F.explode(F.array(*(F.shiftrightunsigned("shingle", by).bitwiseAND(MAP_BITS - 1) for by in (0, 32)))).alias("p")
+    def __init__(self, hashes: DataFrame, bits: int):
+        place = F.explode(F.array(*(F.shiftrightunsigned("shingle", by).bitwiseAND(bits - 1) for by in (0, 32)))).alias("p")
         words = hashes.select(place).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits")).toArrow()
-        self.words = np.zeros(MAP_BITS // 64, np.uint64)
+        self.words = np.zeros(bits // 64, np.uint64)
         self.words[words["w"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
 
     def has(self, h: np.ndarray) -> np.ndarray:
@@ -92,6 +94,16 @@ class Map:
         return left
 
 
+def maps(hashes: DataFrame) -> list[Map]:
+    """Sparse maps that hold all the different shingles together, each a share of them: one up to MOST_BITS / SPARSE shingles."""
+    n = hashes.count()
+    passes = max(1, -(-n * SPARSE // MOST_BITS))
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (-(-n // passes) * SPARSE - 1).bit_length()))
+    if passes == 1:
+        return [Map(hashes, bits)]
+    return [Map(hashes.filter(F.pmod(F.xxhash64("shingle"), F.lit(passes)) == k), bits) for k in range(passes)]
+
+
 def _found(words: Words, known: Map, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, place) of each shingle of the words that the map has."""
     values, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -153,7 +165,7 @@ def prefix_hits(texts: DataFrame, known: Map, sizes: tuple[int, ...], size: int)
 
 def _light(df: DataFrame) -> DataFrame:
     """df, to be broadcast if a count shows few rows."""
-    return F.broadcast(df) if df.count() <= FEW else df
+    return F.broadcast(df) if df.limit(FEW + 1).count() <= FEW else df
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, id_col: str = "doc_id",
@@ -165,21 +177,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     Null and empty texts and items have no words; items with a null id count as hits but aren't listed. An empty benchmark
     contaminates nothing, and no documents give no rows. Texts and items of any length are taken whole. Equal items are both
     listed. Ids are unique; rows that repeat one in full get equal results, and rows with a null id count as clean. Only the
-    named columns are read, so others may have any name.
+    named columns are read, so others may have any name. A benchmark of over MOST_BITS / SPARSE different shingles (67 million)
+    takes two more scans for each further such number; results are the same.
     """
     texts = lean(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     owners = reliable(windows(benchmark, size, item_col, item_text_col))
     placed = reliable(placed_shingles(owners.select("window").distinct()))
     sizes = tuple(sorted(r[0] for r in placed.select(F.least("size", F.lit(SHINGLE))).distinct().collect()))
-    frequency = frequencies(texts, Map(placed.select("shingle").distinct()), sizes)
+    frequency = reduce(DataFrame.unionByName, [frequencies(texts, known, sizes) for known in maps(placed.select("shingle").distinct())])
+    frequency = frequency.groupBy("shingle").agg(F.max("documents").alias("documents"))  # a map may have one of another's by chance
     # A window with a shingle that no document holds can't occur; the others' prefix is their rarest shingle.
     prefixes = reliable(placed.join(frequency, "shingle", "left").groupBy("window", "size")
                         .agg(F.min(F.struct(F.coalesce("documents", F.lit(0)).alias("documents"), "shingle", "at")).alias("least"))
                         .filter("least.documents > 0").select("window", "size", "least.shingle", "least.at"))
-    held = reliable(prefix_hits(texts, Map(prefixes.select("shingle").distinct()), sizes, size))
+    held, *more = [reliable(prefix_hits(texts, known, sizes, size)) for known in maps(prefixes.select("shingle").distinct())]
+    hits = reduce(DataFrame.unionByName, more, held)
     shapes = prefixes.select("shingle", "at", "size").distinct()
     # Spark may cut the words before it filters by start, so a start before the text is moved to its begin there.
-    found = (held.filter("id is not null").select("id", "n_words", F.explode("hits").alias("hit")).select("id", "n_words", "hit.*").join(_light(shapes), "shingle")
+    found = (hits.filter("id is not null").select("id", "n_words", F.explode("hits").alias("hit")).select("id", "n_words", "hit.*").join(_light(shapes), "shingle")
              .withColumn("start", F.col("place") - F.col("at")).filter("start >= 0 and start + size <= n_words")
              .withColumn("window", F.array_join(F.slice(F.split("around", " "), F.greatest(F.col("start") - F.col("begin") + 1, F.lit(1)), F.col("size")), " "))
              .join(_light(prefixes.select("window")), "window").select("id", "start", (F.col("start") + F.col("size")).alias("end"), "window").distinct())

@@ -340,11 +340,14 @@ def plain_contamination(docs, items, size=13):
     return out
 
 
-@pytest.mark.parametrize("few,bits", [(50_000, 1 << 26), (0, 64)])
+@pytest.mark.parametrize("few,bits", [(50_000, 1 << 26), (0, 64), (0, 1024)])
 def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, few, bits):
-    """Also without broadcasts, and with a map so small that nearly every shingle is a false hit."""
+    """Also without broadcasts, with a map so small that nearly every shingle is a false hit, and in several scans."""
     monkeypatch.setattr(decontam, "FEW", few)
-    monkeypatch.setattr(decontam, "MAP_BITS", bits)
+    monkeypatch.setattr(decontam, "SPARSE", 0 if bits < 1000 else 16)
+    monkeypatch.setattr(decontam, "LEAST_BITS", bits)
+    if bits == 1024:  # several scans of at most 64 shingles each
+        monkeypatch.setattr(decontam, "MOST_BITS", bits)
     long = next(t for t in corpus if t and len(t.split()) == 4000).split()
     items = [(10, " ".join(long[100:140])), (9, " ".join(long[120:126])), (2, "x"), (3, None), (4, "--"), (11, "ab. CD"), (12, corpus[6]), (13, " ".join(long[500:513]))]
     docs = [*corpus, " ".join(long[100:113]), " ".join(long[100:112]), "ç " + " ".join(long[110:130]).upper(), "ab cd ab cd x"]
@@ -354,6 +357,19 @@ def test_contamination_as_the_plain_version(spark, corpus, monkeypatch, few, bit
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"], got[i]["contaminated"]) == (n, hit, who, bad), (i, docs[i])
 
 
+def test_maps_grow_with_their_shingles(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "LEAST_BITS", 64)
+    few, many = (spark.range(n).select(F.xxhash64("id").alias("shingle")) for n in (100, 3000))
+    others = np.random.default_rng(1).integers(0, 1 << 63, 100_000, dtype=np.uint64)
+    for hashes, n in ((few, 100), (many, 3000)):
+        known, = decontam.maps(hashes)
+        own = hashes.toPandas()["shingle"].to_numpy().view(np.uint64)
+        assert len(known.has(own)) == n and len(known.has(others)) < 0.03 * len(others) and 16 * n <= 64 * len(known.words) < 64 * n
+    monkeypatch.setattr(decontam, "MOST_BITS", 16_384)
+    several = decontam.maps(many)
+    assert len(several) == 3 and sum(len(m.has(own)) for m in several) >= 3000 and all(len(m.has(others)) < 0.03 * len(others) for m in several)
+
+
 def test_null_and_repeated_rows(spark):
     docs = spark.createDataFrame([(None, None), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, ""), (3, "x y z w")], "doc_id long, text string")
     benchmark = spark.createDataFrame([(1, "a b c"), (2, "x y z"), (3, "b c"), (4, "q"), (None, "y")], "item_id int, text string")
