@@ -51,8 +51,9 @@ def status_summary(details: DataFrame, dataset: str = "dataset", status: str = "
 
 
 def compare(expected: DataFrame, source: DataFrame, copy: DataFrame, keys: list[str]) -> DataFrame:
-    """Expected units with both sides and a status. source: exists, etag, size_bytes, error; copy: source_etag,
-    source_size_bytes."""
+    """Units with both sides and a status. source: exists, etag, size_bytes, error; copy: source_etag, source_size_bytes. A unit that
+    isn't expected but that the copy has comes too: as extra where the source lacks it."""
+    expected = expected.unionByName(copy.join(expected, keys, "left_anti").select(*keys).distinct(), allowMissingColumns=True)
     s = source.select(*keys, F.col("exists").alias("_exists"), "etag", "size_bytes", "error")
     c = copy.select(*keys, F.lit(True).alias("_copy"), "source_etag", "source_size_bytes")
     both = expected.join(s, keys, "left").join(c, keys, "left")

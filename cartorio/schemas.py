@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 # The 27 federal units, and the two groups that the 2000-2005 denominators tell apart.
 UFS = ("AC", "AL", "AM", "AP", "BA", "CE", "DF", "ES", "GO", "MA", "MG", "MS", "MT", "PA", "PB", "PE", "PI", "PR", "RJ", "RN", "RO", "RR", "RS", "SC", "SE", "SP", "TO")
 STATE_GROUP_A = ("AL", "AM", "BA", "CE", "MA", "MG", "MT", "PA", "PB", "PI", "RO", "TO")
-#: States without aggregated data in the first years.
+# States without aggregated data in the first years.
 NO_DATA = {1994: ("AL", "AP", "DF", "MS", "MG", "PB", "PR", "RJ", "RS", "SP", "SE", "TO"), 1995: ("MS", "MG", "TO"), 1996: ("MG",)}
 #: Month names as publishers write them in file names.
 MONTHS = ("jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez")
