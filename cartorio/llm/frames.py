@@ -14,7 +14,9 @@ BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def lean(df: DataFrame) -> DataFrame:
-    """df, whose session from now on hands texts to Python in small batches; smaller bounds that are set already stay."""
+    """df, whose session from now on hands texts to Python in small batches (smaller bounds that are set already stay) and whose
+    executors have this package."""
+    ship(df.sparkSession)
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = conf.get(key)
@@ -24,7 +26,7 @@ def lean(df: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return lean(ship(spark).read.parquet(f"{sf_dir}/{name}.parquet"))
+    return lean(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def reliable(df: DataFrame) -> DataFrame:
