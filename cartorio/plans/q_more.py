@@ -74,13 +74,38 @@ def grain_levels(spark: SparkSession, sf: str) -> DataFrame:
     return W.grain_levels(l, "l_shipdate", "q").withColumns({c: F.col(c).cast("bigint") for c in ("year", "month", "day")})
 
 
-@query("""select column_name, kind_a, kind_b from (values ('o_orderkey', 'bigint', 'string'), ('o_totalprice', 'double', 'decimal(12,2)')) t(column_name, kind_a, kind_b), (select count(*) as n from orders) where n > 0""")
+@query("""
+select unnest(['o_custkey', 'o_totalprice']) as column_name, unnest(['int', 'double']) as kind_a, unnest(['string', 'int']) as kind_b,
+  count(*) filter (o_orderkey % 2 = 0) as n_a, count(*) filter (o_orderkey % 2 = 1) as n_b from orders
+""")
 def colset_types(spark: SparkSession, sf: str) -> DataFrame:
-    """Columns that two eras share, of different types; the comparison is of the rows' schemas, and counts rows only to have any."""
-    a = table(spark, sf, "orders").select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderstatus")
-    b = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderstatus", "o_custkey")
-    some = a.agg(F.count("*").alias("_n")).filter("_n > 0")
-    return sets.type_changes(a, b).crossJoin(some).drop("_n")
+    """Columns that two eras' files share, of types that differ as they are read from the values, and how many each era has."""
+    o, roots = table(spark, sf, "orders"), (folder(spark), folder(spark))
+    price = F.round("o_totalprice").cast("int")
+    o.filter("o_orderkey % 2 = 0").select("o_orderkey", "o_custkey", (price + 0.5).cast("string").alias("o_totalprice"), "o_orderstatus").write.option("header", True).csv(roots[0])
+    o.filter("o_orderkey % 2 = 1").select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("o_custkey"), price.alias("o_totalprice")).write.option("header", True).csv(roots[1])
+    a, b = (spark.read.option("header", True).option("inferSchema", True).csv(root) for root in roots)
+    counts = a.agg(F.count("o_custkey").alias("n_a")).crossJoin(b.agg(F.count("o_custkey").alias("n_b")))  # a row each
+    return sets.type_changes(a, b).crossJoin(counts)
+
+
+@query("""
+with item as (select r_name as label, n_nationkey::varchar as code from nation join region on r_regionkey = n_regionkey union all select 'SHARED', n_nationkey::varchar from nation where n_nationkey % 4 = 0)
+select code as source_code, count(distinct label) as labels from item join customer on c_nationkey = code::bigint group by 1 having count(distinct label) > 1
+""")
+def ambiguous_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Codes in use that a dictionary lists under several labels."""
+    codes = lambda where: F.array_join(F.sort_array(F.collect_list(F.when(F.expr(where), F.col("n_nationkey").cast("string")))), ", ").alias("source_codes")
+    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    d = n.groupBy(F.col("r_name").alias("label")).agg(codes("true")).unionByName(n.groupBy(F.lit("SHARED").alias("label")).agg(codes("n_nationkey % 4 = 0")))
+    used = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("_code")).distinct()
+    return J.ambiguous_codes(d).join(used, F.col("source_code") == F.col("_code"), "left_semi")
+
+
+@query("select distinct text, lang, n_chars from documents")
+def drop_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """one row of those that are equal but for the id and source."""
+    return A.drop_duplicates_ignoring(table(spark, sf, "documents"), ["doc_id", "source"]).select("text", "lang", "n_chars")
 
 
 @query("""select o_orderstatus, o_custkey from orders where o_orderkey % 2 = 0 union all select o_orderstatus, o_custkey from orders where o_orderkey % 2 = 1""")
