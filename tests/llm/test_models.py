@@ -151,6 +151,90 @@ def test_a_boosting_round_and_the_look_ups_as_plain_versions():
         assert abs(got - 1 / (1 + math.exp(-z))) < 1e-9 and len(model.pairs) == quality.PAIRS
 
 
+def plain_pair_tree(g, h, ridge):
+    """(gain, table) by trying every cut of the first feature with every cut of the second on either side."""
+    n, m = len(g), len(g[0])
+    part = lambda t, a, b, c, d: sum(t[i][j] for i in range(a, b) for j in range(c, d))
+    value = lambda a, b, c, d: part(g, a, b, c, d) ** 2 / (part(h, a, b, c, d) + ridge)
+    best = (-1.0, None)
+    for cut in range(1, n):
+        sides = [max((value(a, b, 0, c) + value(a, b, c, m), -c) for c in range(1, m)) for a, b in ((0, cut), (cut, n))]
+        gain = sides[0][0] + sides[1][0]
+        if gain > best[0] + 1e-12:
+            best = (gain, (cut, -sides[0][1], -sides[1][1]))
+    cut, up, down = best[1]
+    leaf = lambda *box: -part(g, *box) / (part(h, *box) + ridge)
+    leaves = {(r, c): leaf(*((0, cut) if r else (cut, n)), *((0, up if r else down) if c else (up if r else down, m))) for r in (True, False) for c in (True, False)}
+    return best[0] - part(g, 0, n, 0, m) ** 2 / (part(h, 0, n, 0, m) + ridge), [[leaves[i < cut, j < (up if i < cut else down)] for j in range(m)] for i in range(n)]
+
+
+def test_pairs_as_a_plain_version():
+    """The pairs that are chosen, and the one round of trees on them that three rounds of boosting have."""
+    r = np.random.default_rng(3)
+    x = r.random((150, len(quality.FEATURES)))
+    y = ((x[:, 2] > 0.5) ^ (x[:, 7] > 0.4) ^ (r.random(150) < 0.1)).astype(int)
+    model = quality.fit(x, y, rounds=3)
+    z = [model.intercept + sum(t[bisect.bisect_left(e.tolist(), v)] for e, t, v in zip(model.edges, model.tables, row, strict=True)) for row in x]
+    cuts = [quality._cuts(x[:, f], quality.PAIR_BINS).tolist() for f in range(x.shape[1])]
+    bins = [[bisect.bisect_left(c, v) for v in x[:, f]] for f, c in enumerate(cuts)]
+
+    def sums(f, k):
+        g, h = ([[0.0] * (len(cuts[k]) + 1) for _ in range(len(cuts[f]) + 1)] for _ in range(2))
+        for a, b, v, label in zip(bins[f], bins[k], z, y, strict=True):
+            p = 1 / (1 + math.exp(-v))
+            g[a][b] += p - label
+            h[a][b] += max(p * (1 - p), 1e-6)
+        return g, h
+
+    gains = {(f, k): plain_pair_tree(*sums(f, k), 1.0)[0] for f in range(x.shape[1]) for k in range(f + 1, x.shape[1])}
+    chosen = sorted(gains, key=lambda p: -gains[p])[: quality.PAIRS]
+    assert [p[:2] for p in model.pairs] == chosen and (2, 7) in chosen[:2]
+    for f, k, _, _, table in model.pairs:
+        want = [[0.15 * v for v in row] for row in plain_pair_tree(*sums(f, k), 1.0)[1]]
+        assert np.allclose(table, want), (f, k)
+        z = [v + want[a][b] for v, a, b in zip(z, bins[f], bins[k], strict=True)]
+
+
+def test_a_step_of_the_toxicity_fit_follows_its_gradient():
+    """One step over all texts against numerical derivatives of the loss, for the softmax, the bias and vectors of n-grams. Adam's first
+    step is the rate in the direction of each derivative's sign."""
+    texts, labels = ["vex ab", "cd vexx ef", "ab cd", "ef gh ab", "", "gh"], np.array([1, 1, 0, 0, 0, 0.0])
+    model = toxicity.fit(texts, labels, steps=1, batch=6)
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(0, 0.1, (toxicity.BUCKETS, toxicity.DIMENSIONS)).astype(np.float32).astype(float)
+    softmax = rng.normal(0, 0.3, (toxicity.DIMENSIONS, 2)).astype(np.float32).astype(float)
+    typical, share = max(sum(map(len, texts)) / len(texts) / 6, 2.0), labels.mean()
+    bias = -math.log(typical) + math.log(share / (1 - share))
+    words = Words(*utf8(pa.array(texts)))
+    bucket, owner = toxicity.gram_buckets(words, np.arange(len(words.start)))
+
+    def loss(vectors, softmax, bias):
+        odds = softmax[:, 1] - softmax[:, 0]
+        value = [float(np.mean([vectors[b] @ odds for b in bucket[owner == w]])) for w in range(len(words.start))]
+        total = 0.0
+        for r, label in enumerate(labels):
+            own = value[words.first[r] : words.first[r + 1]]
+            runs = [np.mean(own[i : i + toxicity.RUN]) for i in range(max(len(own) - toxicity.RUN + 1, 1))] if own else []
+            p = 1 / (1 + math.exp(-max(min((math.log(sum(map(math.exp, runs))) if runs else -60) + bias, 60), -60)))
+            total -= (label * math.log(max(p, 1e-300)) + (1 - label) * math.log(max(1 - p, 1e-300))) / len(labels)
+        return total
+
+    def slope(change):
+        up, down = (loss(*change(e)) for e in (1e-4, -1e-4))
+        return (up - down) / 2e-4
+
+    after = {}  # the fit's own parameters aren't given out: what it moved is told by the weights it returns
+    d_soft = np.array([[slope(lambda e, i=i, j=j: (vectors, softmax + e * (np.arange(8)[:, None] == i) * (np.arange(2) == j), bias)) for j in range(2)] for i in range(toxicity.DIMENSIONS)])
+    moved = softmax - 0.02 * np.sign(d_soft)
+    odds, before = moved[:, 1] - moved[:, 0], softmax[:, 1] - softmax[:, 0]
+    for b in np.unique(bucket)[:12]:
+        d = slope(lambda e, b=b: (np.where(np.arange(len(vectors))[:, None] == b, vectors + e * before / (before @ before), vectors), softmax, bias))
+        after[b] = (vectors[b] - 0.02 * np.sign(d * before)) @ odds
+    assert len(after) == 12 and all(abs(model.weight[b] - v) < 2e-3 for b, v in after.items())
+    d_bias = slope(lambda e: (vectors, softmax, bias + e))
+    assert abs(model.bias - (bias - 2 * 0.02 * np.sign(d_bias))) < 1e-3
+
+
 @pytest.mark.parametrize("run", [None, 1, 2])
 def test_toxicity_scores_as_a_plain_version(run):
     """Mean of a word's n-gram weights, means over runs of words, and the log of the sum of exp over runs."""
