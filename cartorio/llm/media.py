@@ -128,38 +128,8 @@ class Packets:
     """The packets of a stream, checked: `bodies` start at `begin`, and `good` leaves out permitted duplicates."""
 
     def __init__(self, media: bytes):
-        p = np.frombuffer(media, np.uint8)
-        if len(p) % PACKET:
-            raise ValueError("not whole packets")
-        self.data = p = p.reshape(-1, PACKET)
-        if (p[:, 0] != SYNC).any():
-            raise ValueError("sync byte missing")
-        control = p[:, 3] >> 4
-        if (p[:, 1] & 0x80).any() or (control & 12).any() or not control.all():
-            raise ValueError("packets marked as damaged, scrambled or reserved")
-        self.pid = (p[:, 1].astype(np.int32) & 0x1F) << 8 | p[:, 2]
-        self.starts, self.carries = (p[:, 1] & 0x40) > 0, (control & 1) > 0
-        field = np.where((control & 2) > 0, 1 + p[:, 4].astype(np.int32), 0)
-        if (field > BODY).any():
-            raise ValueError("adaptation field too long")
-        self.begin, self.flags = 4 + field, np.where(field > 1, p[:, 5], 0)
-        self.good = self.pid != NULL_PID
-        for pid in np.unique(self.pid[self.good]):
-            self._check(np.flatnonzero(self.pid == pid))
-
-    def _check(self, own: np.ndarray) -> None:
-        """Of one PID: with payload the counter goes up by one, without it stays; a packet may come twice."""
-        counter, carries = (self.data[own, 3] & 15).astype(np.int16), self.carries[own]
-        step = np.diff(counter) % 16
-        twice = np.flatnonzero((step == 0) & carries[1:] & carries[:-1])
-        same = self.data[own[twice]] == self.data[own[twice + 1]]
-        same[:, 6:12] |= ((self.flags[own[twice]] & 0x10) > 0)[:, None]
-        twice = twice[same.all(1)]
-        wrong = (step != carries[1:]) & ((self.flags[own[1:]] & 0x80) == 0)
-        wrong[twice] = False
-        if wrong.any() or (np.diff(twice) == 1).any():
-            raise ValueError("continuity counter jumps")
-        self.good[own[twice + 1]] = False
+        one, = checked([media])
+        self.__dict__ = one.__dict__
 
     def of(self, pid: int) -> np.ndarray:
         """Numbers of the packets with payload of a PID."""
@@ -185,6 +155,48 @@ class Packets:
                     held = held[size:]
 
 
+def checked(streams: list[bytes]) -> list[Packets]:
+    """The packets of each stream, looked at all together; ValueError if one is damaged."""
+    sizes = np.array([len(m) // PACKET for m in streams], np.int64)
+    if any(len(m) % PACKET for m in streams):
+        raise ValueError("not whole packets")
+    p = np.frombuffer(b"".join(streams), np.uint8).reshape(-1, PACKET)
+    if (p[:, 0] != SYNC).any():
+        raise ValueError("sync byte missing")
+    control = p[:, 3] >> 4
+    if (p[:, 1] & 0x80).any() or (control & 12).any() or not control.all():
+        raise ValueError("packets marked as damaged, scrambled or reserved")
+    pid = (p[:, 1].astype(np.int32) & 0x1F) << 8 | p[:, 2]
+    starts, carries = (p[:, 1] & 0x40) > 0, (control & 1) > 0
+    field = np.where((control & 2) > 0, 1 + p[:, 4].astype(np.int32), 0)
+    if (field > BODY).any():
+        raise ValueError("adaptation field too long")
+    begin, flags = 4 + field, np.where(field > 1, p[:, 5], 0)
+    good = pid != NULL_PID
+    # Of one stream and PID: with payload the counter goes up by one, without it stays; a packet may come twice.
+    group = np.repeat(np.arange(len(streams), dtype=np.int64), sizes) << 13 | pid
+    own = np.flatnonzero(good)
+    own = own[np.argsort(group[own], kind="stable")]
+    within = group[own[1:]] == group[own[:-1]]
+    step = np.diff((p[own, 3] & 15).astype(np.int16)) % 16
+    twice = np.flatnonzero(within & (step == 0) & carries[own[1:]] & carries[own[:-1]])
+    same = p[own[twice]] == p[own[twice + 1]]
+    same[:, 6:12] |= ((flags[own[twice]] & 0x10) > 0)[:, None]
+    twice = twice[same.all(1)]
+    wrong = within & (step != carries[own[1:]]) & ((flags[own[1:]] & 0x80) == 0)
+    wrong[twice] = False
+    if wrong.any() or (np.diff(twice) == 1).any():
+        raise ValueError("continuity counter jumps")
+    good[own[twice + 1]] = False
+    out, lo = [], 0
+    for n in sizes.tolist():
+        one = Packets.__new__(Packets)
+        one.data, one.pid, one.starts, one.carries, one.begin, one.flags, one.good = (a[lo : lo + n] for a in (p, pid, starts, carries, begin, flags, good))
+        out.append(one)
+        lo += n
+    return out
+
+
 @lru_cache(1024)
 def _checked(section: bytes) -> bytes:
     """The body of a section whose CRC is right."""
@@ -215,10 +227,10 @@ def programs(packets: Packets) -> dict[int, list[tuple[int, int]]]:
     return out
 
 
-def unpack(media: bytes, program: int | None = None, pid: int | None = None) -> Stream:
+def unpack(media: bytes | Packets, program: int | None = None, pid: int | None = None) -> Stream:
     """The elementary stream of a PID, by default the first one of a program (the lowest) that has private data like pack()'s, or
     else its first; ValueError if the stream is damaged."""
-    packets = Packets(media)
+    packets = media if isinstance(media, Packets) else Packets(media)
     known = programs(packets)
     if pid is None:
         streams = known[min(known) if program is None else program]
@@ -278,10 +290,11 @@ def read_back(stored: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for media in b.column(2):
-                raw = media.as_py()
-                stream = unpack(raw)
+            rows, every = [], b.column(2).to_pylist()
+            ends = np.r_[0, np.cumsum([len(m) for m in every], dtype=np.int64)]
+            packets = (p for lo, hi in chunks(ends) for p in checked(every[lo:hi]))
+            for raw, one in zip(every, packets, strict=True):
+                stream = unpack(one)
                 payload, stamps, points, _ = stream
                 rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(raw),
                              hashlib.sha256(raw).hexdigest(), features(stream), stamps, points))
