@@ -327,4 +327,7 @@ def test_query(spark, name):
             con.sql(f"create view {f.split('.')[0]} as select * from '{SMALL}/{f}'")
         want = con.sql(queries.ORACLE_SQL[name])
         assert sorted(tuple(str(r[c]) for c in want.columns) for r in rows) == sorted(tuple(map(str, r)) for r in want.fetchall())
-    assert len({r["doc_id"] for r in rows}) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    if name == "op13_spelling":  # a row a word
+        assert len({r["word"] for r in rows}) == len(rows) > 1000
+    else:
+        assert len({r["doc_id"] for r in rows}) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
