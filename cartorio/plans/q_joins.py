@@ -111,7 +111,7 @@ def age_band_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MANY_SQL = """rules as (
-  select l_orderkey as k, l_linenumber as i, l_shipdate::date as a, case when l_linenumber % 5 = 4 then null else l_shipdate::date + cast(7 + l_quantity as int) end as b from lineitem where l_linenumber % 2 = 0)"""
+  select l_orderkey as k, l_linenumber as i, l_shipdate::date as a, case when l_orderkey % 100 = 4 then null else l_shipdate::date + cast(7 + l_quantity as int) end as b from lineitem where l_linenumber % 2 = 0)"""
 
 
 @query(f"""with {MANY_SQL}, days as (select o_orderdate::date as day, count(*) as n from orders group by 1)
@@ -121,7 +121,7 @@ def rules_many(spark: SparkSession, sf: str) -> DataFrame:
     """As many overlapping periods of dates, some without end, as half of the lines, joined by nodes of a tree."""
     l = table(spark, sf, "lineitem").filter("l_linenumber % 2 = 0")
     a = F.to_date("l_shipdate")
-    many = l.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), a.alias("a"), F.when(F.col("l_linenumber") % 5 != 4, F.date_add(a, (7 + F.col("l_quantity")).cast("int"))).alias("b"))
+    many = l.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), a.alias("a"), F.when(F.col("l_orderkey") % 100 != 4, F.date_add(a, (7 + F.col("l_quantity")).cast("int"))).alias("b"))
     days = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
     return in_periods(days, many, "day", "a", "b").groupBy("day", "n").agg(F.count("*").alias("held"), F.sum(F.col("k") * 7 + F.col("i")).cast("bigint").alias("sums"), F.max("b").alias("longest"))
 
