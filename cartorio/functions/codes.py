@@ -151,13 +151,15 @@ def null_if(text: Column, *marks: str) -> Column:
 
 
 def size_text(size: Column) -> Column:
-    """Bytes in decimal B, KB, MB or GB with one digit, halves up."""
+    """Bytes in decimal B, KB, MB or GB with one digit, halves up. Whole numbers throughout, so exact beyond 2**53 and 2**63 too."""
+    size = size.cast("decimal(38,0)")
+
     def in_unit(power: int, unit: str) -> Column:
-        tenths = F.floor((size + F.lit(5 * 10 ** (power - 2))) / F.lit(10 ** (power - 1))).cast("bigint")
-        return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"), F.lit(" " + unit))
+        tenths = F.call_function("div", size + F.lit(5 * 10 ** (power - 2)), F.lit(10 ** (power - 1)))
+        return F.concat(F.call_function("div", tenths, F.lit(10)).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"), F.lit(" " + unit))
 
     return (F.when(size >= 10**9, in_unit(9, "GB")).when(size >= 10**6, in_unit(6, "MB")).when(size >= 10**3, in_unit(3, "KB"))
-            .when(size.isNotNull(), F.concat(size.cast("bigint").cast("string"), F.lit(" B"))))
+            .when(size.isNotNull(), F.concat(size.cast("string"), F.lit(" B"))))
 
 
 def ratio(a: Column, b: Column) -> Column:

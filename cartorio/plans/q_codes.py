@@ -156,8 +156,9 @@ select p_partkey, case when s >= 1000000000 then ((s + 50000000) // 1000000000)
 from (select p_partkey, p_partkey * p_partkey * p_partkey * (p_size + 1) as s from part)
 """)
 def size_format(spark: SparkSession, sf: str) -> DataFrame:
-    """Sizes in decimal units."""
-    s = F.col("p_partkey") * F.col("p_partkey") * F.col("p_partkey") * (F.col("p_size") + 1)
+    """Sizes in decimal units; a cube of keys outgrows 64 bits beyond some 560,000 parts."""
+    k = F.col("p_partkey").cast("decimal(38,0)")
+    s = k * k * k * (F.col("p_size") + 1)
     return table(spark, sf, "part").select("p_partkey", C.size_text(s).alias("size_text"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartorio.functions import codes as C
 from cartorio.functions import dates as D
+from cartorio.plans.catalogue import QUERIES
 from cartorio.schemas import BIRTH_CONTROL, BIRTH_RENAMES, STATE_GROUP_A, UFS
 
 
@@ -49,6 +50,19 @@ def test_codes(spark):
     assert column(spark, C.size_text, ["999", "1000", "1500000", "2000000000", None]) == ["999 B", "1.0 KB", "1.5 MB", "2.0 GB", None]
 
 
+def test_sizes_beyond_doubles_and_64_bits(spark):
+    sizes = [90000000000049999999, 9007199254749999999, 88127783999999999949999999, 10**18 - 1]
+    assert column(spark, C.size_text, [str(n) for n in sizes]) == [f"{t // 10}.{t % 10} GB" for t in ((n + 5 * 10**7) // 10**8 for n in sizes)]
+
+
+def test_size_format_of_large_keys(spark, tmp_path):
+    rows = [(0, 1), (11, 1), (199_999, 50), (1_199_999, 50), (7_199_999, 50), (3, None)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    got = {r["p_partkey"]: r["size_text"] for r in QUERIES["size_format"](spark, str(tmp_path)).collect()}
+    tenths = {k: (k**3 * (s + 1) + 5 * 10**7) // 10**8 for k, s in rows[2:5]}
+    assert got == {0: "0 B", 11: "2.7 KB", 3: None} | {k: f"{t // 10}.{t % 10} GB" for k, t in tenths.items()}
+
+
 def test_file_names(spark):
     names = ["DPNIAC94.DBF", "CPNISP05.DBF", "DNAC2015.dbc", "DNRSP1994.dbc", "RDSP9208.dbc", "RDSP0801.dbc", "README.md", None]
     got = column(spark, lambda c: C.parse_file_name(c), names)
