@@ -104,9 +104,11 @@ def same_after_write(df: DataFrame, path: str) -> DataFrame:
 
 
 def copied_enough(local: DataFrame, remote: DataFrame) -> DataFrame:
-    """Whether at least as many files are at the target as here."""
-    a, b = local.agg(F.count("*").alias("local_files")), remote.agg(F.count("*").alias("remote_files"))
-    return a.crossJoin(b).withColumn("enough", F.col("remote_files") >= F.col("local_files"))
+    """Whether at least as many files (path, parts) are at the target as here. One counts there only if it has at least as many parts as here."""
+    here, there = local.select("path", F.col("parts").alias("_here")), remote.select("path", F.col("parts").alias("_there"))
+    whole = F.col("_there") >= F.coalesce("_here", F.lit(0))
+    out = here.join(there, "path", "full").agg(F.count("_here").alias("local_files"), F.count_if(whole).alias("remote_files"))
+    return out.withColumn("enough", F.col("remote_files") >= F.col("local_files"))
 
 
 def account(df: DataFrame, reason: Column) -> DataFrame:

@@ -134,6 +134,14 @@ def inventory(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Dat
             .select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified")))
 
 
+def whole_files(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """(path, parts, size_bytes) of each folder below root that holds files: what a writer cuts into parts (of `sinks.MOST_ROWS` rows
+    at most) is one file."""
+    inv = inventory(spark, root, pattern)
+    return (inv.groupBy(F.regexp_replace(below(spark, F.col("path"), root), r"/?[^/]*$", "").alias("path"))
+            .agg(F.count("*").alias("parts"), F.sum("size_bytes").alias("size_bytes")))
+
+
 #: Files of more bytes are hashed as streams.
 WHOLE = 128 << 20
 #: Bytes of a piece that is hashed by itself.

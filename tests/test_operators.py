@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cartorio import api, sinks
 from cartorio.functions import codes
 from cartorio.operators import aggregates, joins, profile, sync, windows
+from cartorio.plans.catalogue import QUERIES
 from cartorio.sources import dbf, dictionaries, files
 from cartorio.streaming import incremental
 
@@ -37,6 +38,26 @@ def test_classify_counts(spark, source, copy, stored, status, note):
     assert (got["status"], got["note"]) == (status, note)
 
 
+def test_a_copied_file_counts_with_all_its_parts(spark, tmp_path):
+    here, there = str(tmp_path / "here"), str(tmp_path / "there")
+    rows = spark.range(100).select("id", F.when(F.col("id") < 70, "a").otherwise("b").alias("k"))
+    sinks.write_partitioned(rows, here, ["k"], most_rows=20)
+    shutil.copytree(here, there)
+    found = lambda: files.whole_files(spark, here), lambda: files.whole_files(spark, there)
+    assert {(r["path"], r["parts"]) for r in found[0]().collect()} == {("k=a", 4), ("k=b", 2)}
+    assert tuple(sync.copied_enough(*(f() for f in found)).first()) == (2, 2, True)
+    os.remove(next((tmp_path / "there" / "k=a").glob("*.parquet")))
+    assert tuple(sync.copied_enough(*(f() for f in found)).first()) == (2, 1, False)
+    assert tuple(sync.copied_enough(found[1](), found[0]()).first()) == (2, 2, True)
+
+
+def test_copies_of_large_years_and_rows_without_one(spark, tmp_path):
+    """A year of over 500,000 rows is written in parts."""
+    date = F.when(F.col("id") % 20 == 0, "1996-01-01").when(F.col("id") % 1000 != 1, "1995-01-01").cast("timestamp")
+    spark.range(600_000).select(F.col("id").alias("o_orderkey"), date.alias("o_orderdate")).write.parquet(str(tmp_path / "orders.parquet"))
+    assert QUERIES["copied_counts"](spark, str(tmp_path)).first().asDict() == {"local_files": 2, "remote_files": 1, "enough": False}
+
+
 def test_decode_never_multiplies_rows(spark):
     d = spark.createDataFrame([(1, "A", "00-99"), (2, "B", "62"), (3, "C", "62,7"), (4, "D", None)], "line_no int, label string, source_codes string")
     df = spark.createDataFrame([("62",), ("05",), ("7",), ("x",), (None,)], "code string")
