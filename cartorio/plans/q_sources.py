@@ -113,7 +113,7 @@ NASTY = ' \\" {"a": [1, "}"]} }{ \\\\'
 
 @query(f"""select doc_id::varchar as doc_id, text || '{NASTY}' as text, lang, case when source is not null then '{{"source":"' || source || '"}}' end as "_rescued" from documents""")
 def json_array_split(spark: SparkSession, sf: str) -> DataFrame:
-    """A1: arrays of 500 records each over several lines, every file of some 1.2 MB read in ranges of 150,000 bytes."""
+    """A1: arrays of 500 records each over several lines, of some 1.2 MB and several in a file, read in ranges of 150,000 bytes."""
     d, root = table(spark, sf, "documents"), folder(spark)
     record = F.to_json(F.struct("doc_id", F.concat("text", F.lit(NASTY)).alias("text"), "lang", "source"), {"pretty": "true"})
     arrays = d.groupBy(F.floor(F.col("doc_id") / 500).alias("b")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))

@@ -20,7 +20,7 @@ CORRUPT = "_corrupt"
 def read_json_array(spark: SparkSession, path: str, names: list[str], lines: bool = False, rescue: bool = True, range_bytes: int | None = None) -> DataFrame:
     """JSON records with every value as its raw text. Keys outside `names` are kept in `_rescued` where records come as
     lines or in ranges; bad records are kept in `_corrupt`. A file of one array is one task, unless range_bytes is given: then
-    it is read in ranges of so many bytes, by as many tasks (`json_arrays.json_records`), and values that are objects or lists come
+    it is read in ranges of so many bytes, by many tasks (`json_arrays.json_records`), and values that are objects or lists come
     without white space between their parts, as from lines."""
     schema = T.StructType([*all_string(names).fields, T.StructField(CORRUPT, T.StringType())])
     if range_bytes:

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartorio.operators.joins import small
@@ -15,6 +15,8 @@ from cartorio.session import materialised, ship
 
 #: Bytes of a range, and ranges whose states are broadcast at most (some 100 bytes each).
 RANGE, FEW = 64 << 20, 1_000_000
+#: Bytes of small ranges that a task reads one after another, unless there are then fewer than EACH tasks for a core.
+TASK, EACH = 64 << 20, 4
 QUOTE, ESCAPE, OPEN, CLOSE = b'"'[0], b"\\"[0], b"{"[0], b"}"[0]
 #: Bytes that may stand between records.
 BETWEEN = np.zeros(256, bool)
@@ -36,10 +38,13 @@ def _ranges_of(spark: SparkSession, size: int) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
+def _pieces(spark: SparkSession, path: str, range_bytes: int = RANGE) -> DataFrame:
     """(path, block, size, value): what stands between closing braces, in the file's order within a range. Spark's text reader cuts
-    the file, in any store: a range begins behind the first closing brace in it, and its last piece may end in the next."""
+    the file, in any store: a range begins behind the first closing brace in it, and its last piece may end in the next. Small ranges
+    are read many by a task, so that their number doesn't tell in tasks."""
     text = spark.read.option("lineSep", "}").option("recursiveFileLookup", True).text(path)
+    ranges, cores = text.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    text = text.coalesce(max(1, min(ranges, max(EACH * cores, ranges * range_bytes // TASK))))
     return text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"), "value")
 
 
@@ -65,11 +70,12 @@ class Walk:
 
     def __init__(self, data: np.ndarray):
         quote = np.flatnonzero(data == QUOTE)
-        if len(quote) and (data == ESCAPE).any():
-            at = np.arange(len(data))
-            plain = np.maximum.accumulate(np.where(data != ESCAPE, at, -1))
-            before = np.where(quote > 0, plain[np.maximum(quote - 1, 0)], -1)
-            quote = quote[(quote - 1 - before) % 2 == 0]  # an even number of backslashes stands before it
+        behind = np.flatnonzero((quote > 0) & (data[quote - 1] == ESCAPE))
+        if len(behind):
+            escape = np.flatnonzero(data == ESCAPE)
+            begin = np.maximum.accumulate(np.where(np.append(True, np.diff(escape) > 1), escape, 0))  # of each one's run
+            run = quote[behind] - begin[np.searchsorted(escape, quote[behind] - 1)]
+            quote = np.delete(quote, behind[run % 2 == 1])  # an odd number of backslashes stands before it
         self.at = np.flatnonzero((data == OPEN) | (data == CLOSE))
         self.step = np.where(data[self.at] == OPEN, 1, -1)
         self.inside = np.searchsorted(quote, self.at) % 2
@@ -105,24 +111,20 @@ def _states(summary: DataFrame) -> DataFrame:
     """(path, block, inside, depth, since, tail) of each range: whether it begins in a string, in how many open braces, in which
     range the record that it begins in was opened, and whether its last piece has no brace behind it (the file's end).
 
-    The ranges of a file are folded in order, in a row for each file; a depth never goes below 0.
+    A depth never goes below 0: it is the running sum of what the ranges before add, less the least that this sum has been, if under 0.
     """
-    def step(acc: Column, r: Column) -> Column:
-        up, low = F.when(acc["inside"] == 0, r["up0"]).otherwise(r["up1"]), F.when(acc["inside"] == 0, r["low0"]).otherwise(r["low1"])
-        depth = F.greatest(acc["depth"] + up, up - low)
-        fresh = (acc["depth"] == 0) | (acc["depth"] + low <= 0)
-        own = F.struct(r["block"].alias("block"), acc["inside"].alias("inside"), acc["depth"].alias("depth"), acc["since"].alias("since"))
-        return F.struct(((acc["inside"] + r["quotes"]) % 2).alias("inside"), depth.alias("depth"), F.when(fresh, r["block"]).otherwise(acc["since"]).alias("since"),
-                        (acc["bytes"] + r["bytes"]).alias("bytes"), F.concat(acc["out"], F.array(own)).alias("out"))
-
-    zero = F.lit(0).cast("long")
-    start = F.struct(zero.alias("inside"), zero.alias("depth"), zero.alias("since"), zero.alias("bytes"), F.array().cast("array<struct<block:bigint,inside:bigint,depth:bigint,since:bigint>>").alias("out"))
-    files = summary.groupBy("path").agg(F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("block", "bytes", "quotes", "up0", "low0", "up1", "low1"))).alias("ranges"))
-    folded = files.select("path", "size", F.aggregate("ranges", start, step).alias("f"))
-    last = F.element_at("f.out", -1)["block"]
+    by_file = Window.partitionBy("path")
+    before = by_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c: F.coalesce(c.over(before), F.lit(0).cast("long"))
+    r = summary.withColumn("inside", so_far(F.sum("quotes")) % 2)
+    r = r.withColumns({c: F.when(F.col("inside") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1")) for c in ("up", "low")})
+    r = r.withColumn("sum", so_far(F.sum("up")))
+    r = r.withColumn("depth", F.col("sum") - F.least(so_far(F.min(F.col("sum") + F.col("low"))), F.lit(0)))
+    fresh = (F.col("depth") == 0) | (F.col("depth") + F.col("low") <= 0)
     # With a brace behind the last piece too, the pieces are as long as the file, or three bytes less where a mark at its begin was passed over.
-    return folded.select("path", (F.col("f.bytes") - F.col("size")).isin(1, 1 - len(MARK)).alias("open_end"), last.alias("last"), F.explode("f.out").alias("r")).select(
-        "path", "r.*", (F.col("open_end") & (F.col("r.block") == F.col("last"))).alias("tail"))
+    open_end = (F.sum("bytes").over(by_file) - F.col("size")).isin(1, 1 - len(MARK))
+    return r.select("path", "block", "inside", "depth", so_far(F.last(F.when(fresh, F.col("block")), ignorenulls=True)).alias("since"),
+                    (open_end & (F.col("block") == F.max("block").over(by_file))).alias("tail"))
 
 
 class _Range:
@@ -202,14 +204,14 @@ def json_records(spark: SparkSession, path: str, range_bytes: int = RANGE) -> Da
     """(record, is_whole): the text of each object of the JSON arrays at path, a file or a folder of any store that Spark reads, in
     ranges of about range_bytes; texts that aren't objects have is_whole false.
 
-    The first scan finds for each range how it changes being in a string, and the depth, for either way to begin; the ranges of a file
-    are folded to what each does begin in. The second scan cuts records where the depth leaves and reaches 0; only the two ends of
+    The first scan finds for each range how it changes being in a string, and the depth, for either way to begin; running sums over the
+    ranges of a file tell what each does begin in. The second scan cuts records where the depth leaves and reaches 0; only the two ends of
     a range, of which the rest stands in others, are put together by a shuffle. The records are written to the shared folder
     before they're returned, since both scans must cut the files alike.
     """
     ship(spark)
     with _ranges_of(spark, range_bytes):
-        pieces = _pieces(spark, path)
+        pieces = _pieces(spark, path, range_bytes)
         summary = pieces.mapInArrow(_summary, "path string, block bigint, size bigint, bytes bigint, quotes bigint, up0 bigint, low0 bigint, up1 bigint, low1 bigint")
         states = materialised(_states(summary))
         told = pieces.withColumn("pos", F.monotonically_increasing_id()).join(small(states, FEW), ["path", "block"], "left")

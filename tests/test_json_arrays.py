@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -72,6 +73,49 @@ def test_states_of_many_ranges_by_a_shuffle(spark, tmp_path, monkeypatch):
     assert sorted(map(str, own)) == sorted(map(str, records(5, 60) + records(6, 60)))
 
 
+def test_many_small_ranges_take_few_tasks(spark, tmp_path, monkeypatch):
+    """The number of ranges tells in rows of the states, not in tasks or in files of the checkpoints."""
+    tasks, keep = [], json_arrays.materialised
+    monkeypatch.setattr(json_arrays, "materialised", lambda df: tasks.append(df.rdd.getNumPartitions()) or keep(df))
+    path = written(tmp_path / "in", json.dumps(records(7, 400)), json.dumps(records(8, 400), indent=2))
+    with json_arrays._ranges_of(spark, 300):
+        assert json_arrays._pieces(spark, path, 300).select("path", "block").distinct().count() > 300
+    own = [json.loads(r["record"]) for r in json_arrays.json_records(spark, path, 300).collect()]
+    assert sorted(map(str, own)) == sorted(map(str, records(7, 400) + records(8, 400)))
+    assert len(tasks) == 2 and max(tasks) <= json_arrays.EACH * spark.sparkContext.defaultParallelism
+
+
+def test_states_of_ranges_against_a_plain_walk(spark):
+    r, rows, want = random.Random(9), [], {}
+    for path in ("a", "b", "c"):
+        inside = depth = since = 0
+        for block in range(0, 3000, 10):
+            quotes, (up0, up1), (low0, low1) = r.randint(0, 1), (r.randint(-3, 3), r.randint(-3, 3)), (-r.randint(0, 3), -r.randint(0, 3))
+            low0, low1 = min(low0, up0), min(low1, up1)
+            rows.append((path, block, 3000, 10, quotes, up0, low0, up1, low1))
+            want[path, block] = inside, depth, since, path == "b" and block == 2990
+            up, low = (up1, low1) if inside else (up0, low0)
+            since = block if depth == 0 or depth + low <= 0 else since
+            inside, depth = (inside + quotes) % 2, max(depth + up, up - low)
+    rows = [(*x[:2], 2999 if x[0] == "b" else 3000, *x[3:]) for x in rows]
+    summary = spark.createDataFrame(r.sample(rows, len(rows)), "path string, block bigint, size bigint, bytes bigint, quotes bigint, up0 bigint, low0 bigint, up1 bigint, low1 bigint")
+    assert {(x["path"], x["block"]): tuple(x)[2:] for x in json_arrays._states(summary).collect()} == want
+
+
+def test_escaped_quotes_of_any_run_of_backslashes():
+    r = random.Random(10)
+    for _ in range(300):
+        text = bytes(r.choice(b'"\\\\{}x') for _ in range(r.randint(0, 40)))
+        place, want, n, quoted = [], [], 0, 0
+        for i, c in enumerate(text):
+            if c in b"{}":
+                place, want = [*place, i], [*want, quoted % 2]
+            quoted += c == json_arrays.QUOTE and n % 2 == 0
+            n = n + 1 if c == json_arrays.ESCAPE else 0
+        walk = json_arrays.Walk(np.frombuffer(text, np.uint8))
+        assert (walk.at.tolist(), walk.inside.tolist(), walk.quotes) == (place, want, quoted)
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.dictionaries(st.text(max_size=4), st.recursive(st.none() | st.text(max_size=12) | st.integers(), lambda x: st.lists(x, max_size=3), max_leaves=4), max_size=4), max_size=12), st.integers(5, 60))
 def test_any_records(spark, tmp_path_factory, rows, size):
